@@ -259,7 +259,7 @@ def delivery_review_test(state: DataFrame) -> DataFrame:
     r, n = F.col("r"), F.col("n")
     return delivery_review_correlation(state).select(
         round_n(r, 3).alias("delivery_vs_review_r"),
-        round_n(student_p(pearson_t(r, n), (n - 2).cast("double")), 4)
+        round_n(student_p(pearson_t(r, n), n.cast("double") - 2.0), 4)
         .alias("delivery_vs_review_p"),
     )
 

@@ -109,9 +109,13 @@ def cohort_retention(orders: DataFrame, max_offset: int = 24) -> DataFrame:
     )
 
 
-def pareto(profile: DataFrame, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+def pareto(
+    profile: DataFrame, rows_per_range: int = ROWS_PER_RANGE, stored: bool = False
+) -> DataFrame:
     """Customers by spend with their cumulative share of revenue."""
-    spend = materialise(profile.select(KEY, "monetary_cents"), "customer_spend")
+    spend = profile.select(KEY, "monetary_cents")
+    if not stored:
+        spend = materialise(spend, "customer_spend")
     ranked = rank_and_running_sum(
         spend, Ordering("monetary_cents", KEY, descending=True), "monetary_cents",
         spend.count(), rows_per_range,

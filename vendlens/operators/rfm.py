@@ -51,10 +51,11 @@ def frequency_tier(frequency: Column) -> Column:
     )
 
 
-def _scored(profile: DataFrame, tiered: bool, rows_per_range: int) -> DataFrame:
-    # The profile is read once per score below, so it is written down first: one
-    # row per customer, far smaller than the order facts it comes from.
-    base = materialise(profile, "customer_profile")
+def _scored(profile: DataFrame, tiered: bool, rows_per_range: int, stored: bool) -> DataFrame:
+    # The profile is read once per score below, so it is written down first, unless
+    # it is a stored table already: one row per customer, far smaller than the
+    # order facts it comes from.
+    base = profile if stored else materialise(profile, "customer_profile")
     rows = base.count()
 
     def quintile(value: str) -> Column:
@@ -88,18 +89,22 @@ def with_rfm_cell(scored: DataFrame) -> DataFrame:
     )
 
 
-def rfm_tiered(profile: DataFrame, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+def rfm_tiered(
+    profile: DataFrame, rows_per_range: int = ROWS_PER_RANGE, stored: bool = False
+) -> DataFrame:
     """RFM with the tiered frequency score."""
-    return with_rfm_cell(_scored(profile, True, rows_per_range)).select(
+    return with_rfm_cell(_scored(profile, True, rows_per_range, stored)).select(
         KEY, "first_order_date", "last_order_date", "as_of_date", "recency_days", "frequency",
         "monetary", "items_bought", "r_score", "f_score", "m_score", "avg_order_value",
         "is_repeat_customer", "rfm_cell",
     )
 
 
-def rfm_ntile(profile: DataFrame, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+def rfm_ntile(
+    profile: DataFrame, rows_per_range: int = ROWS_PER_RANGE, stored: bool = False
+) -> DataFrame:
     """RFM with quintiles for all three scores."""
-    return with_rfm_cell(_scored(profile, False, rows_per_range)).select(
+    return with_rfm_cell(_scored(profile, False, rows_per_range, stored)).select(
         KEY, "first_order_date", "last_order_date", "as_of_date", "recency_days", "frequency",
         "monetary", "items_bought", "r_score", "f_score", "m_score", "rfm_cell",
         "avg_order_value", "is_repeat_customer",

@@ -34,7 +34,7 @@ def store_marts(star: Star, folder: str) -> dict[str, DataFrame]:
     )
 
     def segments() -> dict[str, DataFrame]:
-        base = store_table(rfm.rfm_tiered(profile), folder, "mart_rfm_base")
+        base = store_table(rfm.rfm_tiered(profile, stored=True), folder, "mart_rfm_base")
         labelled = store_table(rfm.customer_segments(base), folder, "mart_customer_segment")
         return {
             "mart_customer_segment": labelled,
@@ -48,8 +48,8 @@ def store_marts(star: Star, folder: str) -> dict[str, DataFrame]:
 
     steps = [
         segments,
-        lambda: one("mart_rfm", lambda: rfm.rfm_ntile(profile)),
-        lambda: one("mart_pareto", lambda: m.pareto(profile)),
+        lambda: one("mart_rfm", lambda: rfm.rfm_ntile(profile, stored=True)),
+        lambda: one("mart_pareto", lambda: m.pareto(profile, stored=True)),
         lambda: one("mart_repeat", lambda: m.repeat_purchase(profile)),
     ]
     for name, build in MARTS.items():

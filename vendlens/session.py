@@ -39,6 +39,11 @@ def scratch_root(spark: SparkSession) -> str:
     return context.getCheckpointDir().rstrip("/")
 
 
+def scratch_folder(spark: SparkSession) -> str:
+    """A new folder under the shared one."""
+    return f"{scratch_root(spark)}/vendlens-{uuid.uuid4().hex}"
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write `df` to the shared scratch folder and read it back.
 
@@ -46,6 +51,6 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     later passes read only the columns they need.
     """
     spark = df.sparkSession
-    path = f"{scratch_root(spark)}/vendlens-{uuid.uuid4().hex}/{name}"
+    path = f"{scratch_folder(spark)}/{name}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
