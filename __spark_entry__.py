@@ -18,7 +18,7 @@ from vendlens.operators import datasets, findings, headline, quality  # noqa: E4
 from vendlens.operators import marts as m  # noqa: E402
 from vendlens.plans import marts as catalogue  # noqa: E402
 from vendlens.plans.marts import MARTS  # noqa: E402
-from vendlens.plans.report import store_marts  # noqa: E402
+from vendlens.plans.report import store_marts, store_profile  # noqa: E402
 from vendlens.plans.warehouse import star_schema, store_star  # noqa: E402
 from vendlens.schemas import Star  # noqa: E402
 from vendlens.sinks.files import export_csv  # noqa: E402
@@ -40,8 +40,8 @@ def _star(spark: SparkSession, folder: str, grain: str = "reference") -> Star:
     return star_schema(raw_tables(spark, folder), grain)
 
 
-def _on_star(build: Callable[[Star], DataFrame]) -> Query:
-    return lambda spark, folder: build(_star(spark, folder))
+def _on_star(build: Callable[[Star], DataFrame], grain: str = "reference") -> Query:
+    return lambda spark, folder: build(_star(spark, folder, grain))
 
 
 def _on_marts(build: Callable[..., DataFrame], *names: str, **options) -> Query:
@@ -60,16 +60,6 @@ def _category_once(s: Star) -> DataFrame:
     )
 
 
-def _state_once(s: Star) -> DataFrame:
-    return m.state_performance(
-        s.fact_orders, s.dim_customer, s.fact_order_items, s.fact_reviews, grain="order"
-    )
-
-
-def _sla_state_once(s: Star) -> DataFrame:
-    return m.sla_by_state(s.fact_orders, s.dim_customer, s.fact_reviews, grain="order")
-
-
 def _correlation(state: DataFrame) -> DataFrame:
     return findings.delivery_review_correlation(state).select(round_n(F.col("r"), 6).alias("r"), "n")
 
@@ -78,8 +68,9 @@ def _findings_document(spark: SparkSession, folder: str) -> DataFrame:
     """Stores star and marts first, as every section reads several of them."""
     target = scratch_folder(spark)
     star = store_star(raw_tables(spark, folder), target)
+    marts = store_marts(star, store_profile(star, target), target)
     document = findings.findings_document(
-        store_marts(star, target), star.fact_order_summary, WINDOW_START, MIN_COHORT
+        marts, star.fact_order_summary, WINDOW_START, MIN_COHORT
     )
     return document.select(F.to_json(F.struct("*")).alias("findings"))
 
@@ -106,7 +97,7 @@ def _kpi_stored(spark: SparkSession, folder: str) -> DataFrame:
     """Store the whole star, read one table back by name, and build a mart on it."""
     target = scratch_folder(spark)
     store_star(raw_tables(spark, folder), target)
-    return m.monthly_kpi(read_table(spark, target, "fact_order_summary"))
+    return m.monthly_kpi(read_table(spark, target, "order_rollup"))
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -127,13 +118,11 @@ def queries() -> dict[str, Query]:
     }
     result |= {name: _on_star(build) for name, build in MARTS.items()}
     result |= {
-        "fact_order_summary_order_grain": lambda spark, folder: _star(
-            spark, folder, "order"
-        ).fact_order_summary,
+        "fact_order_summary_order_grain": _on_star(MARTS["fact_order_summary"], "order"),
         "mart_rfm_base": _on_star(catalogue.rfm_base),
         "mart_category_order_grain": _on_star(_category_once),
-        "mart_state_order_grain": _on_star(_state_once),
-        "mart_sla_by_state_order_grain": _on_star(_sla_state_once),
+        "mart_state_order_grain": _on_star(MARTS["mart_state"], "order"),
+        "mart_sla_by_state_order_grain": _on_star(MARTS["mart_sla_by_state"], "order"),
         "dq_checks": _on_star(
             lambda s: quality.as_long_table(quality.data_quality(s), quality.CHECKS)
         ),

@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vendlens.functions.columns import amount, boundaries_crossed, cents
+from vendlens.functions.columns import amount, boundaries_crossed, cents, ratio
+from vendlens.schemas import SUMMARY_COLUMNS
 
 # What counts as a sale, and as a cancellation.
 REVENUE_STATUSES = ("delivered", "shipped")
@@ -107,31 +108,18 @@ def fact_reviews(reviews: DataFrame) -> DataFrame:
     )
 
 
-def home_state(dim_customer: DataFrame, grain: str) -> DataFrame:
-    """(customer_unique_id, customer_state, dim_rows): where a customer lives.
+def _home_states(dim_customer: DataFrame, grain: str) -> DataFrame:
+    """(customer_unique_id, customer_state): every dimension row, or one per customer.
 
-    `dim_rows` says how many dimension rows stand behind a state, so that a join
-    need not repeat an order once per row.  With grain "order" a customer has one
-    state, that of the lowest customer id.
+    With grain "order" a customer lives where their lowest customer id does.
     """
-    check_grain(grain)
-    if grain == "reference":
-        return dim_customer.groupBy("customer_unique_id", "customer_state").agg(
-            F.count(F.lit(1)).alias("dim_rows")
-        )
-    first = F.min_by("customer_state", F.struct("first_customer_id", "customer_zip_prefix"))
-    return dim_customer.groupBy("customer_unique_id").agg(
-        first.alias("customer_state"), F.lit(1).cast("bigint").alias("dim_rows")
-    )
-
-
-def _dimension_rows(dim_customer: DataFrame, grain: str) -> DataFrame:
     if grain == "reference":
         return dim_customer.select("customer_unique_id", "customer_state")
-    return home_state(dim_customer, grain).drop("dim_rows")
+    first = F.min_by("customer_state", F.struct("first_customer_id", "customer_zip_prefix"))
+    return dim_customer.groupBy("customer_unique_id").agg(first.alias("customer_state"))
 
 
-def items_per_order(items: DataFrame) -> DataFrame:
+def _items_per_order(items: DataFrame) -> DataFrame:
     return items.groupBy("order_id").agg(
         F.count(F.lit(1)).alias("item_count"),
         F.countDistinct("seller_id").alias("seller_count"),
@@ -140,7 +128,33 @@ def items_per_order(items: DataFrame) -> DataFrame:
     )
 
 
-def fact_order_summary(
+def _reviews_per_order(reviews: DataFrame, grain: str) -> DataFrame:
+    """Number of reviews, how many have a score, and the sum of scores.
+
+    With grain "order" an order's reviews count as one, with their average score.
+    """
+    totals = reviews.groupBy("order_id").agg(
+        F.count(F.lit(1)).alias("review_rows"),
+        F.count("review_score").alias("review_scores"),
+        F.sum("review_score").cast("double").alias("review_score_sum"),
+    )
+    mean = ratio(F.col("review_score_sum"), F.col("review_scores"))
+    totals = totals.withColumn("avg_review_score", mean)
+    if grain == "reference":
+        return totals
+    return totals.select(
+        "order_id",
+        F.lit(1).cast("bigint").alias("review_rows"),
+        F.least("review_scores", F.lit(1)).alias("review_scores"),
+        F.col("avg_review_score").alias("review_score_sum"),
+        "avg_review_score",
+    )
+
+
+ROLLUP_COLUMNS = SUMMARY_COLUMNS + ["review_rows", "review_scores", "review_score_sum"]
+
+
+def order_rollup(
     fact_orders: DataFrame,
     dim_customer: DataFrame,
     fact_order_items: DataFrame,
@@ -154,35 +168,19 @@ def fact_order_summary(
     join, partly before the shuffle, so an order with very many of them costs
     one row.  The three joins share one partitioning by order.  Each is a left
     join on a unique key: a query that needs no reviews, say, does not read them.
+
+    Besides the summary's columns it has review totals, with which marts can weigh
+    an order by its reviews instead of joining the reviews again.
     """
     check_grain(grain)
     paid = fact_payments.groupBy("order_id").agg(
         amount(F.sum(cents(F.col("payment_value")))).alias("paid")
     )
-    reviewed = fact_reviews.groupBy("order_id").agg(
-        F.avg("review_score").alias("avg_review_score")
-    )
     return (
-        fact_orders.join(_dimension_rows(dim_customer, grain), "customer_unique_id", "left")
-        .join(items_per_order(fact_order_items), "order_id", "left")
+        fact_orders.join(_home_states(dim_customer, grain), "customer_unique_id", "left")
+        .join(_items_per_order(fact_order_items), "order_id", "left")
         .join(paid, "order_id", "left")
-        .join(reviewed, "order_id", "left")
-        .select(
-            "order_id",
-            "customer_unique_id",
-            "customer_state",
-            "order_status",
-            "is_revenue_order",
-            "is_cancelled_order",
-            "order_date",
-            "order_month",
-            "days_to_deliver",
-            "days_vs_estimate",
-            "item_count",
-            "seller_count",
-            "order_revenue",
-            "order_freight",
-            F.coalesce("paid", F.lit(0.0)).alias("payment_value"),
-            "avg_review_score",
-        )
+        .join(_reviews_per_order(fact_reviews, grain), "order_id", "left")
+        .withColumn("payment_value", F.coalesce("paid", F.lit(0.0)))
+        .select(*ROLLUP_COLUMNS)
     )

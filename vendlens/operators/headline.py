@@ -11,9 +11,13 @@ from vendlens.operators.rfm import KEY, customer_profile
 from vendlens.schemas import Star
 
 
-def headline_metrics(star: Star, top_customers: int = 8000) -> DataFrame:
+def headline_metrics(
+    star: Star, top_customers: int = 8000, profile: DataFrame | None = None
+) -> DataFrame:
     """One row with the eleven headline numbers.
 
+    `profile` may be a stored customer profile; else it is derived from the star.
+
     `top_customers` is a number of customers, not a share: the metric is the
     revenue share of that many biggest spenders, however many customers there are.
     """
@@ -25,7 +29,8 @@ def headline_metrics(star: Star, top_customers: int = 8000) -> DataFrame:
         F.max(F.when(sale, F.col("order_date"))).cast("string").alias("period_end"),
         percent(F.sum("is_cancelled_order"), F.count(F.lit(1))).alias("cancellation_rate_pct"),
     )
-    profile = customer_profile(star.fact_order_summary)
+    if profile is None:
+        profile = customer_profile(star.fact_order_summary)
     customers = profile.agg(
         F.count(KEY).alias("unique_customers"),
         percent(F.count_if(F.col("frequency") > 1), F.count(F.lit(1)))

@@ -1,8 +1,8 @@
 """Business marts.
 
-Where the reference grain repeats an order (several dimension rows per customer,
-several reviews per order), the repetition enters as a weight on pre-aggregated
-rows.  The result is that of the repeating join, without its rows.
+Where a mart's definition repeats an order (once per item, once per review), the
+repetition enters as a weight on pre-aggregated rows.  The result is that of the
+repeating join, without its rows.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vendlens.functions.columns import amount, cents, percent, ratio, round_n, whole_table_sum
-from vendlens.operators.facts import check_grain, home_state
+from vendlens.operators.facts import check_grain
 from vendlens.operators.ordering import ROWS_PER_RANGE, Ordering, rank_and_running_sum
 from vendlens.operators.rfm import KEY
 from vendlens.session import materialise
@@ -131,24 +131,6 @@ def pareto(
     )
 
 
-def _review_totals(reviews: DataFrame, grain: str) -> DataFrame:
-    """Reviews per order: how often they repeat the order, their scores and their sum."""
-    totals = reviews.groupBy("order_id").agg(
-        _rows().alias("repeats"),
-        F.count("review_score").alias("scores"),
-        F.sum("review_score").cast("double").alias("score_sum"),
-    )
-    if grain == "reference":
-        return totals
-    scored = F.when(F.col("scores") > 0, 1).otherwise(0)
-    return totals.select(
-        "order_id",
-        F.lit(1).cast("bigint").alias("repeats"),
-        scored.cast("bigint").alias("scores"),
-        ratio(F.col("score_sum"), F.col("scores")).alias("score_sum"),
-    )
-
-
 def category_performance(
     items: DataFrame,
     orders: DataFrame,
@@ -211,50 +193,35 @@ def category_performance(
     )
 
 
-def _with_weights(orders: DataFrame, customers: DataFrame, reviews: DataFrame, grain: str):
-    """Orders with their state and, as weights, how often each state row and review repeats them."""
-    return (
-        orders.join(home_state(customers, grain), KEY, "left")
-        .join(_review_totals(reviews, grain), "order_id", "left")
-        .withColumn("customer_state", F.coalesce("customer_state", F.lit("UNKNOWN")))
-        .withColumn("dim_rows", F.coalesce("dim_rows", F.lit(1)))
-        .withColumn("repeats", F.coalesce("repeats", F.lit(1)))
-    )
+def _state() -> Column:
+    return F.coalesce("customer_state", F.lit("UNKNOWN")).alias("customer_state")
 
 
-def state_performance(
-    orders: DataFrame,
-    customers: DataFrame,
-    items: DataFrame,
-    reviews: DataFrame,
-    grain: str = "reference",
-) -> DataFrame:
-    """Sales, delivery time and review scores per customer state."""
-    check_grain(grain)
-    sold = items.groupBy("order_id").agg(
-        _rows().alias("items"), F.sum(cents(F.col("price"))).alias("price_cents")
-    )
-    sales = (
-        orders.where("is_revenue_order = 1")
-        .select("order_id", KEY, "days_to_deliver")
-        .join(sold, "order_id")
-    )
-    days = F.col("days_to_deliver")
-    rows = F.col("items") * F.col("dim_rows") * F.col("repeats")
-    per_review = F.col("items") * F.col("dim_rows")
+def _review_repeats() -> Column:
+    """How often a join with the reviews would repeat an order."""
+    return F.coalesce("review_rows", F.lit(1))
+
+
+def state_performance(rollup: DataFrame) -> DataFrame:
+    """Sales, delivery time and review scores per customer state.
+
+    Reads nothing but the order rollup.  In the result an order counts once per
+    item and review, which the rollup's counts give as weights.
+    """
+    days, items = F.col("days_to_deliver"), F.col("item_count")
+    rows = items * _review_repeats()
     revenue = amount(F.col("price_cents"))
     return (
-        _with_weights(sales, customers, reviews, grain)
-        .groupBy("customer_state")
+        rollup.where((F.col("is_revenue_order") == 1) & items.isNotNull())
+        .groupBy(_state())
         .agg(
             F.countDistinct("order_id").alias("orders"),
             F.countDistinct(KEY).alias("customers"),
-            F.sum(F.col("price_cents") * F.col("dim_rows") * F.col("repeats"))
-            .alias("price_cents"),
+            F.sum(cents(F.col("order_revenue")) * _review_repeats()).alias("price_cents"),
             F.sum(days * rows).alias("days_sum"),
             F.sum(F.when(days.isNotNull(), rows)).alias("days_rows"),
-            F.sum(F.col("score_sum") * per_review).alias("score_sum"),
-            F.sum(F.col("scores") * per_review).alias("scores"),
+            F.sum(F.col("review_score_sum") * items).alias("score_sum"),
+            F.sum(F.col("review_scores") * items).alias("scores"),
         )
         .select(
             "customer_state",
@@ -384,24 +351,18 @@ def review_by_delay(summary: DataFrame) -> DataFrame:
     )
 
 
-def sla_by_state(
-    orders: DataFrame, customers: DataFrame, reviews: DataFrame, grain: str = "reference"
-) -> DataFrame:
+def sla_by_state(rollup: DataFrame) -> DataFrame:
     """Delivery time, on-time share and review score per customer state."""
-    check_grain(grain)
-    delivered = orders.where(_delivered_in_time_range()).select(
-        "order_id", KEY, "days_to_deliver", "days_vs_estimate"
-    )
-    rows = F.col("dim_rows") * F.col("repeats")
+    rows = _review_repeats()
     return (
-        _with_weights(delivered, customers, reviews, grain)
-        .groupBy("customer_state")
+        rollup.where(_delivered_in_time_range())
+        .groupBy(_state())
         .agg(
             F.sum(rows).alias("delivered_orders"),
             F.sum(F.col("days_to_deliver") * rows).alias("days_sum"),
             F.sum(_on_time() * rows).alias("on_time"),
-            F.sum(F.col("score_sum") * F.col("dim_rows")).alias("score_sum"),
-            F.sum(F.col("scores") * F.col("dim_rows")).alias("scores"),
+            F.sum("review_score_sum").alias("score_sum"),
+            F.sum("review_scores").alias("scores"),
         )
         .select(
             "customer_state",

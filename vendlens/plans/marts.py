@@ -28,16 +28,12 @@ MARTS: dict[str, Callable[[Star], DataFrame]] = {
     "mart_category": lambda s: m.category_performance(
         s.fact_order_items, s.fact_orders, s.dim_product, s.fact_reviews
     ),
-    "mart_state": lambda s: m.state_performance(
-        s.fact_orders, s.dim_customer, s.fact_order_items, s.fact_reviews
-    ),
+    "mart_state": lambda s: m.state_performance(s.order_rollup),
     "mart_delivery_sla": lambda s: m.delivery_sla(s.fact_orders),
     "mart_payment": lambda s: m.payment_mix(s.fact_payments, s.fact_orders),
     "mart_repeat": lambda s: m.repeat_purchase(rfm.customer_profile(s.fact_order_summary)),
     "mart_review_delay": lambda s: m.review_by_delay(s.fact_order_summary),
-    "mart_sla_by_state": lambda s: m.sla_by_state(
-        s.fact_orders, s.dim_customer, s.fact_reviews
-    ),
+    "mart_sla_by_state": lambda s: m.sla_by_state(s.order_rollup),
     "mart_customer_segment": customer_segment,
     "dim_date": lambda s: s.dim_date.orderBy("date_day"),
     "fact_order_summary": lambda s: s.fact_order_summary,

@@ -23,41 +23,33 @@ CUSTOMER_MARTS = {
 STAR_EXPORTS = {"dim_date", "fact_order_summary"}
 
 
-def store_marts(star: Star, folder: str) -> dict[str, DataFrame]:
-    """Compute every mart once, store it, and return the stored tables by name.
+def store_profile(star: Star, folder: str) -> DataFrame:
+    """The customer profile, which several marts share."""
+    return store_table(rfm.customer_profile(star.fact_order_summary), folder, "customer_profile")
 
-    The customer profile, and the segments on top of it, feed several marts and
-    are stored first.
-    """
-    profile = store_table(
-        rfm.customer_profile(star.fact_order_summary), folder, "customer_profile"
-    )
+
+def store_marts(star: Star, profile: DataFrame, folder: str) -> dict[str, DataFrame]:
+    """Compute every mart once, store it, and return the stored tables by name."""
 
     def segments() -> dict[str, DataFrame]:
         base = store_table(rfm.rfm_tiered(profile, stored=True), folder, "mart_rfm_base")
         labelled = store_table(rfm.customer_segments(base), folder, "mart_customer_segment")
-        return {
-            "mart_customer_segment": labelled,
-            "mart_rfm_segments": store_table(
-                rfm.segment_rollup(labelled), folder, "mart_rfm_segments"
-            ),
-        }
+        return {"mart_customer_segment": labelled}
 
-    def one(name: str, build) -> dict[str, DataFrame]:
-        return {name: store_table(build(), folder, name)}
-
-    steps = [
-        segments,
-        lambda: one("mart_rfm", lambda: rfm.rfm_ntile(profile, stored=True)),
-        lambda: one("mart_pareto", lambda: m.pareto(profile, stored=True)),
-        lambda: one("mart_repeat", lambda: m.repeat_purchase(profile)),
-    ]
-    for name, build in MARTS.items():
-        if name not in CUSTOMER_MARTS | STAR_EXPORTS:
-            steps.append(lambda name=name, build=build: one(name, lambda: build(star)))
+    def rollup(segmented: dict[str, DataFrame]) -> dict[str, DataFrame]:
+        table = rfm.segment_rollup(segmented["mart_customer_segment"])
+        return {"mart_rfm_segments": store_table(table, folder, "mart_rfm_segments")}
+
+    builds = {name: lambda build=build: build(star) for name, build in MARTS.items()
+              if name not in CUSTOMER_MARTS | STAR_EXPORTS}
+    builds["mart_rfm"] = lambda: rfm.rfm_ntile(profile, stored=True)
+    builds["mart_pareto"] = lambda: m.pareto(profile, stored=True)
+    builds["mart_repeat"] = lambda: m.repeat_purchase(profile)
     with ThreadPoolExecutor(JOBS_AT_ONCE) as pool:
-        jobs = [pool.submit(step) for step in steps]
-        return {name: df for job in jobs for name, df in job.result().items()}
+        jobs = {name: pool.submit(lambda n=name, b=build: store_table(b(), folder, n))
+                for name, build in builds.items()}
+        segmented = segments()
+        return {**segmented, **rollup(segmented), **{n: j.result() for n, j in jobs.items()}}
 
 
 def run_report(
@@ -70,19 +62,30 @@ def run_report(
     """Build everything under `folder`; returns the written CSV and JSON paths by name."""
     tables, processed, reports = f"{folder}/tables", f"{folder}/processed", f"{folder}/reports"
     star = store_star(raw, tables)
-    with ThreadPoolExecutor(JOBS_AT_ONCE) as pool:
-        checks = pool.submit(export_json, data_quality(star), reports, "data_quality")
-        headline = pool.submit(
-            export_json, headline_metrics(star, top_customers), reports, "headline_metrics"
+
+    def checks() -> str:
+        return export_json(data_quality(star), reports, "data_quality")
+
+    def headline(profile: DataFrame) -> str:
+        return export_json(
+            headline_metrics(star, top_customers, profile), reports, "headline_metrics"
         )
-        marts = store_marts(star, tables)
-        outputs = {**marts, "dim_date": MARTS["dim_date"](star),
-                   "fact_order_summary": star.fact_order_summary}
-        written = {
-            name: pool.submit(export_csv, df, processed, name) for name, df in outputs.items()
+
+    def export(name: str, df: DataFrame) -> str:
+        return export_csv(df, processed, name)
+
+    with ThreadPoolExecutor(JOBS_AT_ONCE) as pool:
+        jobs = {
+            "data_quality": pool.submit(checks),
+            "dim_date": pool.submit(export, "dim_date", MARTS["dim_date"](star)),
+            "fact_order_summary": pool.submit(
+                export, "fact_order_summary", star.fact_order_summary
+            ),
         }
+        profile = store_profile(star, tables)
+        jobs["headline_metrics"] = pool.submit(headline, profile)
+        marts = store_marts(star, profile, tables)
+        jobs |= {name: pool.submit(export, name, df) for name, df in marts.items()}
         findings = findings_document(marts, star.fact_order_summary, window_start, min_cohort)
-        written["findings"] = pool.submit(export_json, findings, reports, "findings")
-        written["data_quality"] = checks
-        written["headline_metrics"] = headline
-        return {name: job.result() for name, job in written.items()}
+        jobs["findings"] = pool.submit(export_json, findings, reports, "findings")
+        return {name: job.result() for name, job in jobs.items()}

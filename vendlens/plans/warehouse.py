@@ -7,15 +7,15 @@ from concurrent.futures import ThreadPoolExecutor
 from vendlens.operators.dimensions import dim_customer, dim_date, dim_product, dim_seller
 from vendlens.operators.facts import (
     fact_order_items,
-    fact_order_summary,
     fact_orders,
     fact_payments,
     fact_reviews,
+    order_rollup,
 )
 from vendlens.schemas import RawTables, Star
 from vendlens.sinks.files import store_table
 
-JOBS_AT_ONCE = 4
+JOBS_AT_ONCE = 8
 
 
 def star_schema(raw: RawTables, grain: str = "reference") -> Star:
@@ -34,9 +34,7 @@ def star_schema(raw: RawTables, grain: str = "reference") -> Star:
         fact_order_items=items,
         fact_payments=payments,
         fact_reviews=reviews,
-        fact_order_summary=fact_order_summary(
-            orders, customers, items, payments, reviews, grain
-        ),
+        order_rollup=order_rollup(orders, customers, items, payments, reviews, grain),
     )
 
 
@@ -51,13 +49,13 @@ def store_raw(raw: RawTables, folder: str) -> RawTables:
 
 
 def store_star(raw: RawTables, folder: str, grain: str = "reference") -> Star:
-    """Store the star: first dimensions and facts, then the order summary built on them (A2)."""
+    """Store the star: first dimensions and facts, then the order rollup built on them (A2)."""
     lazy = star_schema(raw, grain).named()
-    lazy.pop("fact_order_summary")
+    lazy.pop("order_rollup")
     with ThreadPoolExecutor(JOBS_AT_ONCE) as pool:
         jobs = {name: pool.submit(store_table, df, folder, name) for name, df in lazy.items()}
         stored = {name: job.result() for name, job in jobs.items()}
-    summary = fact_order_summary(
+    rollup = order_rollup(
         stored["fact_orders"],
         stored["dim_customer"],
         stored["fact_order_items"],
@@ -65,4 +63,4 @@ def store_star(raw: RawTables, folder: str, grain: str = "reference") -> Star:
         stored["fact_reviews"],
         grain,
     )
-    return Star(**stored, fact_order_summary=store_table(summary, folder, "fact_order_summary"))
+    return Star(**stored, order_rollup=store_table(rollup, folder, "order_rollup"))

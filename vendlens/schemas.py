@@ -54,6 +54,26 @@ RAW_TYPES = {
 # Free-text columns with line breaks inside quotes.
 MULTILINE_FILES = {"reviews"}
 
+# The columns of the order summary.
+SUMMARY_COLUMNS = [
+    "order_id",
+    "customer_unique_id",
+    "customer_state",
+    "order_status",
+    "is_revenue_order",
+    "is_cancelled_order",
+    "order_date",
+    "order_month",
+    "days_to_deliver",
+    "days_vs_estimate",
+    "item_count",
+    "seller_count",
+    "order_revenue",
+    "order_freight",
+    "payment_value",
+    "avg_review_score",
+]
+
 
 @dataclass(frozen=True)
 class RawTables:
@@ -74,7 +94,10 @@ class RawTables:
 
 @dataclass(frozen=True)
 class Star:
-    """The star schema: four dimensions, four facts, one wide order fact."""
+    """The star schema: four dimensions, four facts, one wide order fact.
+
+    `order_rollup` is the order summary plus review totals.
+    """
 
     dim_customer: DataFrame
     dim_product: DataFrame
@@ -84,7 +107,11 @@ class Star:
     fact_order_items: DataFrame
     fact_payments: DataFrame
     fact_reviews: DataFrame
-    fact_order_summary: DataFrame
+    order_rollup: DataFrame
+
+    @property
+    def fact_order_summary(self) -> DataFrame:
+        return self.order_rollup.select(*SUMMARY_COLUMNS)
 
     def named(self) -> dict[str, DataFrame]:
         return {f.name: getattr(self, f.name) for f in fields(self)}

@@ -10,11 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vendlens.functions.columns import amount, cents
 from vendlens.schemas import RawTables
 
-MONEY = "decimal(18,2)"
-RATE = "decimal(4,2)"
-
 # Fixed values of the fixture: native category -> English name.  One blank, one
 # category missing, so that both fallbacks are met.
 TRANSLATION = [
@@ -56,22 +54,26 @@ def _orders(orders: DataFrame) -> DataFrame:
     )
 
 
+def _share(whole_cents: Column, rate: Column) -> Column:
+    """A percentage of an amount in cents, rounded half up to the cent."""
+    return F.floor((whole_cents * rate + 50) / F.lit(100.0))
+
+
 def _items(lineitem: DataFrame) -> DataFrame:
-    price = F.col("l_extendedprice").cast(MONEY)
+    price, tax = cents(F.col("l_extendedprice")), cents(F.col("l_tax"))
     return lineitem.select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_linenumber").alias("order_item_id"),
         F.col("l_partkey").alias("product_id"),
         F.col("l_suppkey").alias("seller_id"),
         F.col("l_shipdate").alias("shipping_limit_date"),
-        price.cast("double").alias("price"),
-        (price * F.col("l_tax").cast(RATE)).cast(MONEY).cast("double").alias("freight_value"),
+        amount(price).alias("price"),
+        amount(_share(price, tax)).alias("freight_value"),
     )
 
 
 def _payments(lineitem: DataFrame) -> DataFrame:
-    price = F.col("l_extendedprice").cast(MONEY)
-    kept = F.lit(1).cast(RATE) - F.col("l_discount").cast(RATE)
+    price, kept = cents(F.col("l_extendedprice")), 100 - cents(F.col("l_discount"))
     flag = F.col("l_returnflag")
     return lineitem.select(
         F.col("l_orderkey").alias("order_id"),
@@ -80,7 +82,7 @@ def _payments(lineitem: DataFrame) -> DataFrame:
         .alias("payment_type"),
         F.when(flag == "A", 1 + F.col("l_partkey") % 10).otherwise(1).cast("int")
         .alias("payment_installments"),
-        (price * kept).cast(MONEY).cast("double").alias("payment_value"),
+        amount(_share(price, kept)).alias("payment_value"),
     )
 
 
