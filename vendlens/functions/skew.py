@@ -1,0 +1,41 @@
+"""Left join that spreads keys with very many matching rows over many tasks."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A key is hot above this many rows.  A table of N rows has at most N / HOT_ROWS
+# such keys, which bounds what is broadcast: a few bytes per 100,000 rows.
+HOT_ROWS = 100_000
+PARTS = 64
+
+
+def spread_left_join(
+    few: DataFrame, many: DataFrame, key: str, spread_by: str, hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """`few` left join `many` on `key`, with the hot keys of `many` salted.
+
+    Adaptive execution cannot split the right side of a left join.  So the rows
+    of a hot key go to one of PARTS parts by the hash of `spread_by`, and the few
+    rows on the left are copied to every part.  A copy that finds nothing in its part
+    is dropped: a hot key has its matches in other parts.
+    """
+    rows = many.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
+    hot = F.broadcast(rows.where(F.col("rows") > hot_rows).select(key, F.lit(True).alias("hot")))
+    part = F.pmod(F.xxhash64(spread_by), F.lit(PARTS)).cast("int")
+    all_parts = F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(PARTS - 1)))
+    salted = (
+        many.join(hot, key, "left")
+        .withColumn("part", F.when(F.col("hot"), part).otherwise(0))
+        .withColumn("found", F.lit(True))
+        .drop("hot")
+    )
+    copied = few.join(hot, key, "left").withColumn(
+        "part", F.explode(F.coalesce(all_parts, F.array(F.lit(0))))
+    )
+    return (
+        copied.join(salted, [key, "part"], "left")
+        .where(F.col("found") | F.col("hot").isNull())
+        .drop("part", "hot", "found")
+    )

@@ -9,8 +9,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 
 from vendlens.functions.columns import amount, cents, percent, ratio, round_n, whole_table_sum
+from vendlens.functions.skew import spread_left_join
 from vendlens.operators.facts import check_grain
 from vendlens.operators.ordering import ROWS_PER_RANGE, Ordering, rank_and_running_sum
 from vendlens.operators.rfm import KEY
@@ -44,6 +46,15 @@ def _on_time() -> Column:
     return F.when(F.col("days_vs_estimate") >= 0, 1).otherwise(0)
 
 
+def _state() -> Column:
+    return F.coalesce("customer_state", F.lit("UNKNOWN")).alias("customer_state")
+
+
+def _review_repeats() -> Column:
+    """How often a join with the reviews would repeat an order."""
+    return F.coalesce("review_rows", F.lit(1))
+
+
 def monthly_kpi(summary: DataFrame) -> DataFrame:
     """Orders, customers, revenue and service level per month."""
     revenue = amount(F.col("revenue_cents"))
@@ -83,7 +94,9 @@ def cohort_retention(orders: DataFrame, max_offset: int = 24) -> DataFrame:
     """
     first, active = F.col("cohort_month"), F.col("active_month")
     offset = (F.year(active) - F.year(first)) * 12 + F.month(active) - F.month(first)
-    counted = (
+    in_first_month = F.when(F.col("month_offset") == 0, F.col("active_customers"))
+    size = F.max(in_first_month).over(Window.partitionBy("cohort_month"))
+    return (
         orders.where((F.col("is_revenue_order") == 1) & F.col(KEY).isNotNull())
         .groupBy(KEY)
         .agg(F.collect_set("order_month").alias("months"))
@@ -92,18 +105,12 @@ def cohort_retention(orders: DataFrame, max_offset: int = 24) -> DataFrame:
         .groupBy("cohort_month", offset.alias("month_offset"))
         .agg(_rows().alias("active_customers"))
         .where(F.col("month_offset").between(0, max_offset))
-    )
-    sizes = counted.where("month_offset = 0").select(
-        "cohort_month", F.col("active_customers").alias("cohort_size")
-    )
-    return (
-        counted.join(sizes, "cohort_month")
         .select(
             "cohort_month",
-            "cohort_size",
+            size.alias("cohort_size"),
             "month_offset",
             "active_customers",
-            percent(F.col("active_customers"), F.col("cohort_size")).alias("retention_pct"),
+            percent(F.col("active_customers"), size).alias("retention_pct"),
         )
         .orderBy("cohort_month", "month_offset")
     )
@@ -141,7 +148,8 @@ def category_performance(
     """Sales and review scores per product category.
 
     Items are aggregated to (order, category) before they meet the reviews, so an
-    order's items and reviews are never multiplied out.
+    order's items and reviews are never multiplied out.  An order with very many
+    reviews is spread over many tasks.
     """
     check_grain(grain)
     sold = (
@@ -154,20 +162,20 @@ def category_performance(
         )
         .join(orders.where("is_revenue_order = 1").select("order_id"), "order_id")
     )
+    opinions = reviews.select("order_id", "review_id", F.col("review_score").alias("score"))
     if grain == "reference":
-        opinions = reviews.select("order_id", "review_id", F.col("review_score").alias("score"))
+        reviewed = spread_left_join(sold, opinions, "order_id", "review_id")
         review_count = F.countDistinct("review_id")
     else:
-        opinions = reviews.groupBy("order_id").agg(
-            F.countDistinct("review_id").alias("review_ids"),
-            F.avg("review_score").alias("score"),
+        per_order = opinions.groupBy("order_id").agg(
+            F.countDistinct("review_id").alias("review_ids"), F.avg("score").alias("score")
         )
+        reviewed = sold.join(per_order, "order_id", "left")
         review_count = F.coalesce(F.sum("review_ids"), F.lit(0))
     items_scored = F.when(F.col("score").isNotNull(), F.col("items"))
     revenue, freight = amount(F.col("price_cents")), amount(F.col("freight_cents"))
     return (
-        sold.join(opinions, "order_id", "left")
-        .groupBy("category")
+        reviewed.groupBy("category")
         .agg(
             F.countDistinct("order_id").alias("orders"),
             F.sum("items").alias("items_sold"),
@@ -193,15 +201,6 @@ def category_performance(
     )
 
 
-def _state() -> Column:
-    return F.coalesce("customer_state", F.lit("UNKNOWN")).alias("customer_state")
-
-
-def _review_repeats() -> Column:
-    """How often a join with the reviews would repeat an order."""
-    return F.coalesce("review_rows", F.lit(1))
-
-
 def state_performance(rollup: DataFrame) -> DataFrame:
     """Sales, delivery time and review scores per customer state.
 
