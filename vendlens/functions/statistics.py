@@ -52,7 +52,7 @@ def student_p(t: Column, freedom: Column) -> Column:
     fall = F.greatest(F.lit(1.0), F.abs(t) * (freedom - 1.0) / freedom)
     tail = _integral(log_density, start, F.least(end - start, F.lit(NEGLIGIBLE) / fall))
     whole = _integral(log_density, F.lit(0.0), F.least(end, F.lit(NEGLIGIBLE)))
-    return F.when(freedom >= 1.0, F.least(F.lit(1.0), tail / whole))
+    return F.when(t.isNotNull() & (freedom >= 1.0), F.least(F.lit(1.0), tail / whole))
 
 
 def welch_t(n1: Column, m1: Column, v1: Column, n2: Column, m2: Column, v2: Column) -> Column:

@@ -317,7 +317,8 @@ def late_review_test(summary: DataFrame, with_p: bool = True) -> DataFrame:
     if with_p:
         p = student_p(F.col("t"), F.col("freedom"))
         # Four significant digits.
-        extra.append(F.format_string("%.3e", p).cast("double").alias("welch_p"))
+        shortened = F.when(p.isNotNull(), F.format_string("%.3e", p))
+        extra.append(shortened.cast("double").alias("welch_p"))
     return result.select(*shown, *extra)
 
 

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vendlens.schemas import MULTILINE_FILES, RAW_FILES, RAW_TYPES, RawTables
@@ -12,23 +16,26 @@ def read_raw_csv(spark: SparkSession, path: str, multiline: bool = False) -> Dat
     """One CSV table: header row, typed by column name, rows that do not parse dropped.
 
     Only the header line is read ahead; types come from `RAW_TYPES`, so there is
-    no inference pass over the data.  Column pruning is off while parsing:
-    otherwise a row would count as malformed or not depending on which columns a
-    query asks for.  Quoted line breaks (`multiline`) stop Spark from splitting a
-    file, so such a table should come as many files.
+    no inference pass over the data.  Values are read as text and cast here: the CSV
+    reader itself checks only the columns a query asks for, so a row would be bad
+    for one query and good for another.  Quoted line breaks (`multiline`) stop Spark
+    from splitting a file, so such a table should come as many files.
     """
     reader = spark.read.option("header", True).option("multiLine", multiline)
     names = reader.csv(path).columns
-    schema = T.StructType([
-        T.StructField(n, T.DataType.fromDDL(RAW_TYPES.get(n, "string"))) for n in names
-    ])
-    return (
+    text = (
         reader.option("mode", "DROPMALFORMED")
         .option("columnPruning", False)
-        .option("quote", '"').option("escape", '"')
-        .schema(schema)
+        .option("escape", '"')
+        .schema(T.StructType([T.StructField(n, T.StringType()) for n in names]))
         .csv(path)
     )
+    filled = {n: F.nullif(F.trim(n), F.lit("")) for n in names if n in RAW_TYPES}
+    typed = {n: value.try_cast(RAW_TYPES[n]) for n, value in filled.items()}
+    readable = [value.isNull() | typed[n].isNotNull() for n, value in filled.items()]
+    return text.where(reduce(and_, readable, F.lit(True))).select(
+        *[typed[n].alias(n) if n in typed else F.col(n) for n in names]
+    )
 
 
 def raw_tables(spark: SparkSession, folder: str) -> RawTables:
