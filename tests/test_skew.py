@@ -44,10 +44,12 @@ def test_adaptive_execution_splits_a_customer_with_a_third_of_all_orders(spark,
     customers = spark.range(n).select(
         F.col("id").alias("customer_id"), (F.col("id") + 1).alias("customer_unique_id"))
     facts = fact_orders(orders, customers)
-    counts = facts.groupBy("order_month", "customer_unique_id").agg(F.count("order_id").alias("n"))
+    counts = facts.groupBy("order_month", "customer_unique_id").agg(
+        F.count("order_id").alias("n"), F.sum("order_id").alias("ids"))
     plan = joins(counts)
     assert "SortMergeJoin(skew=true)" in plan
-    assert counts.agg(F.sum("n"), F.max("n")).first()[:] == (n, n // 3)
+    assert counts.agg(F.sum("n"), F.max("n"), F.sum("ids")).first()[:] == (
+        n, n // 3, n * (n - 1) // 2)
 
 
 @pytest.mark.parametrize("hot_rows", [10, 10_000])
