@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable
-from dataclasses import replace
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -80,7 +79,7 @@ def _fact_orders_from_csv(spark: SparkSession, folder: str) -> DataFrame:
     target, raw = scratch_folder(spark), raw_tables(spark, folder)
     orders = read_raw_csv(spark, export_csv(raw.orders, target, "orders"))
     customers = read_raw_csv(spark, export_csv(raw.customers, target, "customers"))
-    facts = star_schema(replace(raw, orders=orders, customers=customers)).fact_orders
+    facts = star_schema(raw.with_tables(orders=orders, customers=customers)).fact_orders
     # Ids are text in the files and numbers in the test tables.
     return facts.withColumns({
         c: F.col(c).cast("bigint") for c in ("order_id", "customer_unique_id")

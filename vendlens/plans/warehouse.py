@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark.sql import DataFrame
+
 from vendlens.operators.dimensions import dim_customer, dim_date, dim_product, dim_seller
 from vendlens.operators.facts import (
+    check_grain,
     fact_order_items,
     fact_orders,
     fact_payments,
@@ -20,21 +23,25 @@ JOBS_AT_ONCE = 8
 
 def star_schema(raw: RawTables, grain: str = "reference") -> Star:
     """The whole star as lazy DataFrames: a query on it reads only what it needs."""
-    customers = dim_customer(raw.customers)
-    orders = fact_orders(raw.orders, raw.customers)
-    items = fact_order_items(raw.items)
-    payments = fact_payments(raw.payments)
-    reviews = fact_reviews(raw.reviews)
-    return Star(
-        dim_customer=customers,
-        dim_product=dim_product(raw.products, raw.category_translation),
-        dim_seller=dim_seller(raw.sellers),
-        dim_date=dim_date(raw.orders),
-        fact_orders=orders,
-        fact_order_items=items,
-        fact_payments=payments,
-        fact_reviews=reviews,
-        order_rollup=order_rollup(orders, customers, items, payments, reviews, grain),
+    check_grain(grain)
+    star = Star(
+        dim_customer=lambda: dim_customer(raw.customers),
+        dim_product=lambda: dim_product(raw.products, raw.category_translation),
+        dim_seller=lambda: dim_seller(raw.sellers),
+        dim_date=lambda: dim_date(raw.orders),
+        fact_orders=lambda: fact_orders(raw.orders, raw.customers),
+        fact_order_items=lambda: fact_order_items(raw.items),
+        fact_payments=lambda: fact_payments(raw.payments),
+        fact_reviews=lambda: fact_reviews(raw.reviews),
+        order_rollup=lambda: rollup_of(star, grain),
+    )
+    return star
+
+
+def rollup_of(star: Star, grain: str) -> DataFrame:
+    return order_rollup(
+        star.fact_orders, star.dim_customer, star.fact_order_items, star.fact_payments,
+        star.fact_reviews, grain,
     )
 
 
@@ -50,17 +57,14 @@ def store_raw(raw: RawTables, folder: str) -> RawTables:
 
 def store_star(raw: RawTables, folder: str, grain: str = "reference") -> Star:
     """Store the star: first dimensions and facts, then the order rollup built on them (A2)."""
-    lazy = star_schema(raw, grain).named()
-    lazy.pop("order_rollup")
+    star = star_schema(raw, grain)
+    base = [name for name in Star.NAMES if name != "order_rollup"]
     with ThreadPoolExecutor(JOBS_AT_ONCE) as pool:
-        jobs = {name: pool.submit(store_table, df, folder, name) for name, df in lazy.items()}
+        jobs = {
+            name: pool.submit(lambda n=name: store_table(getattr(star, n), folder, n))
+            for name in base
+        }
         stored = {name: job.result() for name, job in jobs.items()}
-    rollup = order_rollup(
-        stored["fact_orders"],
-        stored["dim_customer"],
-        stored["fact_order_items"],
-        stored["fact_payments"],
-        stored["fact_reviews"],
-        grain,
-    )
-    return Star(**stored, order_rollup=store_table(rollup, folder, "order_rollup"))
+    star = star.with_tables(**stored)
+    rollup = rollup_of(star, grain)
+    return star.with_tables(order_rollup=store_table(rollup, folder, "order_rollup"))

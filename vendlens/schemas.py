@@ -7,7 +7,7 @@ be orderable and hashable, so tables with integer ids work as well.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, fields
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
@@ -75,43 +75,57 @@ SUMMARY_COLUMNS = [
 ]
 
 
-@dataclass(frozen=True)
-class RawTables:
-    """The eight raw inputs."""
+class Tables:
+    """A fixed set of named DataFrames, each built when first used.
+
+    A query on one table then neither opens the files of the others nor has them
+    analysed.
+    """
 
-    orders: DataFrame
-    items: DataFrame
-    payments: DataFrame
-    reviews: DataFrame
-    customers: DataFrame
-    products: DataFrame
-    sellers: DataFrame
-    category_translation: DataFrame
+    NAMES: tuple[str, ...] = ()
+
+    def __init__(self, **sources: DataFrame | Callable[[], DataFrame]):
+        if set(sources) != set(self.NAMES):
+            raise ValueError(f"tables must be {self.NAMES}, not {tuple(sources)}")
+        self._sources = dict(sources)
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name.startswith("_") or name not in self.NAMES:
+            raise AttributeError(name)
+        source = self._sources[name]
+        if not isinstance(source, DataFrame):
+            source = self._sources[name] = source()
+        return source
 
     def named(self) -> dict[str, DataFrame]:
-        return {f.name: getattr(self, f.name) for f in fields(self)}
+        return {name: getattr(self, name) for name in self.NAMES}
+
+    def with_tables(self, **changes: DataFrame):
+        """The same tables with some of them replaced."""
+        return type(self)(**{**self._sources, **changes})
 
 
-@dataclass(frozen=True)
-class Star:
+class RawTables(Tables):
+    """The eight raw inputs."""
+
+    NAMES = (
+        "orders", "items", "payments", "reviews",
+        "customers", "products", "sellers", "category_translation",
+    )
+
+
+class Star(Tables):
     """The star schema: four dimensions, four facts, one wide order fact.
 
     `order_rollup` is the order summary plus review totals.
     """
 
-    dim_customer: DataFrame
-    dim_product: DataFrame
-    dim_seller: DataFrame
-    dim_date: DataFrame
-    fact_orders: DataFrame
-    fact_order_items: DataFrame
-    fact_payments: DataFrame
-    fact_reviews: DataFrame
-    order_rollup: DataFrame
+    NAMES = (
+        "dim_customer", "dim_product", "dim_seller", "dim_date",
+        "fact_orders", "fact_order_items", "fact_payments", "fact_reviews",
+        "order_rollup",
+    )
 
     @property
     def fact_order_summary(self) -> DataFrame:
         return self.order_rollup.select(*SUMMARY_COLUMNS)
-
-    def named(self) -> dict[str, DataFrame]:
-        return {f.name: getattr(self, f.name) for f in fields(self)}

@@ -41,6 +41,8 @@ def read_raw_csv(spark: SparkSession, path: str, multiline: bool = False) -> Dat
 def raw_tables(spark: SparkSession, folder: str) -> RawTables:
     """All eight raw tables of a folder (A1)."""
     return RawTables(**{
-        name: read_raw_csv(spark, f"{folder}/{pattern}", name in MULTILINE_FILES)
+        name: lambda name=name, pattern=pattern: read_raw_csv(
+            spark, f"{folder}/{pattern}", name in MULTILINE_FILES
+        )
         for name, pattern in RAW_FILES.items()
     })

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import fields
-
 from pyspark.sql import DataFrame, SparkSession
 
 from vendlens.schemas import RawTables, Star
@@ -15,10 +13,10 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def read_star(spark: SparkSession, folder: str) -> Star:
-    return Star(**{f.name: read_table(spark, folder, f.name) for f in fields(Star)})
+    return Star(**{n: lambda n=n: read_table(spark, folder, n) for n in Star.NAMES})
 
 
 def read_raw(spark: SparkSession, folder: str) -> RawTables:
     return RawTables(**{
-        f.name: read_table(spark, folder, f"raw_{f.name}") for f in fields(RawTables)
+        n: lambda n=n: read_table(spark, folder, f"raw_{n}") for n in RawTables.NAMES
     })

@@ -7,6 +7,8 @@ tables and any SQL engine can derive the same values.
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -166,17 +168,17 @@ def _translation(spark: SparkSession) -> DataFrame:
 def raw_tables(spark: SparkSession, folder: str) -> RawTables:
     """The raw marketplace tables derived from the Parquet tables of `folder`."""
 
+    @cache
     def table(name: str) -> DataFrame:
         return spark.read.parquet(f"{folder}/{name}.parquet")
 
-    orders, lineitem, nation = table("orders"), table("lineitem"), table("nation")
     return RawTables(
-        orders=_orders(orders),
-        items=_items(lineitem),
-        payments=_payments(lineitem),
-        reviews=_reviews(orders),
-        customers=_customers(table("customer"), nation),
-        products=_products(table("part")),
-        sellers=_sellers(table("supplier"), nation),
-        category_translation=_translation(spark),
+        orders=lambda: _orders(table("orders")),
+        items=lambda: _items(table("lineitem")),
+        payments=lambda: _payments(table("lineitem")),
+        reviews=lambda: _reviews(table("orders")),
+        customers=lambda: _customers(table("customer"), table("nation")),
+        products=lambda: _products(table("part")),
+        sellers=lambda: _sellers(table("supplier"), table("nation")),
+        category_translation=lambda: _translation(spark),
     )
