@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-ROWS_PER_RANGE = 2_000_000
+ROWS_PER_RANGE = 500_000
 MAX_RANGES = 4_096
 SAMPLE_PER_RANGE = 20
 
@@ -178,10 +178,36 @@ def rank_and_running_sum(
     """
     ranges = range_cuts(df, ordering, rows, rows_per_range)
     ranged = df.withColumn("range", ranges.index())
-    # One row per range: these windows are over at most MAX_RANGES rows.
+    if ranges.points:
+        ranged = ranged.join(F.broadcast(_range_offsets(ranged, summed)), "range")
+    else:
+        # One range, of at most `rows_per_range` rows, is the whole table.
+        whole = Window.partitionBy("range")
+        ranged = ranged.select(
+            "*",
+            F.lit(0).alias("rows_before"),
+            F.lit(None).cast("bigint").alias("sum_before"),
+            F.count(F.lit(1)).over(whole).alias("total_rows"),
+            F.sum(summed).over(whole).alias("total_sum"),
+        )
+    local = Window.partitionBy("range").orderBy(*_sort_columns(ordering))
+    running = local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    here, earlier = F.sum(summed).over(running), F.col("sum_before")
+    return (
+        ranged.withColumn("rank", F.row_number().over(local) + F.col("rows_before"))
+        .withColumn("running_sum", F.coalesce(here + earlier, here, earlier))
+        .drop("range", "rows_before", "sum_before")
+    )
+
+
+def _range_offsets(ranged: DataFrame, summed: str) -> DataFrame:
+    """What lies before each range, and the totals: one row per range.
+
+    The windows are over these rows only, at most MAX_RANGES.
+    """
     before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.partitionBy()
-    offsets = (
+    return (
         ranged.groupBy("range")
         .agg(F.count(F.lit(1)).alias("n"), F.sum(summed).alias("s"))
         .select(
@@ -192,15 +218,6 @@ def rank_and_running_sum(
             F.sum("s").over(everything).alias("total_sum"),
         )
     )
-    local = Window.partitionBy("range").orderBy(*_sort_columns(ordering))
-    running = local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    here, earlier = F.sum(summed).over(running), F.col("sum_before")
-    return (
-        ranged.join(F.broadcast(offsets), "range")
-        .withColumn("rank", F.row_number().over(local) + F.col("rows_before"))
-        .withColumn("running_sum", F.coalesce(here + earlier, here, earlier))
-        .drop("range", "rows_before", "sum_before")
-    )
 
 
 def _sort_columns(ordering: Ordering) -> list[Column]:
