@@ -261,3 +261,14 @@ def test_order_grain_totals_agree(spark, small):
     ).selectExpr("sum(revenue)").first()[0]
     for other in (last, repeat, state, category):
         assert other == pytest.approx(total, rel=1e-12)
+
+
+def test_many_small_ranges_give_the_same_marts(spark, small):
+    from vendlens.session import materialise
+    from vendlens.sources.trade_tables import raw_tables
+
+    star = star_schema(raw_tables(spark, small))
+    profile = materialise(rfm.customer_profile(star.fact_order_summary), "profile")
+    for build in (rfm.rfm_tiered, rfm.rfm_ntile, m.pareto):
+        one, many = build(profile, stored=True), build(profile, 10, stored=True)
+        assert one.exceptAll(many).count() == many.exceptAll(one).count() == 0

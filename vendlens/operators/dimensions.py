@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vendlens.functions.columns import round_n
+
 
 def dim_customer(customers: DataFrame) -> DataFrame:
     """One row per (customer, state, zip).  A customer who moved has several rows (B1).
@@ -42,7 +44,7 @@ def dim_product(products: DataFrame, translation: DataFrame) -> DataFrame:
         "product_length_cm",
         "product_height_cm",
         "product_width_cm",
-        (F.round(volume * 10.0) / 10.0).alias("product_volume_cm3"),
+        round_n(volume, 1).alias("product_volume_cm3"),
     )
 
 

@@ -32,7 +32,10 @@ SAMPLE_PER_RANGE = 20
 
 @dataclass(frozen=True)
 class Ordering:
-    """ORDER BY value [DESC] NULLS LAST, key NULLS LAST, with `key` unique."""
+    """ORDER BY value [DESC] NULLS LAST, key NULLS LAST, with `key` unique.
+
+    Values are numbers (or dates, ascending), keys numbers or strings.
+    """
 
     value: str
     key: str

@@ -6,6 +6,8 @@ Two frequency scores are kept apart on purpose: `rfm_tiered` uses fixed tiers
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -61,16 +63,21 @@ def _scored(profile: DataFrame, tiered: bool, rows_per_range: int, stored: bool)
     def quintile(value: str) -> Column:
         return ntile(base, 5, Ordering(value, KEY), rows, rows_per_range)
 
+    # The searches for the tile starts do not depend on each other.
+    scores = ["last_order_date", "monetary_cents"] + ([] if tiered else ["frequency"])
+    with ThreadPoolExecutor(len(scores)) as pool:
+        tiles = dict(zip(scores, pool.map(quintile, scores)))
+
     as_of = base.agg(F.max("last_order_date").alias("as_of_date")).scalar()
     # The most recent fifth scores 5: fewest days since the last order is the
     # same as the latest last order.
-    frequency_score = frequency_tier(F.col("frequency")) if tiered else quintile("frequency")
+    frequency_score = frequency_tier(F.col("frequency")) if tiered else tiles["frequency"]
     scored = base.select(
         "*",
         as_of.alias("as_of_date"),
-        quintile("last_order_date").alias("r_score"),
+        tiles["last_order_date"].alias("r_score"),
         frequency_score.alias("f_score"),
-        quintile("monetary_cents").alias("m_score"),
+        tiles["monetary_cents"].alias("m_score"),
     )
     spent = F.col("monetary_cents")
     return scored.select(
