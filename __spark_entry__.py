@@ -53,12 +53,6 @@ def _on_marts(build: Callable[..., DataFrame], *names: str, **options) -> Query:
     return run
 
 
-def _category_once(s: Star) -> DataFrame:
-    return m.category_performance(
-        s.fact_order_items, s.fact_orders, s.dim_product, s.fact_reviews, grain="order"
-    )
-
-
 def _correlation(state: DataFrame) -> DataFrame:
     return findings.delivery_review_correlation(state).select(round_n(F.col("r"), 6).alias("r"), "n")
 
@@ -119,7 +113,7 @@ def queries() -> dict[str, Query]:
     result |= {
         "fact_order_summary_order_grain": _on_star(MARTS["fact_order_summary"], "order"),
         "mart_rfm_base": _on_star(catalogue.rfm_base),
-        "mart_category_order_grain": _on_star(_category_once),
+        "mart_category_order_grain": _on_star(MARTS["mart_category"], "order"),
         "mart_state_order_grain": _on_star(MARTS["mart_state"], "order"),
         "mart_sla_by_state_order_grain": _on_star(MARTS["mart_sla_by_state"], "order"),
         "dq_checks": _on_star(

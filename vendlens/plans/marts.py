@@ -26,7 +26,7 @@ MARTS: dict[str, Callable[[Star], DataFrame]] = {
     "mart_cohort": lambda s: m.cohort_retention(s.fact_orders),
     "mart_pareto": lambda s: m.pareto(rfm.customer_profile(s.fact_order_summary)),
     "mart_category": lambda s: m.category_performance(
-        s.fact_order_items, s.fact_orders, s.dim_product, s.fact_reviews
+        s.fact_order_items, s.fact_orders, s.dim_product, s.fact_reviews, s.grain
     ),
     "mart_state": lambda s: m.state_performance(s.order_rollup),
     "mart_delivery_sla": lambda s: m.delivery_sla(s.fact_orders),

@@ -58,10 +58,11 @@ def run_report(
     window_start: str = WINDOW_START,
     min_cohort: int = MIN_COHORT,
     top_customers: int = 8000,
+    grain: str = "reference",
 ) -> dict[str, str]:
     """Build everything under `folder`; returns the written CSV and JSON paths by name."""
     tables, processed, reports = f"{folder}/tables", f"{folder}/processed", f"{folder}/reports"
-    star = store_star(raw, tables)
+    star = store_star(raw, tables, grain)
 
     def checks() -> str:
         return export_json(data_quality(star), reports, "data_quality")

@@ -25,6 +25,7 @@ def star_schema(raw: RawTables, grain: str = "reference") -> Star:
     """The whole star as lazy DataFrames: a query on it reads only what it needs."""
     check_grain(grain)
     star = Star(
+        grain,
         dim_customer=lambda: dim_customer(raw.customers),
         dim_product=lambda: dim_product(raw.products, raw.category_translation),
         dim_seller=lambda: dim_seller(raw.sellers),
@@ -33,15 +34,15 @@ def star_schema(raw: RawTables, grain: str = "reference") -> Star:
         fact_order_items=lambda: fact_order_items(raw.items),
         fact_payments=lambda: fact_payments(raw.payments),
         fact_reviews=lambda: fact_reviews(raw.reviews),
-        order_rollup=lambda: rollup_of(star, grain),
+        order_rollup=lambda: rollup_of(star),
     )
     return star
 
 
-def rollup_of(star: Star, grain: str) -> DataFrame:
+def rollup_of(star: Star) -> DataFrame:
     return order_rollup(
         star.fact_orders, star.dim_customer, star.fact_order_items, star.fact_payments,
-        star.fact_reviews, grain,
+        star.fact_reviews, star.grain,
     )
 
 
@@ -66,5 +67,5 @@ def store_star(raw: RawTables, folder: str, grain: str = "reference") -> Star:
         }
         stored = {name: job.result() for name, job in jobs.items()}
     star = star.with_tables(**stored)
-    rollup = rollup_of(star, grain)
+    rollup = rollup_of(star)
     return star.with_tables(order_rollup=store_table(rollup, folder, "order_rollup"))

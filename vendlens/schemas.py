@@ -117,7 +117,8 @@ class RawTables(Tables):
 class Star(Tables):
     """The star schema: four dimensions, four facts, one wide order fact.
 
-    `order_rollup` is the order summary plus review totals.
+    `order_rollup` is the order summary plus review totals.  `grain` is the one it was
+    built with, see `operators.facts`.
     """
 
     NAMES = (
@@ -126,6 +127,13 @@ class Star(Tables):
         "order_rollup",
     )
 
+    def __init__(self, grain: str = "reference", **sources):
+        super().__init__(**sources)
+        self.grain = grain
+
+    def with_tables(self, **changes: DataFrame) -> Star:
+        return Star(self.grain, **{**self._sources, **changes})
+
     @property
     def fact_order_summary(self) -> DataFrame:
         return self.order_rollup.select(*SUMMARY_COLUMNS)

@@ -12,8 +12,9 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}")
 
 
-def read_star(spark: SparkSession, folder: str) -> Star:
-    return Star(**{n: lambda n=n: read_table(spark, folder, n) for n in Star.NAMES})
+def read_star(spark: SparkSession, folder: str, grain: str = "reference") -> Star:
+    """A stored star; `grain` is the one it was stored with."""
+    return Star(grain, **{n: lambda n=n: read_table(spark, folder, n) for n in Star.NAMES})
 
 
 def read_raw(spark: SparkSession, folder: str) -> RawTables:
