@@ -15,7 +15,7 @@ from vendlens.operators.facts import (
     fact_reviews,
     order_rollup,
 )
-from vendlens.schemas import RawTables, Star
+from vendlens.schemas import ROLLUP_TABLE, RawTables, Star
 from vendlens.sinks.files import store_table
 
 JOBS_AT_ONCE = 8
@@ -68,4 +68,4 @@ def store_star(raw: RawTables, folder: str, grain: str = "reference") -> Star:
         stored = {name: job.result() for name, job in jobs.items()}
     star = star.with_tables(**stored)
     rollup = rollup_of(star)
-    return star.with_tables(order_rollup=store_table(rollup, folder, "order_rollup"))
+    return star.with_tables(order_rollup=store_table(rollup, folder, ROLLUP_TABLE))

@@ -75,6 +75,10 @@ SUMMARY_COLUMNS = [
 ]
 
 
+# The order rollup is stored under the name of the summary it extends.
+ROLLUP_TABLE = "fact_order_summary"
+
+
 class Tables:
     """A fixed set of named DataFrames, each built when first used.
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vendlens.schemas import RawTables, Star
+from vendlens.schemas import ROLLUP_TABLE, RawTables, Star
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -14,7 +14,10 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def read_star(spark: SparkSession, folder: str, grain: str = "reference") -> Star:
     """A stored star; `grain` is the one it was stored with."""
-    return Star(grain, **{n: lambda n=n: read_table(spark, folder, n) for n in Star.NAMES})
+    stored = {n: ROLLUP_TABLE if n == "order_rollup" else n for n in Star.NAMES}
+    return Star(grain, **{
+        n: lambda table=table: read_table(spark, folder, table) for n, table in stored.items()
+    })
 
 
 def read_raw(spark: SparkSession, folder: str) -> RawTables:
