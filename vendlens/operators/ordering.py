@@ -19,6 +19,7 @@ rows at which a new tile starts, and those are looked up in their ranges only.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
@@ -28,6 +29,7 @@ from pyspark.sql import Window
 ROWS_PER_RANGE = 500_000
 MAX_RANGES = 4_096
 SAMPLE_PER_RANGE = 20
+FEW_POINTS = 8
 
 
 @dataclass(frozen=True)
@@ -63,12 +65,22 @@ class Ranges:
     schema: str
 
     def index(self) -> Column:
-        """How many cut points are at or before the row, by binary search."""
-        count = len(self.points)
-        if count == 0:
+        """How many cut points are at or before the row."""
+        if not self.points:
             return F.lit(0)
-        cuts = F.from_json(F.lit("[" + ",".join(self.points) + "]"), f"array<{self.schema}>")
         place = self.ordering.place()
+        if len(self.points) <= FEW_POINTS:
+            # Plain comparisons stay inside whole-stage code generation.
+            passed = [
+                F.when(place >= F.from_json(F.lit(p), self.schema), 1).otherwise(0)
+                for p in self.points
+            ]
+            return reduce(Column.__add__, passed)
+        return self._binary_search(place)
+
+    def _binary_search(self, place: Column) -> Column:
+        count = len(self.points)
+        cuts = F.from_json(F.lit("[" + ",".join(self.points) + "]"), f"array<{self.schema}>")
         steps = [2**e for e in reversed(range(count.bit_length()))]
         return F.aggregate(
             F.array(*[F.lit(s) for s in steps]),
