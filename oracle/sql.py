@@ -645,6 +645,40 @@ QUERIES: dict[str, str] = {
 }
 QUERIES["fact_orders_from_csv"] = QUERIES["fact_orders"]
 
+# The numbers of the findings document: section -> (query, its numeric columns).
+_NUMBERS = [
+    ("trend", "trend_summary", [
+        "months_in_window", "peak_revenue_brl", "first_month_revenue_brl",
+        "last_month_revenue_brl", "window_growth_pct", "annualised_growth_pct",
+        "best_mom_pct", "worst_mom_pct"]),
+    ("cohort", "cohort_summary", [
+        "median_m1_retention_pct", "best_m1_retention_pct", "worst_m1_retention_pct",
+        "max_observed_offset"]),
+    ("rfm", "segment_summary", [
+        "top_segment_customers", "top_segment_pct_customers", "top_segment_pct_revenue",
+        "at_risk_customers", "at_risk_revenue_brl", "cant_lose_revenue_brl"]),
+    ("pareto", "repeat_summary", ["one_time_customer_pct", "repeat_customer_pct"]),
+    ("category", "category_summary", [
+        "top_category_pct_revenue", "top3_pct_revenue", "categories_total"]),
+    ("state", "state_summary", ["top3_states_pct_revenue", "slowest_state_days"]),
+    ("state", "delivery_review_test", ["delivery_vs_review_r", "delivery_vs_review_p"]),
+    ("payment", "payment_summary", ["card_pct_value", "card_avg_installments"]),
+    ("sla", "sla_summary", [
+        "avg_on_time_pct", "bad_review_rate_ontime_pct", "bad_review_rate_late_pct",
+        "avg_delivery_days"]),
+    ("sla", "late_review_test", [
+        "late_orders", "late_pct_of_delivered", "late_avg_review", "ontime_avg_review",
+        "welch_t", "welch_p"]),
+]
+QUERIES["findings_numbers"] = " UNION ALL ".join(
+    f"SELECT '{section}' AS section, unnest({names}) AS metric, "
+    f"unnest([{', '.join(f'CAST({n} AS DOUBLE)' for n in names)}]) AS value "
+    f"FROM ({QUERIES[query]})"
+    for section, query, names in _NUMBERS
+) + f"""
+    UNION ALL SELECT 'pareto', concat('concentration_', pct), pct_revenue
+    FROM ({QUERIES["pareto_marks"]})"""
+
 
 def _needs(text: str) -> set[str]:
     return {name for name in PARTS if re.search(rf"\b{name}\b", text)}
