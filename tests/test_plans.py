@@ -2,6 +2,7 @@
 
 import pytest
 
+
 @pytest.fixture()
 def whole_metadata(spark):
     spark.conf.set("spark.sql.maxMetadataStringLength", "2000")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
@@ -12,15 +13,27 @@ from vendlens.operators.findings import MIN_COHORT, WINDOW_START, findings_docum
 from vendlens.operators.headline import headline_metrics
 from vendlens.operators.quality import data_quality
 from vendlens.plans.marts import MARTS
-from vendlens.plans.warehouse import JOBS_AT_ONCE, store_star
+from vendlens.plans.warehouse import JOBS_AT_ONCE, store_facts, store_rollup
 from vendlens.schemas import RawTables, Star
 from vendlens.sinks.files import export_csv, export_json, store_table
 
-# Marts over one row per customer: these share one customer profile.
-CUSTOMER_MARTS = {
-    "mart_rfm", "mart_rfm_segments", "mart_pareto", "mart_repeat", "mart_customer_segment",
-}
-STAR_EXPORTS = {"dim_date", "fact_order_summary"}
+# Marts over dimensions and facts alone: they need not wait for the order rollup.
+FACT_MARTS = ["mart_category", "mart_payment", "mart_cohort", "mart_delivery_sla"]
+ROLLUP_MARTS = ["mart_monthly_kpi", "mart_state", "mart_review_delay", "mart_sla_by_state"]
+
+
+def _store_all(builds: dict[str, Callable[[], DataFrame]], folder: str) -> dict[str, DataFrame]:
+    with ThreadPoolExecutor(JOBS_AT_ONCE) as pool:
+        jobs = {
+            name: pool.submit(lambda n=name, b=build: store_table(b(), folder, n))
+            for name, build in builds.items()
+        }
+        return {name: job.result() for name, job in jobs.items()}
+
+
+def store_fact_marts(facts: Star, folder: str) -> dict[str, DataFrame]:
+    """Store the marts over stored facts."""
+    return _store_all({n: lambda n=n: MARTS[n](facts) for n in FACT_MARTS}, folder)
 
 
 def store_profile(star: Star, folder: str) -> DataFrame:
@@ -28,28 +41,26 @@ def store_profile(star: Star, folder: str) -> DataFrame:
     return store_table(rfm.customer_profile(star.fact_order_summary), folder, "customer_profile")
 
 
-def store_marts(star: Star, profile: DataFrame, folder: str) -> dict[str, DataFrame]:
-    """Compute every mart once, store it, and return the stored tables by name."""
+def store_order_marts(star: Star, profile: DataFrame, folder: str) -> dict[str, DataFrame]:
+    """Store the marts over the order rollup and the customer profile."""
 
-    def segments() -> dict[str, DataFrame]:
+    def segments() -> DataFrame:
         base = store_table(rfm.rfm_tiered(profile, stored=True), folder, "mart_rfm_base")
-        labelled = store_table(rfm.customer_segments(base), folder, "mart_customer_segment")
-        return {"mart_customer_segment": labelled}
+        return rfm.customer_segments(base)
 
-    def rollup(segmented: dict[str, DataFrame]) -> dict[str, DataFrame]:
-        table = rfm.segment_rollup(segmented["mart_customer_segment"])
-        return {"mart_rfm_segments": store_table(table, folder, "mart_rfm_segments")}
-
-    builds = {name: lambda build=build: build(star) for name, build in MARTS.items()
-              if name not in CUSTOMER_MARTS | STAR_EXPORTS}
+    builds = {n: lambda n=n: MARTS[n](star) for n in ROLLUP_MARTS}
+    builds["mart_customer_segment"] = segments
     builds["mart_rfm"] = lambda: rfm.rfm_ntile(profile, stored=True)
     builds["mart_pareto"] = lambda: m.pareto(profile, stored=True)
     builds["mart_repeat"] = lambda: m.repeat_purchase(profile)
-    with ThreadPoolExecutor(JOBS_AT_ONCE) as pool:
-        jobs = {name: pool.submit(lambda n=name, b=build: store_table(b(), folder, n))
-                for name, build in builds.items()}
-        segmented = segments()
-        return {**segmented, **rollup(segmented), **{n: j.result() for n, j in jobs.items()}}
+    marts = _store_all(builds, folder)
+    rollup = rfm.segment_rollup(marts["mart_customer_segment"])
+    return {**marts, "mart_rfm_segments": store_table(rollup, folder, "mart_rfm_segments")}
+
+
+def store_marts(star: Star, profile: DataFrame, folder: str) -> dict[str, DataFrame]:
+    """Compute every mart once, store it, and return the stored tables by name."""
+    return {**store_fact_marts(star, folder), **store_order_marts(star, profile, folder)}
 
 
 def run_report(
@@ -62,30 +73,29 @@ def run_report(
 ) -> dict[str, str]:
     """Build everything under `folder`; returns the written CSV and JSON paths by name."""
     tables, processed, reports = f"{folder}/tables", f"{folder}/processed", f"{folder}/reports"
-    star = store_star(raw, tables, grain)
-
-    def checks() -> str:
-        return export_json(data_quality(star), reports, "data_quality")
-
-    def headline(profile: DataFrame) -> str:
-        return export_json(
-            headline_metrics(star, top_customers, profile), reports, "headline_metrics"
-        )
 
     def export(name: str, df: DataFrame) -> str:
         return export_csv(df, processed, name)
 
+    def checks(star: Star) -> str:
+        return export_json(data_quality(star), reports, "data_quality")
+
+    def headline(star: Star, profile: DataFrame) -> str:
+        metrics = headline_metrics(star, top_customers, profile)
+        return export_json(metrics, reports, "headline_metrics")
+
+    facts = store_facts(raw, tables, grain)
     with ThreadPoolExecutor(JOBS_AT_ONCE) as pool:
-        jobs = {
-            "data_quality": pool.submit(checks),
-            "dim_date": pool.submit(export, "dim_date", MARTS["dim_date"](star)),
-            "fact_order_summary": pool.submit(
-                export, "fact_order_summary", star.fact_order_summary
-            ),
-        }
+        early = pool.submit(store_fact_marts, facts, tables)
+        jobs = {"dim_date": pool.submit(export, "dim_date", MARTS["dim_date"](facts))}
+        star = store_rollup(facts, tables)
+        jobs["data_quality"] = pool.submit(checks, star)
+        jobs["fact_order_summary"] = pool.submit(
+            export, "fact_order_summary", star.fact_order_summary
+        )
         profile = store_profile(star, tables)
-        jobs["headline_metrics"] = pool.submit(headline, profile)
-        marts = store_marts(star, profile, tables)
+        jobs["headline_metrics"] = pool.submit(headline, star, profile)
+        marts = {**store_order_marts(star, profile, tables), **early.result()}
         jobs |= {name: pool.submit(export, name, df) for name, df in marts.items()}
         findings = findings_document(marts, star.fact_order_summary, window_start, min_cohort)
         jobs["findings"] = pool.submit(export_json, findings, reports, "findings")

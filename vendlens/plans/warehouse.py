@@ -56,16 +56,25 @@ def store_raw(raw: RawTables, folder: str) -> RawTables:
         return RawTables(**{name: job.result() for name, job in stored.items()})
 
 
-def store_star(raw: RawTables, folder: str, grain: str = "reference") -> Star:
-    """Store the star: first dimensions and facts, then the order rollup built on them (A2)."""
+def store_facts(raw: RawTables, folder: str, grain: str = "reference") -> Star:
+    """Store dimensions and facts (A2); the order rollup on top of them stays lazy."""
     star = star_schema(raw, grain)
-    base = [name for name in Star.NAMES if name != "order_rollup"]
+    names = [name for name in Star.NAMES if name != "order_rollup"]
     with ThreadPoolExecutor(JOBS_AT_ONCE) as pool:
         jobs = {
             name: pool.submit(lambda n=name: store_table(getattr(star, n), folder, n))
-            for name in base
+            for name in names
         }
         stored = {name: job.result() for name, job in jobs.items()}
-    star = star.with_tables(**stored)
-    rollup = rollup_of(star)
-    return star.with_tables(order_rollup=store_table(rollup, folder, ROLLUP_TABLE))
+    facts = star.with_tables(**stored)
+    return facts.with_tables(order_rollup=lambda: rollup_of(facts))
+
+
+def store_rollup(facts: Star, folder: str) -> Star:
+    """Store the order rollup of stored facts (A2)."""
+    return facts.with_tables(order_rollup=store_table(facts.order_rollup, folder, ROLLUP_TABLE))
+
+
+def store_star(raw: RawTables, folder: str, grain: str = "reference") -> Star:
+    """Store the whole star: dimensions and facts, then the order rollup built on them."""
+    return store_rollup(store_facts(raw, folder, grain), folder)
