@@ -120,8 +120,25 @@ def entry(spark: SparkSession) -> DataFrame:
     return queries()["mart_monthly_kpi"](spark, SMALL)
 
 
+def _training_data():
+    """The queries on training data, or None where that subpackage is not installed."""
+    try:
+        from vendlens.llm import queries as training
+    except ModuleNotFoundError as missing:
+        if (missing.name or "").startswith(("vendlens.llm", "corpus_pipeline")):
+            return None
+        raise
+    return training
+
+
 def queries() -> dict[str, Query]:
     """Every operator, as (spark, folder) -> DataFrame over the tables of the folder."""
+    training = _training_data()
+    return library_queries() | (training.QUERIES if training else {})
+
+
+def library_queries() -> dict[str, Query]:
+    """The operators on the marketplace."""
     kpi, cohort, segments = "mart_monthly_kpi", "mart_cohort", "mart_rfm_segments"
     state, category, sla = "mart_state", "mart_category", "mart_delivery_sla"
     dimensions_and_facts = [
@@ -211,7 +228,13 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    """The same queries as DuckDB SQL over the test tables.
+    """The same queries as DuckDB SQL over the test tables, as far as SQL can express them."""
+    training = _training_data()
+    return library_oracles() | (training.ORACLES if training else {})
+
+
+def library_oracles() -> dict[str, str]:
+    """SQL for the operators on the marketplace.
 
     None for `segment_table` and `findings_document`, which are JSON text; their numbers
     are those of `data_segments_ordered` and `findings_numbers`.
