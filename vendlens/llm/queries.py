@@ -4,19 +4,35 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from vendlens.llm import exact_dedup
+from vendlens.llm import bpe, exact_dedup, packing
 from vendlens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+
+
+def op1_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    encoded = bpe.encode(table(spark, folder, "documents"), BYTE_VOCABULARY)
+    return bpe.digests(bpe.decode(encoded, BYTE_VOCABULARY))
+
+
+def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack_places(table(spark, folder, "documents"), WORD_VOCABULARY)
+
+
 def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, folder, "documents"), digests=True)
 
 
 QUERIES: dict[str, Query] = {
+    "op1_bpe": op1_bpe,
+    "op4_packing": op4_packing,
     "op9_exact_dedup": op9_exact_dedup,
 }
 
