@@ -1,0 +1,120 @@
+"""Line dedup against SQL and a plain version, and updates against a new index."""
+
+import random
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from compare import database, differences
+
+from vendlens.llm import line_dedup, queries
+from vendlens.llm.line_dedup import SPACE, CuckooFilter
+
+
+def plain(rows):
+    """{position: (n_lines, kept text)}"""
+    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+    def key(line):
+        return line.strip(SPACE).translate(lower)
+
+    holders = defaultdict(set)
+    for doc_id, text in rows:
+        for line in (text or "").split("\n"):
+            if len(key(line)) >= 20 and doc_id is not None:
+                holders[key(line)].add(doc_id)
+    result = []
+    for doc_id, text in rows:
+        lines = (text or "").split("\n")
+        kept = [
+            line for line in lines
+            if doc_id is None or len(holders[key(line)]) < 3 or doc_id == max(holders[key(line)])
+        ]
+        result.append((doc_id, len(lines), len(lines) - len(kept), "\n".join(kept)))
+    return sorted(result, key=repr)
+
+
+COMMON = "This line is found in many documents"
+ROWS = [
+    (1, f"a\n{COMMON}\nb"), (2, f"  {COMMON.upper()}\t\n{COMMON}"), (3, f"{COMMON}\n{COMMON}\nx"),
+    (4, None), (5, ""), (6, "\n\n"), (7, "short\n" * 50), (8, "short\n" * 3), (9, "short"),
+    (10, "ÉCOLE est une ligne assez longue"), (11, "école est une ligne assez longue"),
+    (12, "École est une ligne assez longue"), (None, COMMON), (2, f"{COMMON}\nsecond row of two"),
+    (13, "twenty code points!!\r"), (14, "twenty code points!!"), (15, "TWENTY code points!!"),
+    (16, "日本語" * 7), (17, "日本語" * 7), (18, "日本語" * 7 + " "), (19, "日本語" * 7),
+    (20, ("long " * 40 + "\n") * 3000),
+]
+
+
+def texts(df):
+    return sorted([(r.doc_id, r.n_lines, r.n_dropped, r.text) for r in df.collect()], key=repr)
+
+
+def test_odd_rows(spark):
+    docs = spark.createDataFrame(ROWS, "doc_id long, text string")
+    assert texts(line_dedup.line_dedup(docs)) == plain(ROWS)
+
+
+def test_clashing_columns_are_kept(spark):
+    rows = [(i, COMMON, i * 7, "k") for i in (1, 2, 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_lines long, keys string")
+    found = line_dedup.line_dedup(docs)
+    assert found.columns == ["doc_id", "text", "n_lines", "keys", "_n_lines", "n_dropped"]
+    assert {(r.doc_id, r.n_lines, r.keys, r._n_lines, r.n_dropped) for r in found.collect()} == {
+        (1, 7, "k", 1, 1), (2, 14, "k", 1, 1), (3, 21, "k", 1, 0)
+    }
+
+
+def test_query_against_sql(spark, small):
+    found = queries.op7_line_dedup(spark, small)
+    assert differences(found, database(small), line_dedup.SQL) is None
+
+
+def test_empty_table(spark, tmp_path):
+    spark.createDataFrame([], "doc_id long, text string").write.parquet(
+        f"{tmp_path}/documents.parquet"
+    )
+    assert queries.op7_line_dedup(spark, str(tmp_path)).count() == 0
+
+
+@pytest.mark.parametrize("shard_size", [3, 50_000])
+def test_updates_equal_a_new_index(spark, monkeypatch, shard_size):
+    monkeypatch.setattr(line_dedup, "KEYS_PER_SHARD", shard_size)
+    rng = random.Random(1)
+    lines = [f"line number {i} of the common stock" for i in range(60)]
+
+    def some(ids):
+        return [(i, "\n".join(rng.choices(lines, k=6))) for i in ids]
+
+    def frame(rows):
+        return spark.createDataFrame(rows, "doc_id long, text string")
+
+    first, second = some(range(40)), some([*range(35, 60)])
+    index = line_dedup.build(frame(first))
+    deleted = [(i,) for i in range(0, 30, 2)]
+    ids = spark.createDataFrame(deleted, "doc_id long")
+    index = line_dedup.update(index, added=frame(second), deleted=ids)
+    left = [r for r in first if r[0] < 35 and (r[0],) not in deleted] + second
+    assert texts(line_dedup.drop_lines(frame(left), index)) == plain(left)
+    # Deleting what was added gives back the lines.
+    back = line_dedup.update(index, deleted=frame(second).select("doc_id"))
+    left = [r for r in left if r not in second]
+    assert texts(line_dedup.drop_lines(frame(left), back)) == plain(left)
+    common = {(r.high, r.low) for r in back.common().collect()}
+    for row in back.filters.collect():
+        mine = np.array([k for k in common if k[0] % back.shards == row.shard]).reshape(-1, 2)
+        held = CuckooFilter.from_bytes(row.filter)
+        assert held.contains(mine[:, 0], mine[:, 1]).all()
+        assert (held.table > 0).sum() == len(mine)
+
+
+def test_cuckoo_filter():
+    rng = np.random.default_rng(2)
+    keys = rng.integers(-2**62, 2**62, (30_000, 2))
+    held = CuckooFilter.of(keys[:, 0], keys[:, 1])
+    assert held.contains(keys[:, 0], keys[:, 1]).all()
+    others = rng.integers(-2**62, 2**62, (30_000, 2))
+    assert held.contains(others[:, 0], others[:, 1]).mean() < 0.001
+    held.delete(keys[:10_000, 0], keys[:10_000, 1])
+    assert held.contains(keys[10_000:, 0], keys[10_000:, 1]).all()
+    assert held.contains(keys[:10_000, 0], keys[:10_000, 1]).mean() < 0.001

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from vendlens.llm import bpe, exact_dedup, packing
+from vendlens.llm import bpe, exact_dedup, line_dedup, packing
 from vendlens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,11 @@ def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_places(table(spark, folder, "documents"), WORD_VOCABULARY)
 
 
+def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return line_dedup.digests(line_dedup.line_dedup(docs))
+
+
 def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, folder, "documents"), digests=True)
 
@@ -33,9 +38,11 @@ def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_bpe": op1_bpe,
     "op4_packing": op4_packing,
+    "op7_line_dedup": op7_line_dedup,
     "op9_exact_dedup": op9_exact_dedup,
 }
 
 ORACLES: dict[str, str] = {
+    "op7_line_dedup": line_dedup.SQL,
     "op9_exact_dedup": exact_dedup.SQL,
 }
