@@ -1,9 +1,9 @@
 """Operator 9: exact duplicates by progressive refinement, in DataFrame operations only.
 
 Texts are compared after each run of white space became one space.  Rows are grouped by
-length first; only rows that share their length get a prefix hash, and only rows that share
-both are read in full and get a SHA-256.  Each step counts with partial aggregation, and
-carries a few numbers per row, never text.
+length first, those that share it by the hash of their start, and only rows that share both
+are read in full and get a SHA-256.  The first two steps carry two numbers per row and count
+with partial aggregation; texts are moved once, to meet the groups that are still open.
 
 Defined results: null text is the empty text.  Of equal texts the smallest id stays; null
 ids come last.  Where the staying id is on several rows of the group, one of them stays.  An
@@ -37,20 +37,21 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     `text_sha256` is null for rows that no other row can equal, as these are never read in
     full; with `digests` those rows are read for their digest as well.
     """
-    texts = docs.select(F.col(id_col).alias("doc_id"), normalised(F.col(text_col)).alias("body"))
-    lengths = materialise(texts.select("doc_id", F.length("body").alias("n")), "lengths")
-    by_length = _shared(lengths, "n")
-
-    # Second step: a hash of the start, for rows whose length is shared.
-    sized = texts.withColumn("n", F.length("body"))
-    prefix = F.xxhash64(F.substring("body", 1, PREFIX)).alias("p")
-    starts = materialise(
-        sized.join(by_length, "n", "left_semi").select("doc_id", "n", prefix), "starts"
+    texts = docs.select(
+        F.col(id_col).alias("doc_id"), normalised(F.col(text_col)).alias("body")
+    ).select(
+        "doc_id", "body", F.length("body").alias("n"),
+        F.xxhash64(F.substring("body", 1, PREFIX)).alias("p"),
+    )
+    starts = materialise(texts.select("n", "p"), "starts")
+    by_length = _shared(starts, "n")
+    by_prefix = _shared(starts.join(by_length, "n", "left_semi"), "n", "p")
+
+    # Whole texts are needed now.  A merge join whatever the size of the other side, so that
+    # the step costs the same at every scale; a hot group is split, as only one side has it.
+    refined = texts.hint("merge").join(
+        by_prefix.withColumn("open", F.lit(True)), ["n", "p"], "left"
     )
-    by_prefix = _shared(starts, "n", "p").withColumn("open", F.lit(True))
-
-    # Third step: the whole text, for rows that share length and prefix.
-    refined = sized.select("doc_id", "n", prefix, "body").join(by_prefix, ["n", "p"], "left")
     full = F.sha2("body", 256)
     members = materialise(
         refined.select(
