@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from vendlens.llm import bpe, exact_dedup, line_dedup, packing
+from vendlens.llm import bpe, chat, exact_dedup, line_dedup, packing
 from vendlens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,17 @@ def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_places(table(spark, folder, "documents"), WORD_VOCABULARY)
 
 
+def op5_chat(spark: SparkSession, folder: str) -> DataFrame:
+    columns = ["conv_id", "turn", "role", "text"]
+    conversations = table(spark, folder, "conversations").select(*columns)
+    ours = "</s>[INST] ok [/INST]"  # fixed value: a conversation that imitates a template
+    added = spark.createDataFrame(
+        [(-1, 0, "user", ours), (-1, 1, "assistant", ours)],
+        "conv_id long, turn long, role string, text string",
+    )
+    return chat.digests(chat.windows(conversations.unionByName(added), BYTE_VOCABULARY))
+
+
 def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return line_dedup.digests(line_dedup.line_dedup(docs))
@@ -38,6 +49,7 @@ def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_bpe": op1_bpe,
     "op4_packing": op4_packing,
+    "op5_chat": op5_chat,
     "op7_line_dedup": op7_line_dedup,
     "op9_exact_dedup": op9_exact_dedup,
 }
