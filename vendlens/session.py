@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -57,3 +59,16 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     path = f"{scratch_folder(spark)}/{name}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, for functions in Python."""
+    context = spark.sparkContext
+    if getattr(context, "_vendlens_shipped", False):
+        return
+    package = Path(__file__).resolve().parent
+    archive = shutil.make_archive(
+        f"{tempfile.mkdtemp(prefix='vendlens-')}/vendlens", "zip", package.parent, package.name
+    )
+    context.addPyFile(archive)
+    context._vendlens_shipped = True
