@@ -58,3 +58,14 @@ def free_name(df: DataFrame, base: str) -> str:
     while base.lower() in taken:
         base = f"_{base}"
     return base
+
+
+def bounded_sample(df: DataFrame, key: Column, rows: int) -> DataFrame:
+    """The `rows` rows of `df` with the smallest hash of `key` (all, if there are fewer).
+
+    Only hashes are sorted; the rows themselves stay where they are.  Rows that tie with the
+    last one, as copies of it do, are in as well.
+    """
+    hashed = F.xxhash64(key)
+    last = df.select(hashed.alias("h")).orderBy("h").limit(rows).agg(F.max("h")).first()[0]
+    return df.where(hashed <= F.lit(last)) if last is not None else df.limit(0)

@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from vendlens.llm import bpe, chat, exact_dedup, line_dedup, packing
-from vendlens.llm.common import table
+from vendlens.llm import bpe, chat, exact_dedup, language, line_dedup, packing, quality
+from vendlens.llm.common import fold, table
+from vendlens.session import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +24,15 @@ def op1_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(bpe.decode(encoded, BYTE_VOCABULARY))
 
 
+def op3_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = language.fit(docs.where(fold(F.col("doc_id"), 4) != 2))
+    return language.identify(docs.select("doc_id", "text"), model).select(
+        "doc_id", (fold(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score",
+        "rejected",
+    )
+
+
 def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_places(table(spark, folder, "documents"), WORD_VOCABULARY)
 
@@ -37,6 +48,16 @@ def op5_chat(spark: SparkSession, folder: str) -> DataFrame:
     return chat.digests(chat.windows(conversations.unionByName(added), BYTE_VOCABULARY))
 
 
+# Sites of documents: their source, and the documents of a language within it.
+SITES = [["source"], ["source", "lang"]]
+
+
+def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "source", "lang")
+    model = quality.fit(docs, table(spark, folder, "labels"))
+    return quality.classify(docs, model, SITES).drop("text")
+
+
 def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return line_dedup.digests(line_dedup.line_dedup(docs))
@@ -46,14 +67,27 @@ def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, folder, "documents"), digests=True)
 
 
-QUERIES: dict[str, Query] = {
+_QUERIES: dict[str, Query] = {
     "op1_bpe": op1_bpe,
+    "op3_language": op3_language,
     "op4_packing": op4_packing,
     "op5_chat": op5_chat,
+    "op6_quality": op6_quality,
     "op7_line_dedup": op7_line_dedup,
     "op9_exact_dedup": op9_exact_dedup,
 }
 
+
+def _shipped(query: Query) -> Query:
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        ship_package(spark)
+        return query(spark, folder)
+
+    return run
+
+
+QUERIES: dict[str, Query] = {name: _shipped(query) for name, query in _QUERIES.items()}
+
 ORACLES: dict[str, str] = {
     "op7_line_dedup": line_dedup.SQL,
     "op9_exact_dedup": exact_dedup.SQL,
