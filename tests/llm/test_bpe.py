@@ -73,6 +73,13 @@ def test_query_over_samples(spark, samples, tmp_path, library):
         assert row.decoded_sha256 == hashlib.sha256(text.encode()).hexdigest()
 
 
+def test_decode_is_the_inverse_of_encode(spark, samples):
+    rows = [(i, text) for i, text in enumerate(samples)]
+    docs = spark.createDataFrame(rows, "id long, body string")
+    back = bpe.decode(bpe.encode(docs, PATH, "id", "body"), PATH).collect()
+    assert {r.doc_id: r.text for r in back} == {i: text or "" for i, text in rows}
+
+
 def test_empty_table(spark, tmp_path):
     spark.createDataFrame([], "doc_id long, text string").write.parquet(
         f"{tmp_path}/documents.parquet"

@@ -17,7 +17,6 @@ strings in a text become their ids.
 
 from __future__ import annotations
 
-import hashlib
 import heapq
 import json
 import re
@@ -29,11 +28,12 @@ import pyarrow as pa
 import regex
 from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from vendlens.llm.common import Cache, slices, strings
 
 MAX_VOCABULARY_BYTES = 64 << 20
-CACHED = 250_000  # entries of each cache in a task
+CACHED = 500_000  # entries of each cache in a task
 ROWS = 512        # texts held as Python objects at a time
 
 # Fixed value: how byte-level vocabularies of this format split text before merging.
@@ -154,21 +154,26 @@ def vocabulary(docs: DataFrame, path: str) -> Broadcast:
     return docs.sparkSession.sparkContext.broadcast(description)
 
 
-def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text"
-           ) -> DataFrame:
-    """Rows of id and `ids` (binary, little-endian unsigned 32-bit integers)."""
+def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text",
+           decoded: bool = False) -> DataFrame:
+    """Rows of id and `ids` (binary, little-endian unsigned 32-bit integers).
+
+    With `decoded`, also the text that `decode` makes of the ids, in the same pass.
+    """
     shared = vocabulary(docs, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(shared.value)
         for batch in slices(batches, ROWS):
             ids = [codec.encode(text) for text in strings(batch, "text")]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(ids, pa.binary())], ["doc_id", "ids"]
-            )
+            columns = {"doc_id": batch.column("doc_id"), "ids": pa.array(ids, pa.binary())}
+            if decoded:
+                columns["text"] = pa.array([codec.decode(i) for i in ids], pa.string())
+            yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
     named = docs.selectExpr(f"`{id_col}` AS doc_id", f"`{text_col}` AS text")
-    return named.mapInArrow(run, f"doc_id {_kind(named)}, ids binary")
+    schema = f"doc_id {_kind(named)}, ids binary" + ", text string" * decoded
+    return named.mapInArrow(run, schema)
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
@@ -194,18 +199,7 @@ def _kind(df: DataFrame) -> str:
 
 def digests(decoded: DataFrame) -> DataFrame:
     """Counts and digests of ids and decoded texts."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, ROWS):
-            ids = batch.column("ids").to_pylist()
-            texts = batch.column("text").to_pylist()
-            yield pa.RecordBatch.from_arrays([
-                batch.column("doc_id"),
-                pa.array([len(i) // 4 for i in ids], pa.int64()),
-                pa.array([hashlib.sha256(i).hexdigest() for i in ids]),
-                pa.array([hashlib.sha256(t.encode()).hexdigest() for t in texts]),
-            ], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    return decoded.mapInArrow(
-        run, f"doc_id {_kind(decoded)}, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    return decoded.select(
+        "doc_id", F.expr("octet_length(ids) div 4").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"),
     )

@@ -20,8 +20,8 @@ WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 
 def op1_bpe(spark: SparkSession, folder: str) -> DataFrame:
-    encoded = bpe.encode(table(spark, folder, "documents"), BYTE_VOCABULARY)
-    return bpe.digests(bpe.decode(encoded, BYTE_VOCABULARY))
+    docs = table(spark, folder, "documents")
+    return bpe.digests(bpe.encode(docs, BYTE_VOCABULARY, decoded=True))
 
 
 def op3_language(spark: SparkSession, folder: str) -> DataFrame:
