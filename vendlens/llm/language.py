@@ -13,7 +13,8 @@ and backoff weights per hash, so one binary search serves all languages.
 A text's score in a language is its cross-entropy per character; the language with the lowest
 is chosen (the first by name among equals).  On a bounded sample of training documents, two
 numbers are calibrated: the sharpness that turns cross-entropies into a probability, and per
-language the cross-entropy beyond which a text is rejected as none of the languages.
+language the cross-entropy beyond which a text is rejected as none of the languages.  That is
+half-way from a high quantile of the language's documents to a text of random symbols.
 
 Defined results: a text that is null or has no letter is `und`, score 0, rejected.  Training
 rows without text or language are left out; without any training row all texts are `und`.
@@ -41,7 +42,6 @@ BITS = 20
 MAX_LANGUAGES = 64
 CALIBRATION_DOCS = 4000
 REJECT_QUANTILE = 0.999  # of the calibration documents of a language
-REJECT_SLACK = 1.15      # how far beyond that quantile a text still belongs
 CACHED = 300_000         # words whose scores a task keeps
 COUNTED = 400_000        # words a task counts before it cuts them into n-grams
 ROWS = 512
@@ -273,7 +273,9 @@ def _calibrate(model: Model, sample: DataFrame) -> None:
     for i in range(len(model.languages)):
         mine = entropies[chosen == i, i]
         if len(mine):
-            model.limits[i] = np.quantile(mine, REJECT_QUANTILE) * REJECT_SLACK
+            random = np.log(1 + np.isfinite(model.log_p[0][:, i]).sum())
+            usual = np.quantile(mine, REJECT_QUANTILE)
+            model.limits[i] = max(usual, (usual + random) / 2)
 
 
 # ---------------------------------------------------------------- scoring

@@ -2,8 +2,8 @@
 
 The classifier is a logistic regression on a few figures of a text: shares of upper case and
 signs, repetition, word lengths, and how strongly its words point to rejected documents.  The
-latter come from counts, per hash of a word, of the labelled documents that hold it; hashes
-have `BITS` bits, so the table is bounded.  The classifier is fitted on a bounded sample of
+latter come from counts, per hash of a word or of the beginning of a longer word, of the
+labelled documents that hold it; hashes have `BITS` bits, so the table is bounded.  The classifier is fitted on a bounded sample of
 `TRAIN_ROWS` labelled documents; their own counts are left out of their figures.
 
 Sites come in levels, such as host, then path within host.  At each level the classifier's
@@ -38,8 +38,9 @@ from vendlens.session import materialise
 
 TRAIN_ROWS = 20_000   # most labelled documents the classifier is fitted on
 BITS = 18             # of a word's hash
-PRIOR_DOCS = 10.0     # documents of evidence against a word's telling anything
-TELLING = 2.0         # log odds from which a word counts as a sign
+PRIOR_DOCS = 5.0      # documents of evidence against a word's telling anything
+STEM = 5              # letters of a longer word that are looked up as its beginning
+TELLING = (1.0, 2.0)  # log odds from which a word counts as a sign, and as a strong one
 KEEP_FROM = 0.5       # posterior from which a document is kept
 CACHED = 300_000
 ROWS = 512
@@ -76,6 +77,11 @@ def words_in(text: str) -> set[str]:
     return set(_WORD.findall(text.lower()))
 
 
+def buckets(word: str) -> tuple[int, ...]:
+    """The buckets of a word and, if it is longer, of its beginning."""
+    return (bucket(word), bucket(word[:STEM] + "-")) if len(word) > STEM else (bucket(word),)
+
+
 def shape(text: str) -> list[float]:
     """Figures of a text that need no counts."""
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
@@ -102,10 +108,11 @@ def shape(text: str) -> list[float]:
 
 def signs(odds: np.ndarray) -> list[float]:
     """How strongly a text's words, given their log odds, point to rejected documents."""
-    if not len(odds):
-        return [0.0, 0.0, 0.0]
-    top = np.sort(odds)[-3:]
-    return [top[-1], top.mean(), np.log1p((odds > TELLING).sum())]
+    top = np.zeros(8)
+    highest = np.sort(odds)[-8:]
+    top[8 - len(highest):] = highest
+    counts = [np.log1p((odds > least).sum()) for least in TELLING]
+    return [top[-1], top[-3:].mean(), top.mean(), *counts]
 
 
 def log_odds(bad: np.ndarray, good: np.ndarray, share: float) -> np.ndarray:
@@ -143,10 +150,10 @@ def label_table(labels: DataFrame) -> DataFrame:
 def _word_counts(train: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros((2, 1 << BITS), np.int64)
-        places = Cache(bucket, CACHED)
+        places = Cache(buckets, CACHED)
         for batch in slices(batches, ROWS):
             for text, good in zip(strings(batch, "text"), batch.column("good").to_pylist()):
-                held = {places[w] for w in words_in(text)}
+                held = {at for w in words_in(text) for at in places[w]}
                 counts[good, np.fromiter(held, np.int64, len(held))] += 1
         at = np.flatnonzero(counts.any(axis=0))
         yield pa.RecordBatch.from_arrays(
@@ -178,13 +185,15 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         all_bad, all_good = shared.value
-        places = Cache(bucket, CACHED)
+        places = Cache(buckets, CACHED)
         for batch in slices(batches, ROWS):
             found = []
             truth = batch.column("good").to_pylist()
             for text, is_good in zip(strings(batch, "text"), truth):
-                at = np.fromiter({places[w] for w in words_in(text)}, np.int64)
+                pairs = [(p[0], p[-1]) for p in map(places.__getitem__, words_in(text))]
+                at = np.array(pairs, np.int64).reshape(-1, 2)
                 odds = log_odds(all_bad[at] - (not is_good), all_good[at] - is_good, share)
+                odds = odds.max(axis=1)
                 found.append(shape(text) + signs(odds))
             yield pa.RecordBatch.from_arrays([
                 pa.array(found, pa.list_(pa.float64())), pa.array(truth, pa.int32()),
@@ -237,7 +246,7 @@ def evidence(docs: DataFrame, model: Model, name: str, text_col: str = "text") -
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
         table = log_odds(known.bad, known.good, known.share)
-        odds = Cache(lambda word: table[bucket(word)], CACHED)
+        odds = Cache(lambda word: max(table[at] for at in buckets(word)), CACHED)
         for batch in slices(batches, ROWS):
             figures = []
             for text in strings(batch, text_col):
