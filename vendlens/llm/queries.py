@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vendlens.llm import bpe, chat, exact_dedup, language, line_dedup, packing, quality
+from vendlens.llm import bpe, chat, exact_dedup, language, line_dedup, lm, packing, quality
 from vendlens.llm.common import fold, table
 from vendlens.session import ship_package
 
@@ -24,6 +24,10 @@ def op1_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(bpe.encode(docs, BYTE_VOCABULARY, decoded=True))
 
 
+def op2_lm(spark: SparkSession, folder: str) -> DataFrame:
+    return lm.lm_scores(table(spark, folder, "documents"), fold(F.col("doc_id"), 5) == 1)
+
+
 def op3_language(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     model = language.fit(docs.where(fold(F.col("doc_id"), 4) != 2))
@@ -69,6 +73,7 @@ def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 _QUERIES: dict[str, Query] = {
     "op1_bpe": op1_bpe,
+    "op2_lm": op2_lm,
     "op3_language": op3_language,
     "op4_packing": op4_packing,
     "op5_chat": op5_chat,
