@@ -17,11 +17,12 @@ strings in a text become their ids.
 
 from __future__ import annotations
 
-import heapq
 import json
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from heapq import heapify, heappop, heappush
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +41,8 @@ ROWS = 512        # texts held as Python objects at a time
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 # Fixed value: the characters of Unicode's White_Space property.
 WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+# White space other than space and line feed.
+_RARE_WHITE = re.compile("[\\t\\x0b-\\r\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]")
 
 
 def byte_characters() -> list[str]:
@@ -67,10 +70,12 @@ class Codec:
             return bytes(byte_of[c] for c in token)
 
         self.byte_ids = [vocabulary[c] for c in characters]
-        # (left id, right id) -> (rank, id of the merged symbol)
-        self.merges: dict[tuple[int, int], tuple[int, int]] = {}
-        for rank, (left, right) in enumerate(parsed["model"]["merges"]):
-            self.merges[vocabulary[left], vocabulary[right]] = rank, vocabulary[left + right]
+        # Per rank the ids of both symbols and of the merged one; ranks by both ids as one key.
+        self.by_rank = [
+            (vocabulary[left], vocabulary[right], vocabulary[left + right])
+            for left, right in parsed["model"]["merges"]
+        ]
+        self.ranks = {left << 32 | right: r for r, (left, right, _) in enumerate(self.by_rank)}
         self.strings = [b""] * (1 + max([*vocabulary.values(), *specials.values()]))
         for token, token_id in vocabulary.items():
             self.strings[token_id] = raw(token)
@@ -83,28 +88,30 @@ class Codec:
         self.chunks = re.compile(f" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
         self.of_piece = Cache(self.merge, CACHED)
         self.of_chunk = Cache(self._chunk, CACHED)
+        # The same for a space and what follows it up to the next one.
+        self.of_spaced = Cache(lambda word: self._chunk(" " + word), CACHED)
 
     def _chunk(self, chunk: str) -> bytes:
         found = self.pieces.findall(chunk)
-        if len(found) == 1:
-            return self.merge(chunk)
         return b"".join([self.of_piece[piece] for piece in found])
 
     def merge(self, piece: str) -> bytes:
         """The ids of one piece, as little-endian unsigned 32-bit integers."""
         symbols = [self.byte_ids[b] for b in piece.encode("utf-8")]
-        n, merges = len(symbols), self.merges
+        n, rank_of, by_rank = len(symbols), self.ranks.get, self.by_rank
         if n > 1:
             after = [*range(1, n), -1]
             before = [*range(-1, n - 1)]
-            heap = []
-            for i in range(n - 1):
-                pair = merges.get((symbols[i], symbols[i + 1]))
-                if pair:
-                    heap.append((pair[0], i, pair[1], symbols[i], symbols[i + 1]))
-            heapq.heapify(heap)
+            # Entries are a rank and the place of its left symbol in one number.
+            heap = [
+                rank << 32 | i for i in range(n - 1)
+                if (rank := rank_of(symbols[i] << 32 | symbols[i + 1])) is not None
+            ]
+            heapify(heap)
             while heap:
-                _, i, merged, left, right = heapq.heappop(heap)
+                entry = heappop(heap)
+                i = entry & 0xFFFFFFFF
+                left, right, merged = by_rank[entry >> 32]
                 j = after[i]
                 if j < 0 or symbols[i] != left or symbols[j] != right:
                     continue  # stale: one of the two symbols is gone or has grown
@@ -112,27 +119,41 @@ class Codec:
                 k = after[i] = after[j]
                 if k >= 0:
                     before[k] = i
-                    pair = merges.get((merged, symbols[k]))
-                    if pair:
-                        heapq.heappush(heap, (pair[0], i, pair[1], merged, symbols[k]))
+                    rank = rank_of(merged << 32 | symbols[k])
+                    if rank is not None:
+                        heappush(heap, rank << 32 | i)
                 h = before[i]
                 if h >= 0:
-                    pair = merges.get((symbols[h], merged))
-                    if pair:
-                        heapq.heappush(heap, (pair[0], h, pair[1], symbols[h], merged))
+                    rank = rank_of(symbols[h] << 32 | merged)
+                    if rank is not None:
+                        heappush(heap, rank << 32 | h)
             symbols = [s for s in symbols if s >= 0]
-        return np.array(symbols, dtype="<u4").tobytes()
+        return pack(f"<{len(symbols)}I", *symbols)
+
+    def _plain(self, text: str) -> bytes:
+        """The ids of a text without special tokens."""
+        if (
+            "  " in text or "\n\n" in text or " \n" in text or "\n " in text
+            or _RARE_WHITE.search(text)
+        ):
+            return b"".join(map(self.of_chunk.__getitem__, self.chunks.findall(text)))
+        # White space is single spaces and line feeds, so chunks are what lies between.
+        encoded, feed = [], self.of_chunk["\n"]
+        for line in text.split("\n"):
+            words = line.split(" ")
+            if words[0]:
+                encoded.append(self.of_chunk[words[0]])
+            encoded.extend(map(self.of_spaced.__getitem__, words[1:]))
+            encoded.append(feed)
+        return b"".join(encoded[:-1])
 
     def encode(self, text: str) -> bytes:
         """The ids of a text, as little-endian unsigned 32-bit integers."""
         parts = self.special.split(text) if self.special_ids else [text]
-        encoded = []
-        for i, part in enumerate(parts):
-            if i % 2:
-                encoded.append(self.special_ids[part])
-            else:
-                encoded.extend(map(self.of_chunk.__getitem__, self.chunks.findall(part)))
-        return b"".join(encoded)
+        return b"".join(
+            self.special_ids[part] if i % 2 else self._plain(part)
+            for i, part in enumerate(parts)
+        )
 
     def decode(self, ids: bytes) -> str:
         symbols = np.frombuffer(ids, dtype="<u4").tolist()

@@ -24,6 +24,7 @@ import bisect
 import json
 import os
 import re
+import struct
 import unicodedata
 import zlib
 from collections import defaultdict
@@ -34,13 +35,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vendlens.llm.bpe import _kind, vocabulary
+from vendlens.llm.bpe import _kind, byte_characters, vocabulary
 from vendlens.llm.common import Cache, slices, strings
 from vendlens.session import materialise
 
 CAPACITY = 4096
 END_ID = 1
-CACHED = 300_000
+CACHED = 500_000
 ROWS = 512
 BUCKETS = 64  # groups of documents whose ranks are counted apart, per shuffle partition
 
@@ -58,33 +59,45 @@ class WordEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         specials = [t["content"] for t in json.loads(description)["added_tokens"]]
-        self.special = re.compile("|".join(map(re.escape, specials)), re.IGNORECASE)
+        self.special = os.path.commonprefix(specials)
         self.words = re.compile(r"[^ \t-\r]+")
         self.of_word = Cache(self._word, CACHED)
-        self.of_part = Cache(self._library, CACHED)
+        self.of_part = Cache(self._part, CACHED)
+        self.characters = byte_characters()
         self.letters = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+")
 
     def _library(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return b"".join(i.to_bytes(4, "little") for i in ids)
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _part(self, part: str) -> bytes:
+        """Ids of a part that the vocabulary neither cuts nor changes but for lower case."""
+        symbols = "".join([self.characters[b] for b in part.lower().encode("utf-8")])
+        ids = [token.id for token in self.tokenizer.model.tokenize(symbols)]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def _word(self, word: str) -> bytes:
         """Ids of a word; signs after a word of Latin letters are a part of their own."""
         core = word.rstrip(",.")
         signs = word[len(core):]
-        if signs and self.letters.fullmatch(core):
-            return self.of_part[core] + self.of_part[signs]
+        if self.letters.fullmatch(core):
+            return self.of_part[core] + self.of_part[signs] if signs else self.of_part[core]
         return self._library(word)
 
     def encode(self, text: str) -> bytes:
         # White space is dropped and ends a word, so words can be encoded apart.  Lower case
         # comes first where it is certain to be what the vocabulary's normaliser does.
         if (
-            not self.special.search(text) and "Σ" not in text
+            self.special not in text and "Σ" not in text
             and unicodedata.is_normalized("NFC", text)
         ):
             text = text.lower()
-        return b"".join(map(self.of_word.__getitem__, self.words.findall(text)))
+        if any(c in text for c in "\x1c\x1d\x1e\x1f"):
+            # White space for split(), but not for the vocabulary.
+            words = self.words.findall(text)
+        else:
+            words = text.split()
+        return b"".join(map(self.of_word.__getitem__, words))
 
 
 @lru_cache(maxsize=2)
@@ -93,9 +106,15 @@ def _encoder(description: str) -> WordEncoder:
 
 
 def pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text",
-           capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
-    """Rows of doc_id, piece, start, length and ids (binary) for every piece."""
+           capacity: int = CAPACITY, end_id: int = END_ID, checksums: bool = False
+           ) -> DataFrame:
+    """Rows of doc_id, piece, start, length and ids (binary) for every piece.
+
+    With `checksums`, `ids_crc32` takes the place of the ids.
+    """
     shared = vocabulary(docs, path)
+    kinds = {"ids": pa.binary(), "ids_crc32": pa.int64()}
+    last = "ids_crc32" if checksums else "ids"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, end = _encoder(shared.value), end_id.to_bytes(4, "little")
@@ -111,12 +130,14 @@ def pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id").take(pa.array(rows, pa.int64())),
                 pa.array(numbers, pa.int32()), pa.array(starts, pa.int64()),
-                pa.array([len(i) // 4 for i in ids], pa.int64()), pa.array(ids, pa.binary()),
-            ], ["doc_id", "piece", "start", "length", "ids"])
+                pa.array([len(i) // 4 for i in ids], pa.int64()),
+                pa.array([zlib.crc32(i) for i in ids] if checksums else ids, kinds[last]),
+            ], ["doc_id", "piece", "start", "length", last])
 
     named = docs.selectExpr(f"`{id_col}` AS doc_id", f"`{text_col}` AS text")
     return named.mapInArrow(
-        run, f"doc_id {_kind(named)}, piece int, start long, length long, ids binary"
+        run, f"doc_id {_kind(named)}, piece int, start long, length long, "
+        + ("ids_crc32 long" if checksums else "ids binary")
     )
 
 
@@ -261,22 +282,6 @@ def place(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     )
 
 
-def checksum(cut: DataFrame) -> DataFrame:
-    """The pieces with `ids_crc32` in place of their ids."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sums = pa.array([zlib.crc32(i) for i in batch.column("ids").to_pylist()], pa.int64())
-            kept = [batch.column(c) for c in ("doc_id", "piece", "start", "length")]
-            yield pa.RecordBatch.from_arrays(
-                [*kept, sums], ["doc_id", "piece", "start", "length", "ids_crc32"]
-            )
-
-    return cut.mapInArrow(
-        run, f"doc_id {_kind(cut)}, piece int, start long, length long, ids_crc32 long"
-    )
-
-
 def pack(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
     """Every piece of every document with its ids, sequence and offset."""
     return place(materialise(pieces(docs, path, capacity=capacity), "pieces"), capacity)
@@ -284,5 +289,5 @@ def pack(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
 
 def pack_places(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
     """As `pack`, with the ids' checksum in place of the ids, which are not moved."""
-    cut = checksum(pieces(docs, path, capacity=capacity))
+    cut = pieces(docs, path, capacity=capacity, checksums=True)
     return place(materialise(cut, "pieces"), capacity)
