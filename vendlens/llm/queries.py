@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vendlens.llm import bpe, chat, exact_dedup, language, line_dedup, lm, packing, quality
+from vendlens.llm import bpe, chat, exact_dedup, language, line_dedup, lm, near_dedup, packing, quality
 from vendlens.llm.common import fold, table
 from vendlens.session import ship_package
 
@@ -67,6 +67,10 @@ def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.digests(line_dedup.line_dedup(docs))
 
 
+def op10_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dedup.near_dedup(table(spark, folder, "documents"))
+
+
 def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, folder, "documents"), digests=True)
 
@@ -80,6 +84,7 @@ _QUERIES: dict[str, Query] = {
     "op6_quality": op6_quality,
     "op7_line_dedup": op7_line_dedup,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_near_dedup": op10_near_dedup,
 }
 
 
