@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vendlens.llm import bpe, chat, exact_dedup, language, line_dedup, lm, near_dedup, packing, quality
+from vendlens.llm import (
+    ann,
+    bpe,
+    chat,
+    exact_dedup,
+    language,
+    line_dedup,
+    lm,
+    near_dedup,
+    packing,
+    quality,
+)
 from vendlens.llm.common import fold, table
 from vendlens.session import ship_package
 
@@ -71,6 +82,11 @@ def op10_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.near_dedup(table(spark, folder, "documents"))
 
 
+def op8_ann(spark: SparkSession, folder: str) -> DataFrame:
+    # 20 neighbours; the queries are the vectors whose id is divisible by 20.
+    return ann.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, folder, "documents"), digests=True)
 
@@ -83,6 +99,7 @@ _QUERIES: dict[str, Query] = {
     "op5_chat": op5_chat,
     "op6_quality": op6_quality,
     "op7_line_dedup": op7_line_dedup,
+    "op8_ann": op8_ann,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_near_dedup": op10_near_dedup,
 }
