@@ -305,18 +305,21 @@ def _search(items: DataFrame, blocks: DataFrame, hashing: Hashing, limit: float,
             boxes = np.frombuffer(row["boxes"], np.int8).reshape(-1, HASHES)
             asked = np.array(row["query_ids"])
             queries = np.frombuffer(row["queries"]).reshape(-1, width)
+            repeats = len(ids) - len(np.unique(ids))
             for start in range(0, len(asked), 256):
                 part = slice(start, start + 256)
                 products = _visit(hashing, row["table"], vectors, boxes, queries[part], limit)
                 products[asked[part][:, None] == ids[None, :]] = -np.inf
                 rows, columns = [], []
                 for i, scores in enumerate(products):
-                    top = min(k, len(scores))
+                    top = min(k + repeats, len(scores))
                     least = np.partition(scores, len(scores) - top)[len(scores) - top]
                     near = np.flatnonzero((scores >= least - 1e-9) & (scores > -np.inf))
                     # Sums in one order, so that equal vectors have equal scores.
                     exact = (vectors[near] * queries[start + i]).sum(axis=1)
-                    best = near[np.lexsort((ids[near], -exact))][:k]
+                    ranked = near[np.lexsort((ids[near], -exact))]
+                    _, first = np.unique(ids[ranked], return_index=True)
+                    best = ranked[np.sort(first)][:k]
                     rows.extend([start + i] * len(best))
                     columns.extend(best)
                 score = (vectors[columns] * queries[rows]).sum(axis=1)

@@ -91,6 +91,12 @@ def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, folder, "documents"), digests=True)
 
 
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    import corpus_pipeline  # which imports the queries' parameters from here
+
+    return corpus_pipeline.run(spark, folder)
+
+
 _QUERIES: dict[str, Query] = {
     "op1_bpe": op1_bpe,
     "op2_lm": op2_lm,
@@ -102,6 +108,7 @@ _QUERIES: dict[str, Query] = {
     "op8_ann": op8_ann,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_near_dedup": op10_near_dedup,
+    "pipeline": pipeline,
 }
 
 
