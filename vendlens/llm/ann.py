@@ -121,7 +121,8 @@ def _valid(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
 
 def _limit(sample: DataFrame, hashing: Hashing, items: int, k: int) -> float:
     """The misfit within which neighbours are looked for, from at most SAMPLE vectors."""
-    rows = sample.limit(SAMPLE).select("vec_id", "vector").toPandas().sort_values("vec_id")
+    rows = sample.limit(SAMPLE).select("vec_id", "vector").toArrow().to_pandas()
+    rows = rows.sort_values("vec_id")
     vectors = np.array(rows["vector"].tolist())
     n = len(vectors)
     if n < 2:
@@ -192,8 +193,8 @@ def _cell_counts(items: DataFrame, hashing: Hashing) -> pd.DataFrame:
                 ], ["table", "cell", "count"])
 
     counted = items.select("vector").mapInArrow(run, "table int, cell long, count long")
-    # At most TABLES x (2 CLAMP)^COARSE rows.
-    return counted.groupBy("table", "cell").agg(F.sum("count").alias("count")).toPandas()
+    summed = counted.groupBy("table", "cell").agg(F.sum("count").alias("count"))
+    return summed.toArrow().to_pandas()  # at most TABLES x (2 CLAMP)^COARSE rows
 
 
 def _item_shards(items: DataFrame, hashing: Hashing, directory: Directory) -> DataFrame:

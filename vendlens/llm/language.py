@@ -113,7 +113,8 @@ def _gram_counts(train: DataFrame) -> DataFrame:
             weights = np.fromiter(counter.values(), np.float64, len(words))
             for n, key, prefix, suffix, total, initial in _grams(words, weights):
                 yield pa.RecordBatch.from_arrays([
-                    pa.array([lang] * len(key)), pa.array(np.full(len(key), n, np.int32)),
+                    pa.array([lang] * len(key), pa.string()),
+                    pa.array(np.full(len(key), n, np.int32)),
                     *[pa.array(a.astype(np.int32)) for a in (key, prefix, suffix)],
                     pa.array(initial), pa.array(total),
                 ], ["lang", "n", "key", "prefix", "suffix", "initial", "count"])
@@ -199,7 +200,7 @@ def _kneser_ney(rows: dict[int, dict[str, np.ndarray]]):
             weight = np.where(total > 0, discount * kinds / total, 1.0)
         if n == 1:
             unknown = weight[0] / (len(key) + 1)
-            below = np.full(len(key), unknown)
+            below = np.full(len(key), 1 / (len(key) + 1))
         else:
             below = np.maximum(lower[suffix], unknown)
             # The weight belongs to the prefix, an n-gram of the order below.
@@ -219,7 +220,8 @@ def fit(train: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Mod
     """A model of all rows of `train` that have text and language; None if there are none."""
     named = train.selectExpr(f"`{text_col}` AS text", f"CAST(`{lang_col}` AS string) AS lang")
     named = named.where("text IS NOT NULL AND lang IS NOT NULL")
-    counted = _gram_counts(named).toPandas()  # at most ORDER x 2^BITS rows per language
+    # At most ORDER x 2^BITS rows per language.
+    counted = _gram_counts(named).toArrow().to_pandas()
     languages = sorted(counted["lang"].unique())
     if len(languages) > MAX_LANGUAGES:
         raise ValueError(f"{len(languages)} languages, more than {MAX_LANGUAGES}")
@@ -256,7 +258,7 @@ def _calibrate(model: Model, sample: DataFrame) -> None:
     """Sharpness and limits from cross-entropies of a bounded sample of training documents."""
     scored = _cross_entropies(sample, model, "text").where("entropies IS NOT NULL").select(
         "lang", "entropies"
-    ).toPandas()
+    ).toArrow().to_pandas()
     model.limits = np.full(len(model.languages), np.inf)
     if not len(scored):
         return

@@ -170,7 +170,7 @@ def _train_sequence(row: dict, of_word: np.ndarray, end: int):
 
 def _summed(rows: DataFrame, size: int) -> np.ndarray:
     """`rows` (place int, count long) summed into an array of `size`, which bounds them."""
-    found = rows.groupBy("place").agg(F.sum("count").alias("count")).toPandas()
+    found = rows.groupBy("place").agg(F.sum("count").alias("count")).toArrow().to_pandas()
     result = np.zeros(size)
     result[found["place"].to_numpy(np.int64)] = found["count"]
     return result

@@ -163,7 +163,7 @@ def _word_counts(train: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
     summed = train.mapInArrow(run, "bucket int, bad long, good long").groupBy("bucket").agg(
         F.sum("bad").alias("bad"), F.sum("good").alias("good")
-    ).toPandas()  # at most 2^BITS rows
+    ).toArrow().to_pandas()  # at most 2^BITS rows
     bad, good = np.zeros(1 << BITS), np.zeros(1 << BITS)
     bad[summed["bucket"]], good[summed["bucket"]] = summed["bad"], summed["good"]
     return bad, good
@@ -199,7 +199,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                 pa.array(found, pa.list_(pa.float64())), pa.array(truth, pa.int32()),
             ], ["figures", "good"])
 
-    table = train.mapInArrow(run, "figures array<double>, good int").toPandas()
+    table = train.mapInArrow(run, "figures array<double>, good int").toArrow().to_pandas()
     figures = np.array(table["figures"].tolist())
     order = np.lexsort(figures.T)  # the same sums whatever order the rows came in
     figures, truth = figures[order], table["good"].to_numpy()[order]
