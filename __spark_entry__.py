@@ -25,7 +25,7 @@ from vendlens.sinks.files import export_csv  # noqa: E402
 from vendlens.sources.raw_csv import read_raw_csv  # noqa: E402
 from vendlens.sources.tables import read_table  # noqa: E402
 from vendlens.sources.trade_tables import raw_tables  # noqa: E402
-from vendlens.session import scratch_folder  # noqa: E402
+from vendlens.session import scratch_folder, use_own_scratch  # noqa: E402
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -134,7 +134,18 @@ def _training_data():
 def queries() -> dict[str, Query]:
     """Every operator, as (spark, folder) -> DataFrame over the tables of the folder."""
     training = _training_data()
-    return library_queries() | (training.QUERIES if training else {})
+    known = library_queries() | (training.QUERIES if training else {})
+    return {name: _with_scratch(query) for name, query in known.items()}
+
+
+def _with_scratch(query: Query) -> Query:
+    """A local session without a shared folder gets its own, as tests and trials have none."""
+
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        use_own_scratch(spark)
+        return query(spark, folder)
+
+    return run
 
 
 def library_queries() -> dict[str, Query]:

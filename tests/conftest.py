@@ -6,13 +6,14 @@ import pytest
 ROOT = Path(__file__).resolve().parents[1]
 sys.path[:0] = [str(ROOT), str(ROOT / "tests")]
 
-from vendlens.session import local_session  # noqa: E402
+from vendlens.session import local_session, use_own_scratch  # noqa: E402
 
 
 @pytest.fixture(scope="session")
 def spark():
     session = local_session(8, shuffle_partitions=4)
     session.sparkContext.setLogLevel("ERROR")
+    use_own_scratch(session)
     yield session
     session.stop()
 

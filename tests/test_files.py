@@ -8,7 +8,7 @@ import pytest
 
 from vendlens.plans.report import run_report
 from vendlens.plans.warehouse import store_raw
-from vendlens.session import materialise, scratch_root
+from vendlens.session import materialise, scratch_root, scratch_space
 from vendlens.sinks.files import export_csv, export_json
 from vendlens.sources.raw_csv import raw_tables as csv_tables
 from vendlens.sources.raw_csv import read_raw_csv
@@ -156,3 +156,26 @@ def test_scratch_folder_follows_the_session(spark):
     assert stored.count() == 5
     assert all(f.replace("file://", "").replace("file:", "").startswith(root.replace("file:", ""))
                for f in stored.inputFiles())
+
+
+def test_scratch_space_is_removed(spark):
+    def made():
+        return glob(f"{scratch_root(spark).replace('file:', '')}/vendlens-*")
+
+    before = made()
+    with scratch_space(spark):
+        assert materialise(spark.range(5), "t").count() == 5
+        assert len(made()) == len(before) + 1
+    assert made() == before
+
+
+def test_a_session_without_shared_folder_is_refused():
+    class Bare:
+        class conf:
+            get = staticmethod(lambda name, default: default)
+
+        class sparkContext:
+            getCheckpointDir = staticmethod(lambda: None)
+
+    with pytest.raises(ValueError):
+        scratch_root(Bare)

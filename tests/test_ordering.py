@@ -4,7 +4,15 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from vendlens.operators.ordering import Ordering, ntile, range_cuts, rank_and_running_sum, rows_at
+from vendlens.operators.ordering import Ordering, ntile, ranged, rank_and_running_sum, rows_at
+
+
+@pytest.fixture(params=[1, 4, 23])
+def ranges(spark, request):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(request.param))
+    yield request.param
+    spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
 def table(spark, n, seed=1):
@@ -23,12 +31,9 @@ def spec(descending):
 
 
 @pytest.mark.parametrize("descending", [False, True])
-@pytest.mark.parametrize("rows_per_range", [10_000, 150, 37])
-def test_ntile_equals_the_builtin_window(spark, descending, rows_per_range):
-    n = 1003
-    df = table(spark, n)
-    order = Ordering("value", "key", descending)
-    ours = ntile(df, 5, order, n, rows_per_range)
+def test_ntile_equals_the_builtin_window(spark, descending, ranges):
+    df = table(spark, 1003)
+    ours = ntile(df, 5, Ordering("value", "key", descending))
     wrong = df.select(ours.alias("a"), F.ntile(5).over(spec(descending)).alias("b")).where("a <> b")
     assert wrong.count() == 0
 
@@ -37,18 +42,16 @@ def test_ntile_equals_the_builtin_window(spark, descending, rows_per_range):
 def test_ntile_of_few_rows(spark, n):
     df = table(spark, n, seed=n)
     for k in (2, 3, 5, 7):
-        ours = ntile(df, k, Ordering("value", "key"), n, 4)
+        ours = ntile(df, k, Ordering("value", "key"))
         got = df.select(ours.alias("a"), F.ntile(k).over(spec(False)).alias("b")).collect()
         assert [r.a for r in got] == [r.b for r in got]
 
 
 @pytest.mark.parametrize("descending", [False, True])
-@pytest.mark.parametrize("rows_per_range", [10_000, 100])
-def test_ranks_and_running_sums_equal_the_builtin_window(spark, descending, rows_per_range):
+def test_ranks_and_running_sums_equal_the_builtin_window(spark, descending, ranges):
     n = 1500
     df = table(spark, n)
-    order = Ordering("value", "key", descending)
-    ours = rank_and_running_sum(df, order, "value", n, rows_per_range)
+    ours = rank_and_running_sum(df, Ordering("value", "key", descending), "value")
     w = spec(descending)
     theirs = df.select(
         "key", "value", F.row_number().over(w).alias("rank"),
@@ -63,39 +66,48 @@ def test_ranks_and_running_sums_equal_the_builtin_window(spark, descending, rows
 
 def test_all_null_values(spark):
     df = spark.createDataFrame([("a", None), ("b", None)], "key string, value bigint")
-    got = rank_and_running_sum(df, Ordering("value", "key"), "value", 2).orderBy("rank").collect()
+    got = rank_and_running_sum(df, Ordering("value", "key"), "value").orderBy("rank").collect()
     assert [(r.key, r.rank, r.running_sum) for r in got] == [("a", 1, None), ("b", 2, None)]
 
 
 def test_empty_table(spark):
     df = spark.createDataFrame([], "key string, value bigint")
-    assert df.select(ntile(df, 5, Ordering("value", "key"), 0)).count() == 0
-    assert rank_and_running_sum(df, Ordering("value", "key"), "value", 0).count() == 0
+    assert df.select(ntile(df, 5, Ordering("value", "key"))).count() == 0
+    assert rank_and_running_sum(df, Ordering("value", "key"), "value").count() == 0
 
 
-def test_ranges_are_even_although_one_value_holds_most_rows(spark):
-    n = 20_000
-    df = table(spark, n)
-    cuts = range_cuts(df, Ordering("value", "key"), n, 1000)
-    sizes = [r["count"] for r in df.groupBy(cuts.index().alias("r")).count().collect()]
-    assert len(sizes) >= 15 and max(sizes) < 3 * 1000
+def test_small_tables_have_several_ranges(spark):
+    assert ranged(table(spark, 1000), Ordering("value", "key")).select("range").distinct() \
+        .count() > 1
 
 
-def test_the_same_cuts_on_any_partitioning(spark):
-    df, order = table(spark, 5000), Ordering("value", "key")
-    assert (range_cuts(df, order, 5000, 500).points
-            == range_cuts(df.repartition(3), order, 5000, 500).points)
+def test_two_million_rows_of_which_most_tie(spark):
+    """97 % of the rows share one value; ranges stay even, sums and tiles are exact."""
+    n = 2_000_000
+    df = spark.range(n).select(
+        F.col("id").alias("key"), F.when(F.col("id") % 100 < 97, 5).otherwise(F.col("id") % 9)
+        .cast("bigint").alias("value"),
+    )
+    order = Ordering("value", "key")
+    sizes = [r["count"] for r in ranged(df, order).groupBy("range").count().collect()]
+    assert len(sizes) == 4 and max(sizes) < 1.6 * n / 4
+    tiles = df.groupBy(ntile(df, 5, order).alias("t")).count().collect()
+    assert {r.t: r["count"] for r in tiles} == {t: n // 5 for t in range(1, 6)}
+    ranked = rank_and_running_sum(df, order, "value")
+    total = df.agg(F.sum("value")).first()[0]
+    assert ranked.agg(F.min("rank"), F.max("rank"), F.max("running_sum"), F.max("total_sum")) \
+        .first()[:] == (1, n, total, total)
 
 
 def test_rows_at_ranks(spark):
     df = spark.range(1000).select(F.col("id").alias("key"), (F.col("id") * 2).alias("value"))
-    found = rows_at(df, Ordering("value", "key"), [1, 500, 1000], 1000, 90)
-    assert [f'"key":{k}' in p for k, p in zip((0, 499, 999), found.points)] == [True] * 3
+    order = Ordering("value", "key")
+    found = rows_at(ranged(df, order), order, lambda rows: [1, 500, rows])
+    assert [f'"key":{k}' in p for k, p in zip((0, 499, 999), found.places)] == [True] * 3
 
 
 def test_plan_has_no_single_partition_window_over_rows(spark):
-    df = table(spark, 1000)
-    ranked = rank_and_running_sum(df, Ordering("value", "key"), "value", 1000, 100)
+    ranked = rank_and_running_sum(table(spark, 1000), Ordering("value", "key"), "value")
     plan = ranked._jdf.queryExecution().executedPlan().toString()
     # Single-partition windows only see one row per range, below the broadcast.
     above = plan.split("BroadcastExchange")[0]

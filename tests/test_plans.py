@@ -18,7 +18,24 @@ def test_filters_and_columns_reach_the_scan(spark, small, tmp_path, whole_metada
     star = store_star(raw_tables(spark, small), str(tmp_path))
     plan = MARTS["mart_state"](star)._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(is_revenue_order,1)" in plan and "IsNotNull(item_count)" in plan
-    assert "order_freight" not in plan and "Join" not in plan
+    # Only the counts per state are joined.
+    assert "order_freight" not in plan and "SortMergeJoin" not in plan
     plan = MARTS["mart_delivery_sla"](star)._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(order_status,delivered)" in plan
     assert "GreaterThanOrEqual(days_to_deliver,0)" in plan and "hours_to_approve" not in plan
+
+
+def test_marts_do_not_multiply_rows_and_read_the_cohort_mart_once(spark, small, tmp_path):
+    from vendlens.operators.findings import cohort_matrix
+    from vendlens.plans.marts import MARTS
+    from vendlens.plans.warehouse import store_star
+    from vendlens.sources.trade_tables import raw_tables
+
+    star = store_star(raw_tables(spark, small), str(tmp_path))
+    for name in ("mart_monthly_kpi", "mart_state", "mart_category"):
+        plan = MARTS[name](star)._jdf.queryExecution().executedPlan().toString()
+        assert "Expand" not in plan and "Generate" not in plan, name
+    cohort = MARTS["mart_cohort"](star)
+    cohort.write.parquet(f"{tmp_path}/cohort")
+    matrix = cohort_matrix(spark.read.parquet(f"{tmp_path}/cohort"))
+    assert matrix._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from vendlens.functions.skew import spread_left_join
+from vendlens.operators import marts
 from vendlens.operators.facts import fact_orders
 
 
@@ -52,23 +52,22 @@ def test_adaptive_execution_splits_a_customer_with_a_third_of_all_orders(spark,
         n, n // 3, n * (n - 1) // 2)
 
 
-@pytest.mark.parametrize("hot_rows", [10, 10_000])
-def test_spread_left_join_equals_a_left_join(spark, hot_rows):
-    few = spark.createDataFrame([(k, x) for k in range(40) for x in "ab"], "k int, x string")
-    many = spark.range(300).select(
-        F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 50 == 1, None)
-        .otherwise(F.col("id") % 30).cast("int").alias("k"),
-        F.col("id").alias("y"),
+def test_an_order_with_a_third_of_all_reviews_is_split(spark, eager_splitting):
+    n = 9000
+    reviews = spark.range(0, n, 1, 8).select(
+        F.col("id").alias("review_id"), F.lit(4).alias("review_score"),
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("order_id"),
     )
-    ours = spread_left_join(few, many, "k", "y", hot_rows)
-    plain = few.join(many, "k", "left")
-    assert ours.columns == plain.columns
-    assert ours.exceptAll(plain).count() == plain.exceptAll(ours).count() == 0
-
-
-def test_hot_rows_are_spread(spark):
-    few = spark.createDataFrame([(1, "a")], "k int, x string")
-    many = spark.range(3000).select(F.lit(1).alias("k"), F.col("id").alias("y"))
-    joined = spread_left_join(few, many, "k", "y", 100)
-    plan = joined._jdf.queryExecution().executedPlan().toString()
-    assert "part#" in plan and joined.count() == 3000
+    items = spark.range(n).select(
+        F.col("id").alias("order_id"), F.lit(1).alias("product_id"), F.lit(2.5).alias("price"),
+        F.lit(0.5).alias("freight_value"),
+    )
+    orders = spark.range(n).select(F.col("id").alias("order_id"), F.lit(1).alias("is_revenue_order"))
+    products = spark.createDataFrame([(1, "c")], "product_id int, category string")
+    mart = marts.category_performance(items, orders, products, reviews)
+    plan = joins(mart)
+    assert "SortMergeJoin(skew=true)" in plan
+    assert "Expand" not in plan and "Generate" not in plan
+    row = mart.first()
+    assert (row.orders, row.reviews, row.avg_review_score) == (n, n, 4.0)
+    assert row.items_sold == n + n // 3 - 1

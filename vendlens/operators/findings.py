@@ -103,18 +103,19 @@ def cohort_matrix(
 
     `mature_only` keeps cohorts at least a month older than the newest one.
     """
-    offsets = list(range(max_offset + 1))
-    wide = cohort.groupBy("cohort_month").pivot("month_offset", offsets).agg(
-        F.first("retention_pct")
-    )
-    sizes = cohort.groupBy("cohort_month").agg(F.first("cohort_size").alias("cohort_size"))
-    matrix = wide.join(sizes, "cohort_month").select(
-        "cohort_month", "cohort_size", *[F.col(str(o)).alias(f"m{o}") for o in offsets]
+    offsets = range(max_offset + 1)
+    matrix = cohort.groupBy("cohort_month").agg(
+        F.max("cohort_size").alias("cohort_size"),
+        *[
+            F.max(F.when(F.col("month_offset") == o, F.col("retention_pct"))).alias(f"m{o}")
+            for o in offsets
+        ],
     )
     if mature_only:
-        newest = cohort.agg(F.max("cohort_month").alias("newest")).scalar()
+        # One row per cohort by now.
+        newest = F.max("cohort_month").over(Window.partitionBy())
         age = F.datediff(newest, "cohort_month") / F.lit(DAYS_PER_MONTH)
-        matrix = matrix.where(age >= 1)
+        matrix = matrix.withColumn("age", age).where("age >= 1").drop("age")
     return matrix.orderBy("cohort_month")
 
 

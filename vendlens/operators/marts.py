@@ -12,11 +12,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from vendlens.functions.columns import amount, cents, percent, ratio, round_n, whole_table_sum
-from vendlens.functions.skew import spread_left_join
 from vendlens.operators.facts import check_grain
-from vendlens.operators.ordering import ROWS_PER_RANGE, Ordering, rank_and_running_sum
+from vendlens.operators.ordering import Ordering, rank_and_running_sum
 from vendlens.operators.rfm import KEY
-from vendlens.session import materialise
 
 # Delivery buckets by days before the promised date.
 DELIVERY_BUCKETS = [
@@ -55,20 +53,33 @@ def _review_repeats() -> Column:
     return F.coalesce("review_rows", F.lit(1))
 
 
+def _with_distinct(totals: DataFrame, rows: DataFrame, by: str) -> DataFrame:
+    """`totals`, one row per `by`, with how many different orders and customers there are.
+
+    Each is counted from the pairs with `by`; two distinct counts in one aggregation would
+    multiply the rows before the shuffle.
+    """
+    for name, column in (("orders", "order_id"), ("customers", KEY)):
+        pairs = rows.where(F.col(column).isNotNull()).groupBy(by, column).agg(_rows())
+        counted = pairs.groupBy(F.col(by).alias(f"{name}_by")).agg(_rows().alias(name))
+        totals = totals.join(
+            counted, F.col(by).eqNullSafe(F.col(f"{name}_by")), "left"
+        ).drop(f"{name}_by").withColumn(name, F.coalesce(name, F.lit(0)))
+    return totals
+
+
 def monthly_kpi(summary: DataFrame) -> DataFrame:
     """Orders, customers, revenue and service level per month."""
     revenue = amount(F.col("revenue_cents"))
+    sold = summary.where("is_revenue_order = 1")
+    totals = sold.groupBy("order_month").agg(
+        F.sum(cents(F.col("order_revenue"))).alias("revenue_cents"),
+        F.sum("item_count").alias("items_sold"),
+        F.avg("days_to_deliver").alias("mean_days"),
+        F.avg("avg_review_score").alias("mean_score"),
+    )
     return (
-        summary.where("is_revenue_order = 1")
-        .groupBy("order_month")
-        .agg(
-            F.countDistinct("order_id").alias("orders"),
-            F.countDistinct(KEY).alias("customers"),
-            F.sum(cents(F.col("order_revenue"))).alias("revenue_cents"),
-            F.sum("item_count").alias("items_sold"),
-            F.avg("days_to_deliver").alias("mean_days"),
-            F.avg("avg_review_score").alias("mean_score"),
-        )
+        _with_distinct(totals, sold, "order_month")
         .select(
             "order_month",
             "orders",
@@ -116,16 +127,11 @@ def cohort_retention(orders: DataFrame, max_offset: int = 24) -> DataFrame:
     )
 
 
-def pareto(
-    profile: DataFrame, rows_per_range: int = ROWS_PER_RANGE, stored: bool = False
-) -> DataFrame:
-    """Customers by spend with their cumulative share of revenue."""
-    spend = profile.select(KEY, "monetary_cents")
-    if not stored:
-        spend = materialise(spend, "customer_spend")
+def pareto(profile: DataFrame) -> DataFrame:
+    """Customers by spend with their cumulative share of revenue (C5).  Runs a job."""
     ranked = rank_and_running_sum(
-        spend, Ordering("monetary_cents", KEY, descending=True), "monetary_cents",
-        spend.count(), rows_per_range,
+        profile.select(KEY, "monetary_cents"), Ordering("monetary_cents", KEY, descending=True),
+        "monetary_cents",
     )
     running = amount(F.col("running_sum"))
     return ranked.select(
@@ -147,11 +153,14 @@ def category_performance(
 ) -> DataFrame:
     """Sales and review scores per product category.
 
-    Items are aggregated to (order, category) before they meet the reviews, so an
-    order's items and reviews are never multiplied out.  An order with very many
-    reviews is spread over many tasks.
+    One row per order and category meets one row per order, with the totals of its
+    reviews: what the definition repeats enters as weights.  Which reviews a category has
+    is a separate, narrow inner join, of which adaptive execution can split either side.
     """
     check_grain(grain)
+    sales = orders.where("is_revenue_order = 1").groupBy("order_id").agg(
+        _rows().alias("order_rows")
+    )
     sold = (
         items.join(products.select("product_id", "category"), "product_id", "left")
         .groupBy("order_id", "category")
@@ -160,31 +169,57 @@ def category_performance(
             F.sum(cents(F.col("price"))).alias("price_cents"),
             F.sum(cents(F.col("freight_value"))).alias("freight_cents"),
         )
-        .join(orders.where("is_revenue_order = 1").select("order_id"), "order_id")
+        .join(sales, "order_id")
     )
-    opinions = reviews.select("order_id", "review_id", F.col("review_score").alias("score"))
+    score = F.col("review_score")
     if grain == "reference":
-        reviewed = spread_left_join(sold, opinions, "order_id", "review_id")
-        review_count = F.countDistinct("review_id")
+        totals = reviews.groupBy("order_id").agg(
+            _rows().alias("review_rows"), F.sum(score).alias("score_sum"),
+            F.count(score).alias("scores"),
+        )
+        # The hash as a second key has both sides shuffled anew, which adaptive execution
+        # needs in order to split an order with very many reviews.
+        key = F.xxhash64("order_id").alias("order_hash")
+        distinct_reviews = (
+            sold.select("order_id", "category", key)
+            .join(
+                reviews.where("review_id IS NOT NULL").select("order_id", "review_id", key),
+                ["order_hash", "order_id"],
+            )
+            .groupBy("category", "review_id").agg(_rows().alias("n"))
+            .groupBy(F.col("category").alias("reviewed")).agg(_rows().alias("reviews"))
+        )
     else:
-        per_order = opinions.groupBy("order_id").agg(
-            F.countDistinct("review_id").alias("review_ids"), F.avg("score").alias("score")
+        # An order's reviews count as one, with their average score.
+        ids = reviews.groupBy("order_id", "review_id").agg(
+            F.sum(score).alias("s"), F.count(score).alias("n")
         )
-        reviewed = sold.join(per_order, "order_id", "left")
-        review_count = F.coalesce(F.sum("review_ids"), F.lit(0))
-    items_scored = F.when(F.col("score").isNotNull(), F.col("items"))
+        totals = ids.groupBy("order_id").agg(
+            F.lit(1).alias("review_rows"), ratio(F.sum("s"), F.sum("n")).alias("score_sum"),
+            F.when(F.sum("n") > 0, 1).otherwise(0).alias("scores"),
+            F.count("review_id").alias("review_ids"),
+        )
+    reviewed = sold.join(totals, "order_id", "left")
+    rows = F.col("order_rows") * _review_repeats()
+    weight = F.col("order_rows") * F.col("items")
+    sums = [
+        F.count("order_id").alias("orders"),
+        F.sum(F.col("items") * rows).alias("items_sold"),
+        F.sum(F.col("price_cents") * rows).alias("price_cents"),
+        F.sum(F.col("freight_cents") * rows).alias("freight_cents"),
+        F.sum(F.col("score_sum") * weight).alias("score_sum"),
+        F.sum(F.col("scores") * weight).alias("scores"),
+    ]
+    if grain == "reference":
+        grouped = reviewed.groupBy("category").agg(*sums).join(
+            distinct_reviews, F.col("category").eqNullSafe(F.col("reviewed")), "left"
+        ).withColumn("reviews", F.coalesce("reviews", F.lit(0)))
+    else:
+        counted = F.coalesce(F.sum(F.col("review_ids") * F.col("order_rows")), F.lit(0))
+        grouped = reviewed.groupBy("category").agg(*sums, counted.alias("reviews"))
     revenue, freight = amount(F.col("price_cents")), amount(F.col("freight_cents"))
     return (
-        reviewed.groupBy("category")
-        .agg(
-            F.countDistinct("order_id").alias("orders"),
-            F.sum("items").alias("items_sold"),
-            F.sum("price_cents").alias("price_cents"),
-            F.sum("freight_cents").alias("freight_cents"),
-            review_count.alias("reviews"),
-            F.sum(F.col("score") * F.col("items")).alias("score_sum"),
-            F.sum(items_scored).alias("scores"),
-        )
+        grouped
         .where("price_cents > 0")
         .select(
             "category",
@@ -210,18 +245,18 @@ def state_performance(rollup: DataFrame) -> DataFrame:
     days, items = F.col("days_to_deliver"), F.col("item_count")
     rows = items * _review_repeats()
     revenue = amount(F.col("price_cents"))
+    sold = rollup.where((F.col("is_revenue_order") == 1) & items.isNotNull()).withColumn(
+        "customer_state", _state()
+    )
+    totals = sold.groupBy("customer_state").agg(
+        F.sum(cents(F.col("order_revenue")) * _review_repeats()).alias("price_cents"),
+        F.sum(days * rows).alias("days_sum"),
+        F.sum(F.when(days.isNotNull(), rows)).alias("days_rows"),
+        F.sum(F.col("review_score_sum") * items).alias("score_sum"),
+        F.sum(F.col("review_scores") * items).alias("scores"),
+    )
     return (
-        rollup.where((F.col("is_revenue_order") == 1) & items.isNotNull())
-        .groupBy(_state())
-        .agg(
-            F.countDistinct("order_id").alias("orders"),
-            F.countDistinct(KEY).alias("customers"),
-            F.sum(cents(F.col("order_revenue")) * _review_repeats()).alias("price_cents"),
-            F.sum(days * rows).alias("days_sum"),
-            F.sum(F.when(days.isNotNull(), rows)).alias("days_rows"),
-            F.sum(F.col("review_score_sum") * items).alias("score_sum"),
-            F.sum(F.col("review_scores") * items).alias("scores"),
-        )
+        _with_distinct(totals, sold, "customer_state")
         .select(
             "customer_state",
             "orders",

@@ -1,19 +1,17 @@
 """Global order without a one-partition window: ranks, tiles and running totals.
 
-A window without PARTITION BY sends every row to one task.  Here the rows are cut
-into ranges instead:
-
-1. A row's place is the struct (value is null, value, key is null, key).  The
-   unique key breaks ties, so that a value held by most rows is still cut into
-   even ranges, and the order is the same on every run.
-2. A bounded, hash-chosen sample of places gives the cuts.  They enter the plan
-   as literals: a task that is run again cannot see other ranges.
-3. Ranges are counted (and summed) by a normal aggregation, one row per range.
-4. Ranks and running totals are computed inside each range and shifted by what
-   the ranges before it hold.
-
-NTILE needs no ranks at all: it is decided by comparing each row with the k-1
-rows at which a new tile starts, and those are looked up in their ranges only.
+A window without PARTITION BY sends every row to one task.  Here, at every size alike:
+
+1. Rows are range-partitioned by (value, unique key) and stored with the number of their
+   range.  The key breaks ties, so that a value held by most rows is still cut into even
+   ranges.  What is stored cannot move to another range when a task is run again.
+2. Ranges are counted (and summed) by a normal aggregation: one row per range, and there are
+   as many ranges as the session has shuffle partitions.
+3. Ranks and running totals are computed inside each range and shifted by what the ranges
+   before it hold.
+
+NTILE needs no ranks: it is decided by comparing each row with the k-1 rows at which a new
+tile starts, and those are looked up in their ranges only.
 """
 
 from __future__ import annotations
@@ -26,10 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-ROWS_PER_RANGE = 500_000
-MAX_RANGES = 4_096
-SAMPLE_PER_RANGE = 20
-FEW_POINTS = 8
+from vendlens.session import materialise
 
 
 @dataclass(frozen=True)
@@ -43,187 +38,125 @@ class Ordering:
     key: str
     descending: bool = False
 
-    def columns(self) -> list[Column]:
+    def place(self) -> Column:
+        """A row's place as one comparable value; smaller places come first."""
         value, key = F.col(self.value), F.col(self.key)
-        return [
+        return F.struct(
             value.isNull().alias("no_value"),
             (-value if self.descending else value).alias("value"),
             key.isNull().alias("no_key"),
             key.alias("key"),
+        )
+
+    def sort_columns(self) -> list[Column]:
+        value, key = F.col(self.value), F.col(self.key)
+        return [
+            value.desc_nulls_last() if self.descending else value.asc_nulls_last(),
+            key.asc_nulls_last(),
         ]
 
-    def place(self) -> Column:
-        return F.struct(*self.columns())
+
+def ranged(df: DataFrame, ordering: Ordering) -> DataFrame:
+    """`df` stored with its `range`: ranges follow each other in the order.
+
+    Runs a job.
+    """
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cut = df.repartitionByRange(ranges, *ordering.sort_columns())
+    return materialise(cut.withColumn("range", F.spark_partition_id()), "ranges")
 
 
 @dataclass(frozen=True)
-class Ranges:
-    """Cut points of an ordering, as a literal array of places."""
+class Points:
+    """Some places of an ordering, in order, as literals."""
 
     ordering: Ordering
-    points: list[str]
+    places: list[str]
     schema: str
 
-    def index(self) -> Column:
-        """How many cut points are at or before the row."""
-        if not self.points:
-            return F.lit(0)
+    def passed(self) -> Column:
+        """How many of the places are at or before the row."""
         place = self.ordering.place()
-        if len(self.points) <= FEW_POINTS:
-            # Plain comparisons stay inside whole-stage code generation.
-            passed = [
-                F.when(place >= F.from_json(F.lit(p), self.schema), 1).otherwise(0)
-                for p in self.points
-            ]
-            return reduce(Column.__add__, passed)
-        return self._binary_search(place)
-
-    def _binary_search(self, place: Column) -> Column:
-        count = len(self.points)
-        cuts = F.from_json(F.lit("[" + ",".join(self.points) + "]"), f"array<{self.schema}>")
-        steps = [2**e for e in reversed(range(count.bit_length()))]
-        return F.aggregate(
-            F.array(*[F.lit(s) for s in steps]),
-            F.lit(0),
-            lambda found, step: F.when(
-                F.get(cuts, found + step - 1) <= place, found + step
-            ).otherwise(found),
-        )
-
-
-def _places(df: DataFrame, ordering: Ordering) -> DataFrame:
-    return df.select(ordering.place().alias("place"))
+        return reduce(Column.__add__, [
+            F.when(place >= F.from_json(F.lit(p), self.schema), 1).otherwise(0)
+            for p in self.places
+        ], F.lit(0))
 
 
-def _collect_points(places: DataFrame) -> list[str]:
-    as_json = F.to_json("place", {"ignoreNullFields": "false"})
-    return [row[0] for row in places.select(as_json).collect()]
+def rows_at(stored: DataFrame, ordering: Ordering, ranks_of) -> Points:
+    """The places of the rows with certain (1-based) ranks; `stored` comes from `ranged`.
 
-
-def _schema(df: DataFrame, ordering: Ordering) -> str:
-    return _places(df, ordering).schema["place"].dataType.simpleString()
-
-
-def range_cuts(
-    df: DataFrame, ordering: Ordering, rows: int, rows_per_range: int = ROWS_PER_RANGE
-) -> Ranges:
-    """Cut points for about `rows / rows_per_range` even ranges.
-
-    The sample holds about SAMPLE_PER_RANGE rows per range, so its size depends on
-    the number of ranges (at most MAX_RANGES), not on the table.
-    """
-    wanted = max(1, min(MAX_RANGES, -(-rows // rows_per_range)))
-    schema = _schema(df, ordering)
-    if wanted == 1:
-        return Ranges(ordering, [], schema)
-    one_in = max(1, rows // (wanted * SAMPLE_PER_RANGE))
-    chosen = df.where(F.pmod(F.xxhash64(ordering.key), F.lit(one_in)) == 0)
-    sample = _collect_points(_places(chosen, ordering).sort("place"))
-    picked = [sample[len(sample) * i // wanted] for i in range(1, wanted)] if sample else []
-    return Ranges(ordering, list(dict.fromkeys(picked)), schema)
-
-
-def rows_at(
-    df: DataFrame,
-    ordering: Ordering,
-    ranks: list[int],
-    rows: int,
-    rows_per_range: int = ROWS_PER_RANGE,
-) -> Ranges:
-    """The places of the rows with the given (1-based) ranks.
-
-    Only the ranges holding such a rank are sorted.  The driver sees one count
-    per range and one row per rank.
+    `ranks_of` gives the ranks for the number of rows.  Only the ranges holding such a rank
+    are sorted.  The driver sees one count per range and one row per rank.
     """
-    ranges = range_cuts(df, ordering, rows, rows_per_range)
-    numbered = df.select(ordering.place().alias("place"), ranges.index().alias("range"))
-    if ranges.points:
-        counts = {r["range"]: r["count"] for r in numbered.groupBy("range").count().collect()}
-    else:
-        counts = {0: rows}
+    places = stored.select(ordering.place().alias("place"), "range")
+    schema = places.schema["place"].dataType.simpleString()
+    counts = {r["range"]: r["count"] for r in places.groupBy("range").count().collect()}
     ends = dict(zip(sorted(counts), accumulate(counts[r] for r in sorted(counts))))
     wanted = []
-    for rank in ranks:
+    for rank in ranks_of(sum(counts.values())):
         home = next((r for r, end in ends.items() if rank <= end), None)
         if home is not None:
             wanted.append((home, rank - (ends[home] - counts[home])))
     if not wanted:
-        return Ranges(ordering, [], ranges.schema)
+        return Points(ordering, [], schema)
     local = Window.partitionBy("range").orderBy("place")
     is_wanted = F.struct("range", "rank").isin(
         *[F.struct(F.lit(home), F.lit(rank)) for home, rank in wanted]
     )
     found = (
-        numbered.where(F.col("range").isin(*{home for home, _ in wanted}))
+        places.where(F.col("range").isin(*{home for home, _ in wanted}))
         .withColumn("rank", F.row_number().over(local))
         .where(is_wanted)
         .sort("place")
+        .select(F.to_json("place", {"ignoreNullFields": "false"}))
     )
-    return Ranges(ordering, _collect_points(found), ranges.schema)
+    return Points(ordering, [row[0] for row in found.collect()], schema)
 
 
-def ntile(
-    df: DataFrame,
-    tiles: int,
-    ordering: Ordering,
-    rows: int,
-    rows_per_range: int = ROWS_PER_RANGE,
-) -> Column:
+def ntile(df: DataFrame, tiles: int, ordering: Ordering) -> Column:
     """NTILE(tiles) OVER (ORDER BY ...) over the whole of `df`, as a column of `df`.
 
-    The first `rows % tiles` tiles get one row more than the others.
+    The first `rows % tiles` tiles get one row more than the others.  Runs jobs.
     """
-    size, larger = divmod(rows, tiles)
-    starts = [t * size + min(t, larger) + 1 for t in range(1, tiles)]
-    starts = [s for s in starts if s <= rows]
-    return rows_at(df, ordering, starts, rows, rows_per_range).index() + 1
-
-
-def rank_and_running_sum(
-    df: DataFrame,
-    ordering: Ordering,
-    summed: str,
-    rows: int,
-    rows_per_range: int = ROWS_PER_RANGE,
-) -> DataFrame:
+
+    def starts(rows: int) -> list[int]:
+        size, larger = divmod(rows, tiles)
+        firsts = [t * size + min(t, larger) + 1 for t in range(1, tiles)]
+        return [first for first in firsts if first <= rows]
+
+    columns = list(dict.fromkeys([ordering.value, ordering.key]))
+    return rows_at(ranged(df.select(*columns), ordering), ordering, starts).passed() + 1
+
+
+def rank_and_running_sum(df: DataFrame, ordering: Ordering, summed: str) -> DataFrame:
     """`df` with rank, running_sum, total_rows and total_sum over the whole table.
 
     `summed` must be a whole number (cents), so that sums do not depend on the
-    order of addition.  A NULL adds nothing.
+    order of addition.  A NULL adds nothing.  Runs a job.
     """
-    ranges = range_cuts(df, ordering, rows, rows_per_range)
-    ranged = df.withColumn("range", ranges.index())
-    if ranges.points:
-        ranged = ranged.join(F.broadcast(_range_offsets(ranged, summed)), "range")
-    else:
-        # One range, of at most `rows_per_range` rows, is the whole table.
-        whole = Window.partitionBy("range")
-        ranged = ranged.select(
-            "*",
-            F.lit(0).alias("rows_before"),
-            F.lit(None).cast("bigint").alias("sum_before"),
-            F.count(F.lit(1)).over(whole).alias("total_rows"),
-            F.sum(summed).over(whole).alias("total_sum"),
-        )
-    local = Window.partitionBy("range").orderBy(*_sort_columns(ordering))
+    stored = ranged(df, ordering)
+    # One row per range.
+    joined = stored.join(F.broadcast(_range_offsets(stored, summed)), "range")
+    local = Window.partitionBy("range").orderBy(*ordering.sort_columns())
     running = local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     here, earlier = F.sum(summed).over(running), F.col("sum_before")
     return (
-        ranged.withColumn("rank", F.row_number().over(local) + F.col("rows_before"))
+        joined.withColumn("rank", F.row_number().over(local) + F.col("rows_before"))
         .withColumn("running_sum", F.coalesce(here + earlier, here, earlier))
         .drop("range", "rows_before", "sum_before")
     )
 
 
-def _range_offsets(ranged: DataFrame, summed: str) -> DataFrame:
+def _range_offsets(stored: DataFrame, summed: str) -> DataFrame:
     """What lies before each range, and the totals: one row per range.
 
-    The windows are over these rows only, at most MAX_RANGES.
+    The windows are over these rows only.
     """
     before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.partitionBy()
     return (
-        ranged.groupBy("range")
+        stored.groupBy("range")
         .agg(F.count(F.lit(1)).alias("n"), F.sum(summed).alias("s"))
         .select(
             "range",
@@ -233,11 +166,3 @@ def _range_offsets(ranged: DataFrame, summed: str) -> DataFrame:
             F.sum("s").over(everything).alias("total_sum"),
         )
     )
-
-
-def _sort_columns(ordering: Ordering) -> list[Column]:
-    value, key = F.col(ordering.value), F.col(ordering.key)
-    return [
-        value.desc_nulls_last() if ordering.descending else value.asc_nulls_last(),
-        key.asc_nulls_last(),
-    ]

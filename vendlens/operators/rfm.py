@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vendlens.functions.columns import amount, cents, percent, ratio, round_n, whole_table_sum
-from vendlens.operators.ordering import ROWS_PER_RANGE, Ordering, ntile
+from vendlens.operators.ordering import Ordering, ntile
 from vendlens.session import materialise
 
 KEY = "customer_unique_id"
@@ -53,15 +53,14 @@ def frequency_tier(frequency: Column) -> Column:
     )
 
 
-def _scored(profile: DataFrame, tiered: bool, rows_per_range: int, stored: bool) -> DataFrame:
+def _scored(profile: DataFrame, tiered: bool, stored: bool) -> DataFrame:
     # The profile is read once per score below, so it is written down first, unless
     # it is a stored table already: one row per customer, far smaller than the
     # order facts it comes from.
     base = profile if stored else materialise(profile, "customer_profile")
-    rows = base.count()
 
     def quintile(value: str) -> Column:
-        return ntile(base, 5, Ordering(value, KEY), rows, rows_per_range)
+        return ntile(base, 5, Ordering(value, KEY))
 
     # The searches for the tile starts do not depend on each other.
     scores = ["last_order_date", "monetary_cents"] + ([] if tiered else ["frequency"])
@@ -96,22 +95,18 @@ def with_rfm_cell(scored: DataFrame) -> DataFrame:
     )
 
 
-def rfm_tiered(
-    profile: DataFrame, rows_per_range: int = ROWS_PER_RANGE, stored: bool = False
-) -> DataFrame:
-    """RFM with the tiered frequency score."""
-    return with_rfm_cell(_scored(profile, True, rows_per_range, stored)).select(
+def rfm_tiered(profile: DataFrame, stored: bool = False) -> DataFrame:
+    """RFM with the tiered frequency score (B11).  Runs jobs to find the tiles."""
+    return with_rfm_cell(_scored(profile, True, stored)).select(
         KEY, "first_order_date", "last_order_date", "as_of_date", "recency_days", "frequency",
         "monetary", "items_bought", "r_score", "f_score", "m_score", "avg_order_value",
         "is_repeat_customer", "rfm_cell",
     )
 
 
-def rfm_ntile(
-    profile: DataFrame, rows_per_range: int = ROWS_PER_RANGE, stored: bool = False
-) -> DataFrame:
-    """RFM with quintiles for all three scores."""
-    return with_rfm_cell(_scored(profile, False, rows_per_range, stored)).select(
+def rfm_ntile(profile: DataFrame, stored: bool = False) -> DataFrame:
+    """RFM with quintiles for all three scores (C2).  Runs jobs to find the tiles."""
+    return with_rfm_cell(_scored(profile, False, stored)).select(
         KEY, "first_order_date", "last_order_date", "as_of_date", "recency_days", "frequency",
         "monetary", "items_bought", "r_score", "f_score", "m_score", "rfm_cell",
         "avg_order_value", "is_repeat_customer",

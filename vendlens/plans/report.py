@@ -51,7 +51,7 @@ def store_order_marts(star: Star, profile: DataFrame, folder: str) -> dict[str,
     builds = {n: lambda n=n: MARTS[n](star) for n in ROLLUP_MARTS}
     builds["mart_customer_segment"] = segments
     builds["mart_rfm"] = lambda: rfm.rfm_ntile(profile, stored=True)
-    builds["mart_pareto"] = lambda: m.pareto(profile, stored=True)
+    builds["mart_pareto"] = lambda: m.pareto(profile)
     builds["mart_repeat"] = lambda: m.repeat_purchase(profile)
     marts = _store_all(builds, folder)
     rollup = rfm.segment_rollup(marts["mart_customer_segment"])

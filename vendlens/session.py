@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,23 +33,52 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
 def scratch_root(spark: SparkSession) -> str:
     """The folder all executors share, as the session names it.
 
-    A local session without one gets a temporary folder.  On a cluster a
-    machine-local folder would lose data with its executor, so there the
-    setting is required.
+    There is no fallback: a machine-local folder would lose data with its executor.
     """
-    context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if folder:
-        return folder.rstrip("/")
-    if not context.master.startswith("local"):
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="vendlens-"))
-    return context.getCheckpointDir().rstrip("/")
+    return folder.rstrip("/")
+
+
+def use_own_scratch(spark: SparkSession) -> None:
+    """Name a new temporary folder as scratch folder if the session names none.
+
+    For tests, benches and trials on one machine; on a cluster the session has to name one.
+    The folder is removed at exit.
+    """
+    context = spark.sparkContext
+    if spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir():
+        return
+    folder = tempfile.mkdtemp(prefix="vendlens-")
+    context.setCheckpointDir(folder)
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+
+
+# Folders of the scratch spaces that are open, the innermost last.
+_SPACES: list[str] = []
+
+
+@contextmanager
+def scratch_space(spark: SparkSession) -> Iterator[str]:
+    """Intermediate tables made inside are removed at the end, and must be used up by then.
+
+    Without one they stay until someone removes the `vendlens-*` folders.
+    """
+    space = f"{scratch_root(spark)}/vendlens-{uuid.uuid4().hex}"
+    _SPACES.append(space)
+    try:
+        yield space
+    finally:
+        _SPACES.remove(space)
+        path = spark._jvm.org.apache.hadoop.fs.Path(space)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def scratch_folder(spark: SparkSession) -> str:
-    """A new folder under the shared one."""
-    return f"{scratch_root(spark)}/vendlens-{uuid.uuid4().hex}"
+    """A new folder in the innermost scratch space, or under the shared folder."""
+    inside = _SPACES[-1] if _SPACES else scratch_root(spark)
+    return f"{inside}/vendlens-{uuid.uuid4().hex}"
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
