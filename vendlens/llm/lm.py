@@ -94,7 +94,7 @@ def _chunks(docs: DataFrame) -> DataFrame:
             train = np.repeat(~np.array(held, bool), lengths)
             counts = np.bincount(sequence[train], minlength=len(vocabulary))
             return pa.RecordBatch.from_arrays([
-                pa.array([uuid.uuid4().hex]), pa.array([ids], pa.list_(id_type)),
+                pa.array([uuid.uuid4().int >> 65]), pa.array([ids], pa.list_(id_type)),
                 pa.array([held], pa.list_(pa.bool_())), pa.array([lengths], pa.list_(pa.int32())),
                 pa.array([_pack_ints(sequence)]), pa.array([_pack(b" ".join(vocabulary))]),
                 pa.array([_pack_ints(counts)]),
@@ -121,7 +121,7 @@ def _chunks(docs: DataFrame) -> DataFrame:
             yield chunk(id_type)
 
     return docs.mapInArrow(
-        run, f"chunk string, ids array<{kind}>, held array<boolean>, lengths array<int>,"
+        run, f"chunk long, ids array<{kind}>, held array<boolean>, lengths array<int>,"
         " sequence binary, words binary, counts binary"
     )
 
@@ -141,13 +141,13 @@ def _vocabularies(chunks: DataFrame) -> DataFrame:
             for at in range(0, len(words), 50_000):
                 part = words[at:at + 50_000]
                 yield pa.RecordBatch.from_arrays([
-                    pa.array([row["chunk"]] * len(part)),
+                    pa.array(np.full(len(part), row["chunk"], np.int64)),
                     pa.array(np.arange(at, at + len(part), dtype=np.int32)),
                     pa.array(part, pa.binary()), pa.array(counts[at:at + len(part)]),
                 ], ["chunk", "place", "word", "count"])
 
     return chunks.select("chunk", "words", "counts").mapInArrow(
-        run, "chunk string, place int, word binary, count long"
+        run, "chunk long, place int, word binary, count long"
     )
 
 
