@@ -5,13 +5,15 @@ from datetime import datetime
 from glob import glob
 
 import pytest
+from pyspark.sql import functions as F
 
+from vendlens.operators.quality import data_quality
 from vendlens.plans.report import run_report
-from vendlens.plans.warehouse import store_raw
+from vendlens.plans.warehouse import star_schema, store_raw
 from vendlens.session import materialise, scratch_root, scratch_space
 from vendlens.sinks.files import export_csv, export_json
 from vendlens.sources.raw_csv import raw_tables as csv_tables
-from vendlens.sources.raw_csv import read_raw_csv
+from vendlens.sources.raw_csv import read_raw_csv, rejected_rows
 from vendlens.sources.tables import read_raw
 from vendlens.sources.trade_tables import raw_tables
 
@@ -61,8 +63,14 @@ def test_raw_csv(spark, csv_folder):
     assert [o.order_id for o in orders] == ["a", "b"]  # the malformed row is dropped
     assert orders[0].order_purchase_timestamp == datetime(2017, 10, 2, 10, 56, 33)
     assert orders[1].order_approved_at is None
-    # dropped whatever columns a query asks for
-    assert raw.items.count() == raw.items.select("order_id").count() == 1
+    # left out whatever columns a query asks for: a row with too few fields
+    assert raw.items.count() == raw.items.select("order_id").count() == 2
+    # a number that cannot be read is missing, its row stays
+    assert sorted((i.order_id, i.price, i.freight_value) for i in raw.items.collect()) == [
+        ("a", 29.99, 8.72), ("b", None, 8.72)]
+    rejected = {r.table: (r.rows, r.rejected) for r in rejected_rows(spark, csv_folder).collect()}
+    assert rejected["orders"] == (3, 1) and rejected["items"] == (3, 1)
+    assert sum(n for name, (_, n) in rejected.items() if name not in ("orders", "items")) == 0
     review = raw.reviews.first()
     assert review.review_comment_message == 'two\nlines, a comma and a "quote"'
     assert review.review_answer_timestamp == datetime(2017, 10, 12, 3, 43, 48)
@@ -78,6 +86,34 @@ def test_columns_are_found_by_name(spark, tmp_path):
         ("extra", "string"), ("price", "double"), ("order_id", "string")]
 
 
+def test_files_with_different_headers_are_refused(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("order_id,price,freight_value\na,1,2\n")
+    (tmp_path / "b.csv").write_text("order_id,freight_value,price\nb,3,4\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_raw_csv(spark, str(tmp_path / "*.csv")).collect()
+
+
+def test_bad_prices_are_counted_by_the_checks(spark, csv_folder):
+    checks = data_quality(star_schema(csv_tables(spark, csv_folder))).first()
+    assert checks.items_negative_price == 1 and checks.items_null_freight == 0
+    assert checks.items_orphan_order_id == 0
+
+
+def test_exports_spell_out_numbers_and_keep_the_order(spark, tmp_path):
+    rows = [(13443534.14, 1.5e-7), (1e7, 0.1), (123456789012.25, 2.0), (None, 5.0), (0.5, None)]
+    df = spark.createDataFrame(rows, "x double, y double").repartition(3)
+    path = export_csv(df, str(tmp_path), "t", [F.desc_nulls_last("x")])
+    lines = [line for p in parts(path) for line in open(p).read().split("\n")[1:-1]]
+    assert lines == ["123456789012.25,2.0", "13443534.14,0.00000015", "10000000.0,0.1",
+                     "0.5,", ",5.0"]
+    sorted_mart = spark.range(1000).repartition(7)
+    sorted_mart.write.parquet(f"{tmp_path}/stored")
+    stored = spark.read.parquet(f"{tmp_path}/stored")
+    path = export_csv(stored, str(tmp_path), "sorted", [F.asc("id")])
+    lines = [int(x) for p in parts(path) for x in open(p).read().split("\n")[1:-1]]
+    assert lines == list(range(1000))
+
+
 def test_report_from_csv(spark, csv_folder, tmp_path):
     raw = store_raw(csv_tables(spark, csv_folder), str(tmp_path / "stored"))
     assert read_raw(spark, str(tmp_path / "stored")).orders.count() == raw.orders.count() == 2

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from vendlens.operators import marts as m
 from vendlens.operators import rfm
+from vendlens.operators.marts import DELIVERY_BUCKETS
 from vendlens.schemas import Star
 
 
@@ -38,3 +40,31 @@ MARTS: dict[str, Callable[[Star], DataFrame]] = {
     "dim_date": lambda s: s.dim_date.orderBy("date_day"),
     "fact_order_summary": lambda s: s.fact_order_summary,
 }
+
+
+def mart_order(name: str) -> list[Column] | None:
+    """How an exported mart is sorted; None for tables without an order of their own."""
+    return _orders().get(name)
+
+
+def _orders() -> dict[str, list[Column]]:
+    return {
+        "mart_monthly_kpi": [F.asc_nulls_last("order_month")],
+        "mart_rfm_segments": [F.desc_nulls_last("revenue"), F.asc("segment")],
+        "mart_cohort": [F.asc("cohort_month"), F.asc("month_offset")],
+        "mart_pareto": [F.asc("rk")],
+        "mart_category": [F.desc("revenue"), F.asc_nulls_last("category")],
+        "mart_state": [F.desc_nulls_last("revenue"), F.asc("customer_state")],
+        "mart_delivery_sla": [F.asc_nulls_last("order_month")],
+        "mart_payment": [F.desc_nulls_last("value"), F.asc_nulls_last("payment_type")],
+        "mart_repeat": [F.asc("order_bucket")],
+        "mart_review_delay": [
+            F.asc(F.coalesce(
+                F.nullif(F.array_position(
+                    F.array(*[F.lit(b) for b in DELIVERY_BUCKETS]), F.col("delivery_bucket")
+                ), F.lit(0)), F.lit(len(DELIVERY_BUCKETS) + 1)
+            )),
+        ],
+        "mart_sla_by_state": [F.desc("delivered_orders"), F.asc("customer_state")],
+        "dim_date": [F.asc("date_day")],
+    }

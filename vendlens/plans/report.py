@@ -12,7 +12,7 @@ from vendlens.operators import rfm
 from vendlens.operators.findings import MIN_COHORT, WINDOW_START, findings_document
 from vendlens.operators.headline import headline_metrics
 from vendlens.operators.quality import data_quality
-from vendlens.plans.marts import MARTS
+from vendlens.plans.marts import MARTS, mart_order
 from vendlens.plans.warehouse import JOBS_AT_ONCE, store_facts, store_rollup
 from vendlens.schemas import RawTables, Star
 from vendlens.sinks.files import export_csv, export_json, store_table
@@ -75,7 +75,7 @@ def run_report(
     tables, processed, reports = f"{folder}/tables", f"{folder}/processed", f"{folder}/reports"
 
     def export(name: str, df: DataFrame) -> str:
-        return export_csv(df, processed, name)
+        return export_csv(df, processed, name, mart_order(name))
 
     def checks(star: Star) -> str:
         return export_json(data_quality(star), reports, "data_quality")

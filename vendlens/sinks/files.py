@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def store_table(df: DataFrame, folder: str, name: str) -> DataFrame:
@@ -15,13 +17,35 @@ def store_table(df: DataFrame, folder: str, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def export_csv(df: DataFrame, folder: str, name: str) -> str:
+def _plain(df: DataFrame) -> list[Column]:
+    """Columns as a CSV reader expects them: doubles without an exponent.
+
+    Spark writes doubles from ten million on as 1.0E7.  The shortest digits of the double are
+    kept, only spelled out.
+    """
+    plain = []
+    for field in df.schema:
+        column = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, T.DoubleType):
+            # 38 digits hold every amount and share here; what does not fit stays as it is.
+            text = column.cast("string")
+            decimal = F.expr(f"try_cast(`{field.name}` AS DECIMAL(38, 12))").cast("string")
+            spelled = F.regexp_replace(F.regexp_replace(decimal, "0+$", ""), r"\.$", ".0")
+            exact = F.expr(f"try_cast(`{field.name}` AS DECIMAL(38, 12))").cast("double") == column
+            column = F.when(text.contains("E") & exact, spelled).otherwise(text)
+        plain.append(column.alias(field.name))
+    return plain
+
+
+def export_csv(df: DataFrame, folder: str, name: str, order: list[Column] | None = None) -> str:
     """Write a mart as a folder of CSV files with header (A3, A4).
 
-    Every task writes its own part, also for customer-level marts.
+    Every task writes its own part, also for customer-level marts.  With `order` the rows are
+    in that order, from file to file by their names; a stored table has to be sorted anew.
     """
     path = f"{folder}/{name}.csv"
-    df.write.mode("overwrite").option("header", True).csv(path)
+    rows = df.orderBy(*order) if order else df
+    rows.select(*_plain(df)).write.mode("overwrite").option("header", True).csv(path)
     return path
 
 
