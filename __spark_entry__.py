@@ -13,17 +13,17 @@ from pyspark.sql import functions as F  # noqa: E402
 from pyspark.sql import types as T  # noqa: E402
 
 from oracle import sql as oracle  # noqa: E402
-from vendlens.functions.columns import round_n  # noqa: E402
+from vendlens.functions.columns import plain_text, round_n  # noqa: E402
 from vendlens.operators import datasets, findings, headline, quality  # noqa: E402
 from vendlens.operators import marts as m  # noqa: E402
 from vendlens.plans import marts as catalogue  # noqa: E402
-from vendlens.plans.marts import MARTS  # noqa: E402
+from vendlens.plans.marts import MARTS, mart_order  # noqa: E402
 from vendlens.plans.report import store_marts, store_profile  # noqa: E402
-from vendlens.plans.warehouse import star_schema, store_star  # noqa: E402
-from vendlens.schemas import Star  # noqa: E402
-from vendlens.sinks.files import export_csv  # noqa: E402
-from vendlens.sources.raw_csv import read_raw_csv  # noqa: E402
-from vendlens.sources.tables import read_table  # noqa: E402
+from vendlens.plans.warehouse import star_schema, store_raw, store_star  # noqa: E402
+from vendlens.schemas import RAW_FILES, Star  # noqa: E402
+from vendlens.sinks.files import export_csv, export_json  # noqa: E402
+from vendlens.sources.raw_csv import raw_tables as csv_tables  # noqa: E402
+from vendlens.sources.tables import read_raw, read_table  # noqa: E402
 from vendlens.sources.trade_tables import raw_tables  # noqa: E402
 from vendlens.session import scratch_folder, use_own_scratch  # noqa: E402
 
@@ -67,7 +67,32 @@ def _findings(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _findings_document(spark: SparkSession, folder: str) -> DataFrame:
-    return _findings(spark, folder).select(F.to_json(F.struct("*")).alias("findings"))
+    """The whole findings document as (section, field, text) rows."""
+    document = _findings(spark, folder)
+
+    def row(section: str, field: str, text) -> Column:
+        return F.struct(F.lit(section).alias("section"), F.lit(field).alias("field"),
+                        text.alias("text"))
+
+    fields = []
+    for section in document.schema:
+        for field in section.dataType:
+            value = F.col(section.name)[field.name]
+            if isinstance(field.dataType, T.DoubleType):
+                fields.append(row(section.name, field.name, plain_text(value)))
+            elif not isinstance(field.dataType, (T.MapType, T.ArrayType)):
+                fields.append(row(section.name, field.name, value.cast("string")))
+    marks = [
+        row("pareto", f"concentration_{p}", plain_text(F.col("pareto.concentration")[p]))
+        for p in findings.PARETO_MARKS
+    ]
+    segments = F.flatten(F.transform("rfm.segments_table", lambda s: F.array(*[
+        F.struct(F.lit("rfm").alias("section"),
+                 F.concat(F.lit("segments_table: "), s["segment"], F.lit(f": {c}")).alias("field"),
+                 s[c].alias("text"))
+        for c in findings.SEGMENT_COLUMNS
+    ])))
+    return document.select(F.inline(F.concat(F.array(*fields, *marks), segments)))
 
 
 def _findings_numbers(spark: SparkSession, folder: str) -> DataFrame:
@@ -90,22 +115,48 @@ def _findings_numbers(spark: SparkSession, folder: str) -> DataFrame:
     return document.select(F.inline(F.array(*numbers, *marks)))
 
 
-def _fact_orders_from_csv(spark: SparkSession, folder: str) -> DataFrame:
-    """Write orders and customers as CSV, read them back as raw files, build the fact."""
-    target, raw = scratch_folder(spark), raw_tables(spark, folder)
-    orders = read_raw_csv(spark, export_csv(raw.orders, target, "orders"))
-    customers = read_raw_csv(spark, export_csv(raw.customers, target, "customers"))
-    facts = star_schema(raw.with_tables(orders=orders, customers=customers)).fact_orders
-    # Ids are text in the files and numbers in the test tables.
-    return facts.withColumns({
-        c: F.col(c).cast("bigint") for c in ("order_id", "customer_unique_id")
-    })
+def _from_csv(table: str) -> Query:
+    """Write all eight raw tables as CSV, read them back as raw files, build `table` on them."""
+
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        target, raw = scratch_folder(spark), raw_tables(spark, folder)
+        for name, df in raw.named().items():
+            export_csv(df, target, RAW_FILES[name].strip("*").removesuffix(".csv"))
+        read = getattr(star_schema(csv_tables(spark, target)), table)
+        # Ids are text in the files and numbers in the test tables.
+        schema = getattr(star_schema(raw), table).schema
+        return read.select(*[F.col(c).cast(schema[c].dataType).alias(c) for c in read.columns])
+
+    return run
 
 
-def _state_csv_round_trip(spark: SparkSession, folder: str) -> DataFrame:
-    mart = MARTS["mart_state"](_star(spark, folder))
-    path = export_csv(mart, scratch_folder(spark), "mart_state")
-    return spark.read.schema(mart.schema).option("header", True).csv(path)
+def _mart_csv_round_trip(name: str) -> Query:
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        mart = MARTS[name](_star(spark, folder))
+        path = export_csv(mart, scratch_folder(spark), name, mart_order(name))
+        return spark.read.schema(mart.schema).option("header", True).csv(path)
+
+    return run
+
+
+def _json_round_trip(build: Callable[[Star], DataFrame], names: list[str]) -> Query:
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        report = build(_star(spark, folder))
+        path = export_json(report, scratch_folder(spark), "report")
+        return quality.as_long_table(spark.read.schema(report.schema).json(path), names)
+
+    return run
+
+
+def _headline(star: Star) -> DataFrame:
+    return headline.headline_metrics(star, oracle.TOP_CUSTOMERS)
+
+
+def _raw_stored(spark: SparkSession, folder: str) -> DataFrame:
+    """Store the raw tables, read them back, and build the category mart on them."""
+    target = scratch_folder(spark)
+    store_raw(raw_tables(spark, folder), target)
+    return MARTS["mart_category"](star_schema(read_raw(spark, target)))
 
 
 def _kpi_stored(spark: SparkSession, folder: str) -> DataFrame:
@@ -183,9 +234,7 @@ def library_queries() -> dict[str, Query]:
         "cohort_summary": _on_marts(findings.cohort_summary, cohort, min_cohort=MIN_COHORT),
         "segment_summary": _on_marts(findings.segment_summary, segments),
         "segment_table": _on_marts(
-            lambda s: findings.segment_table(s).select(
-                F.to_json("segments_table").alias("segments_table")
-            ),
+            lambda s: findings.segment_table(s).select(F.inline("segments_table")),
             segments,
         ),
         "pareto_marks": _on_marts(findings.pareto_marks, "mart_pareto"),
@@ -222,6 +271,7 @@ def library_queries() -> dict[str, Query]:
         "data_kpi_cards": _on_marts(datasets.kpi_cards, kpi, "mart_rfm", sla),
         "data_kpi_table": _on_marts(datasets.kpi_table, kpi),
         "data_segment_bars": _on_marts(datasets.segments_by_revenue, segments, ascending=True),
+        "data_segment_table": _on_marts(datasets.segments_by_revenue, segments),
         "data_customer_search": _on_marts(
             datasets.find_customers, "mart_rfm", pattern=oracle.SEARCH
         ),
@@ -231,9 +281,12 @@ def library_queries() -> dict[str, Query]:
         ),
         "data_state_table": _on_marts(datasets.state_table, state),
         # stored tables and files
-        "fact_orders_from_csv": _fact_orders_from_csv,
-        "mart_state_csv_round_trip": _state_csv_round_trip,
+        **{f"{table}_from_csv": _from_csv(table) for table in oracle.FROM_CSV},
+        **{f"{name}_csv_round_trip": _mart_csv_round_trip(name) for name in MARTS},
+        "dq_checks_json_round_trip": _json_round_trip(quality.data_quality, quality.CHECKS),
+        "headline_json_round_trip": _json_round_trip(_headline, oracle.HEADLINE_NUMBERS),
         "mart_monthly_kpi_stored": _kpi_stored,
+        "mart_category_raw_stored": _raw_stored,
     }
     return result
 
@@ -245,9 +298,5 @@ def oracle_sql() -> dict[str, str]:
 
 
 def library_oracles() -> dict[str, str]:
-    """SQL for the operators on the marketplace.
-
-    None for `segment_table` and `findings_document`, which are JSON text; their numbers
-    are those of `data_segments_ordered` and `findings_numbers`.
-    """
+    """SQL for the operators on the marketplace."""
     return oracle.all_statements()

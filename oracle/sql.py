@@ -639,11 +639,41 @@ QUERIES: dict[str, str] = {
         FROM growth""",
     "data_state_table": "SELECT * FROM m_state ORDER BY revenue DESC",
     # ---- stored tables and files
-    "fact_orders_from_csv": "",
-    "mart_state_csv_round_trip": "SELECT * FROM m_state",
     "mart_monthly_kpi_stored": "SELECT * FROM m_kpi",
+    "mart_category_raw_stored": "SELECT * FROM m_category",
+    "data_segment_table": "SELECT * FROM m_seg ORDER BY revenue DESC",
 }
-QUERIES["fact_orders_from_csv"] = QUERIES["fact_orders"]
+# Tables that are built from all eight raw files as CSV.
+FROM_CSV = [
+    "dim_customer", "dim_product", "dim_seller", "fact_orders", "fact_order_items",
+    "fact_payments", "fact_reviews", "fact_order_summary",
+]
+MARTS = [
+    "mart_monthly_kpi", "mart_rfm", "mart_rfm_segments", "mart_cohort", "mart_pareto",
+    "mart_category", "mart_state", "mart_delivery_sla", "mart_payment", "mart_repeat",
+    "mart_review_delay", "mart_sla_by_state", "mart_customer_segment", "dim_date",
+    "fact_order_summary",
+]
+QUERIES |= {f"{table}_from_csv": QUERIES[table] for table in FROM_CSV}
+QUERIES |= {f"{mart}_csv_round_trip": QUERIES[mart] for mart in MARTS}
+QUERIES["dq_checks_json_round_trip"] = QUERIES["dq_checks"]
+HEADLINE_NUMBERS = [
+    "revenue_brl", "orders", "unique_customers", "aov_brl", "repeat_customer_pct",
+    "top8pct_customers_share_of_revenue", "cancellation_rate_pct", "avg_delivery_days",
+    "avg_review_score",
+]
+QUERIES["headline_json_round_trip"] = (
+    f"SELECT unnest({HEADLINE_NUMBERS}) AS \"check\", "
+    f"unnest([{', '.join(f'CAST({n} AS DOUBLE)' for n in HEADLINE_NUMBERS)}]) AS value "
+    f"FROM ({QUERIES['headline_metrics']})"
+)
+_SEGMENT_COLUMNS = [
+    "segment", "customers", "pct_customers", "revenue", "pct_revenue", "avg_monetary",
+    "avg_frequency", "avg_recency_days",
+]
+QUERIES["segment_table"] = "SELECT " + ", ".join(
+    f"CAST({c} AS VARCHAR) AS {c}" for c in _SEGMENT_COLUMNS
+) + " FROM m_seg"
 
 # The numbers of the findings document: section -> (query, its numeric columns).
 _NUMBERS = [
@@ -679,6 +709,27 @@ QUERIES["findings_numbers"] = " UNION ALL ".join(
     UNION ALL SELECT 'pareto', concat('concentration_', pct), pct_revenue
     FROM ({QUERIES["pareto_marks"]})"""
 
+# Text fields of the findings document.
+_TEXTS = [
+    ("trend", "trend_summary", [
+        "window_start", "window_end", "peak_month", "best_mom_month", "worst_mom_month"]),
+    ("rfm", "segment_summary", ["top_segment"]),
+    ("category", "category_summary", ["top_category"]),
+    ("state", "state_summary", ["top_state", "slowest_state"]),
+]
+QUERIES["findings_document"] = " UNION ALL ".join(
+    f"SELECT '{section}' AS section, unnest({names}) AS field, "
+    f"unnest([{', '.join(f'CAST({n} AS VARCHAR)' for n in names)}]) AS text "
+    f"FROM ({QUERIES[query]})"
+    for section, query, names in _NUMBERS + _TEXTS
+) + f"""
+    UNION ALL SELECT 'pareto', concat('concentration_', pct), CAST(pct_revenue AS VARCHAR)
+    FROM ({QUERIES["pareto_marks"]})
+    UNION ALL SELECT 'rfm', concat('segments_table: ', segment, ': ', c.name), c.text
+    FROM (SELECT segment, unnest([{", ".join(
+        f"{{'name': '{c}', 'text': CAST({c} AS VARCHAR)}}" for c in _SEGMENT_COLUMNS
+    )}]) AS c FROM m_seg)"""
+
 
 def _needs(text: str) -> set[str]:
     return {name for name in PARTS if re.search(rf"\b{name}\b", text)}

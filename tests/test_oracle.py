@@ -27,8 +27,7 @@ def test_entry(spark):
 
 def test_every_oracle_has_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    missing = set(entry.library_queries()) - set(entry.library_oracles())
-    assert missing == {"segment_table", "findings_document"}
+    assert set(entry.library_queries()) == set(entry.library_oracles())
 
 
 @pytest.mark.parametrize("name", list(entry.library_oracles()))
@@ -36,10 +35,3 @@ def test_query(spark, connection, small, name):
     df = entry.queries()[name](spark, small)
     assert forbidden_parts(df) == []
     assert differences(df, connection, entry.oracle_sql()[name]) is None
-
-
-@pytest.mark.parametrize("name", ["segment_table", "findings_document"])
-def test_document(spark, small, name):
-    df = entry.queries()[name](spark, small)
-    assert forbidden_parts(df) == []
-    assert df.count() == 1

@@ -64,3 +64,14 @@ def whole_table_sum(value: Column) -> Column:
 def as_row(df: DataFrame) -> Column:
     """A one-row DataFrame as a struct-valued scalar subquery."""
     return df.select(F.struct(*df.columns).alias("row")).scalar()
+
+
+def plain_text(value: Column) -> Column:
+    """A double as text without an exponent; Spark's own cast writes 1.0E7 from ten million on.
+
+    The shortest digits of the double are kept, only spelled out.  38 digits hold every amount
+    and share here; what does not fit stays as it is.
+    """
+    text, exact = value.cast("string"), value.try_cast("decimal(38,12)")
+    spelled = F.regexp_replace(F.regexp_replace(exact.cast("string"), "0+$", ""), r"\.$", ".0")
+    return F.when(text.contains("E") & (exact.cast("double") == value), spelled).otherwise(text)

@@ -10,13 +10,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql import Window
 
-from vendlens.functions.columns import as_row, percent, ratio, round_n
+from vendlens.functions.columns import as_row, percent, plain_text, ratio, round_n
 from vendlens.functions.statistics import pearson_t, student_p, welch_freedom, welch_t
 from vendlens.operators.marts import DELIVERY_BUCKETS, NO_DELIVERY
 from vendlens.operators.rfm import SEGMENT_ORDER
 
+# Names of sections and fields of the findings, here and below.
 WINDOW_START = "2017-01-01"
 MIN_COHORT = 1000
 PARETO_MARKS = (1, 5, 10, 20, 30, 50)
@@ -161,9 +163,14 @@ def segment_summary(segments: DataFrame) -> DataFrame:
     )
 
 
+def _text(df: DataFrame, column: str) -> Column:
+    is_double = isinstance(df.schema[column].dataType, T.DoubleType)
+    return plain_text(F.col(column)) if is_double else F.col(column).cast("string")
+
+
 def segment_table(segments: DataFrame) -> DataFrame:
     """All segments, in listing order, as one row holding an array of text records."""
-    record = F.struct(*[F.col(c).cast("string").alias(c) for c in SEGMENT_COLUMNS])
+    record = F.struct(*[_text(segments, c).alias(c) for c in SEGMENT_COLUMNS])
     placed = F.struct(segment_position().alias("position"), record.alias("record"))
     return segments.agg(
         F.transform(F.sort_array(F.collect_list(placed)), lambda s: s["record"])

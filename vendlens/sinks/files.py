@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vendlens.functions.columns import plain_text
+
 
 def store_table(df: DataFrame, folder: str, name: str) -> DataFrame:
     """Replace a stored table and return it as read back (A2).
@@ -18,23 +20,12 @@ def store_table(df: DataFrame, folder: str, name: str) -> DataFrame:
 
 
 def _plain(df: DataFrame) -> list[Column]:
-    """Columns as a CSV reader expects them: doubles without an exponent.
-
-    Spark writes doubles from ten million on as 1.0E7.  The shortest digits of the double are
-    kept, only spelled out.
-    """
-    plain = []
-    for field in df.schema:
-        column = F.col(f"`{field.name}`")
-        if isinstance(field.dataType, T.DoubleType):
-            # 38 digits hold every amount and share here; what does not fit stays as it is.
-            text = column.cast("string")
-            decimal = F.expr(f"try_cast(`{field.name}` AS DECIMAL(38, 12))").cast("string")
-            spelled = F.regexp_replace(F.regexp_replace(decimal, "0+$", ""), r"\.$", ".0")
-            exact = F.expr(f"try_cast(`{field.name}` AS DECIMAL(38, 12))").cast("double") == column
-            column = F.when(text.contains("E") & exact, spelled).otherwise(text)
-        plain.append(column.alias(field.name))
-    return plain
+    """Columns as a CSV reader expects them: doubles without an exponent."""
+    return [
+        (plain_text(F.col(f"`{f.name}`")) if isinstance(f.dataType, T.DoubleType)
+         else F.col(f"`{f.name}`")).alias(f.name)
+        for f in df.schema
+    ]
 
 
 def export_csv(df: DataFrame, folder: str, name: str, order: list[Column] | None = None) -> str:
