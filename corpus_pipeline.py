@@ -6,7 +6,7 @@ the last return the columns of `documents`; the last returns a row per packed pi
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vendlens.llm import language, line_dedup, near_dedup, packing, quality
@@ -57,29 +57,27 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     Rows that repeat a document that stays are copies of it, so one of them stays.
     """
     ship_package(spark)
-    found = materialise(near_dedup.near_dedup(docs), "near_copies")
+    found = near_dedup.near_dedup(docs)
     gone, key = free_name(docs, "gone"), free_name(docs, "gone_id")
-    # How many rows of an id stay: fewer than there are only if its rows are copies.
+    # How many rows of an id stay: fewer than there are only if some are copies.
     stays = found.groupBy("doc_id").agg(
         F.sum(F.col("kept").cast("int")).alias("stay"), F.count("*").alias("rows")
     )
-    dropped = stays.where("stay < rows").select(
-        F.col("doc_id").alias(key), F.col("stay").alias(gone)
+    dropped = materialise(
+        stays.where("stay < rows").select(F.col("doc_id").alias(key), F.col("stay").alias(gone)),
+        "near_copies",
     )
     marked = docs.join(dropped, docs["doc_id"].eqNullSafe(F.col(key)), "left")
-    whole = marked.where(F.col(gone).isNull())
-    # Ids of several rows of which some stay: the same row for row, smallest text first.
-    partly = marked.where(F.col(gone) > 0)
-    return whole.unionByName(_first_rows(partly, gone)).select(*docs.columns)
-
-
-def _first_rows(rows: DataFrame, how_many: str) -> DataFrame:
-    from pyspark.sql import Window
-
-    nth = free_name(rows, "nth")
-    order = Window.partitionBy("doc_id").orderBy("text")
-    ranked = rows.withColumn(nth, F.row_number().over(order))
-    return ranked.where(F.col(nth) <= F.col(how_many)).drop(nth)
+    whole = marked.where(F.col(gone).isNull()).select(*docs.columns)
+    repeated = dropped.where(F.col(gone) > 0)
+    if not repeated.limit(1).count():
+        return whole
+    # Ids of several rows of which some stay: as many rows, the smallest texts first.
+    nth = free_name(docs, "nth")
+    rows = docs.join(repeated, docs["doc_id"].eqNullSafe(F.col(key))).withColumn(
+        nth, F.row_number().over(Window.partitionBy(key).orderBy("text"))
+    )
+    return whole.unionByName(rows.where(F.col(nth) <= F.col(gone)).select(*docs.columns))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
