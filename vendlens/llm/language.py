@@ -43,7 +43,8 @@ MAX_LANGUAGES = 64
 CALIBRATION_DOCS = 4000
 REJECT_QUANTILE = 0.999  # of the calibration documents of a language
 CACHED = 300_000         # words whose scores a task keeps
-COUNTED = 400_000        # words a task counts before it cuts them into n-grams
+COUNTED = 300_000        # words a task counts before it cuts them into n-grams
+CUT = 20_000             # of these at a time
 ROWS = 512
 UNKNOWN = "und"
 
@@ -88,7 +89,22 @@ def _key(hashes: np.ndarray) -> np.ndarray:
 
 
 def _grams(words: list[str], weights: np.ndarray):
-    """(order, key, key of the prefix, key of the suffix, weight) of the n-grams of words."""
+    """(order, key, prefix's key, suffix's key, whether initial, weight) of words' n-grams.
+
+    A few words at a time, so that little memory is needed; their sums are merged.
+    """
+    parts = [[] for _ in range(ORDER)]
+    for at in range(0, len(words), CUT):
+        for n, found in enumerate(_cut(words[at:at + CUT], weights[at:at + CUT])):
+            parts[n].append(found)
+    for n, found in enumerate(parts, start=1):
+        key, prefix, suffix, initial, total = map(np.concatenate, zip(*found))
+        key, first, back = np.unique(key, return_index=True, return_inverse=True)
+        total = np.bincount(back, total, minlength=len(key)).astype(np.int64)
+        yield n, key, prefix[first], suffix[first], initial[first], total
+
+
+def _cut(words: list[str], weights: np.ndarray):
     codes, place, word = _symbols(words)
     keys = [_key(h) for h in _hashes(codes, ORDER)]
     for n in range(1, ORDER + 1):
@@ -97,8 +113,8 @@ def _grams(words: list[str], weights: np.ndarray):
         suffix = keys[n - 2][at] if n > 1 else np.zeros(len(at), np.int64)
         key, first, back = np.unique(keys[n - 1][at], return_index=True, return_inverse=True)
         total = np.bincount(back, weights[word[at]], minlength=len(key)).astype(np.int64)
-        # Whether a symbol can stand before the n-gram: not if it begins with the start mark.
-        yield n, key, prefix[first], suffix[first], total, (place[at] == n - 1)[first]
+        # No symbol can stand before an n-gram that begins with the start mark.
+        yield key, prefix[first], suffix[first], (place[at] == n - 1)[first], total
 
 
 def _gram_counts(train: DataFrame) -> DataFrame:
@@ -111,7 +127,7 @@ def _gram_counts(train: DataFrame) -> DataFrame:
             if not words:
                 continue
             weights = np.fromiter(counter.values(), np.float64, len(words))
-            for n, key, prefix, suffix, total, initial in _grams(words, weights):
+            for n, key, prefix, suffix, initial, total in _grams(words, weights):
                 yield pa.RecordBatch.from_arrays([
                     pa.array([lang] * len(key), pa.string()),
                     pa.array(np.full(len(key), n, np.int32)),
