@@ -42,8 +42,8 @@ BITS = 20
 MAX_LANGUAGES = 64
 CALIBRATION_DOCS = 4000
 REJECT_QUANTILE = 0.999  # of the calibration documents of a language
-CACHED = 300_000         # words whose scores a task keeps
-COUNTED = 300_000        # words a task counts before it cuts them into n-grams
+CACHED = 150_000         # words whose scores a task keeps
+COUNTED = 200_000        # words a task counts before it cuts them into n-grams
 CUT = 20_000             # of these at a time
 ROWS = 512
 UNKNOWN = "und"

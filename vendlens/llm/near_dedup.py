@@ -48,7 +48,7 @@ SIMILARITY = 0.8
 SKETCHES = 20
 SAMPLED = 3
 BLOCK = 512
-CACHED = 300_000
+CACHED = 150_000
 ROWS = 256
 
 _WORD = re.compile(r"\w+")

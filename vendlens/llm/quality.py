@@ -42,7 +42,7 @@ PRIOR_DOCS = 5.0      # documents of evidence against a word's telling anything
 STEM = 5              # letters of a longer word that are looked up as its beginning
 TELLING = (1.0, 2.0)  # log odds from which a word counts as a sign, and as a strong one
 KEEP_FROM = 0.5       # posterior from which a document is kept
-CACHED = 300_000
+CACHED = 150_000
 ROWS = 512
 
 _WORD = re.compile(r"\w+")
