@@ -66,6 +66,18 @@ def test_lengths_differ(spark):
     assert recall(ours, true) >= 0.9
 
 
+def test_near_copies_on_the_smallest_ids(spark):
+    """They do not decide how far the other queries look."""
+    rng = np.random.default_rng(2)
+    vectors = rng.standard_normal((12_000, 32))
+    vectors[:1200] = vectors[0] + 1e-4 * rng.standard_normal((1200, 32))
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    true = brute(rows, 5, lambda i: i >= 1200 and i % 200 == 0)
+    ours = found(ann.nearest(df, (F.col("vec_id") >= 1200) & (F.col("vec_id") % 200 == 0), k=5))
+    assert recall(ours, true) >= 0.9
+
+
 @pytest.mark.parametrize("shard", [50, 16_384])
 def test_copies_and_odd_rows(spark, monkeypatch, shard):
     monkeypatch.setattr(ann, "SHARD", shard)

@@ -7,8 +7,9 @@ tables projects vectors on `HASHES` normal directions and cuts each projection i
 
 A query visits buckets in the order of their estimated success, the squared distance from its
 projections to the bucket's box: first its own, then perturbations of ever more and farther
-coordinates, until a limit.  The limit is fitted on a bounded sample: it is the distance within
-which `TARGET` of the sample's true neighbours have their bucket in one of the tables.
+coordinates, until a limit.  The limit is fitted on a bounded sample, taken by hash of the id: it
+is the distance within which `TARGET` of the true neighbours of the sample's first
+`SAMPLE_QUERIES` vectors, in order of that hash, have their bucket in one of the tables.
 Candidates of all tables are merged and ranked by their exact inner product.
 
 Buckets are dealt into shards of about `SHARD` vectors by the first `COARSE` coordinates; a
@@ -121,8 +122,10 @@ def _valid(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
 
 def _limit(sample: DataFrame, hashing: Hashing, items: int, k: int) -> float:
     """The misfit within which neighbours are looked for, from at most SAMPLE vectors."""
-    rows = sample.limit(SAMPLE).select("vec_id", "vector").toArrow().to_pandas()
-    rows = rows.sort_values("vec_id")
+    hashed = F.xxhash64("vec_id").alias("hash")
+    rows = sample.limit(SAMPLE).select(hashed, "vec_id", "vector").toArrow().to_pandas()
+    # In the order of the hash that took the sample: small ids may be one group of near copies.
+    rows = rows.sort_values(["hash", "vec_id"])
     vectors = np.array(rows["vector"].tolist())
     n = len(vectors)
     if n < 2:
