@@ -130,3 +130,20 @@ def test_caches_may_start_anew(model, monkeypatch):
     small, large = language.Scorer(model), language.Scorer(model)
     apart = [small.entropies([t])[0] for t in texts]
     assert np.allclose(apart, large.entropies(texts))
+
+
+def test_a_rare_language_rejects_too(spark):
+    """Two documents among thousands, and one text that most rows are copies of."""
+    rng = np.random.default_rng(4)
+    words = {"en": "the cat sat on a mat and then some dog ran over that green hill".split(),
+             "de": "der hund und die katze laufen heute nicht mehr durch den wald".split()}
+    rows = [(" ".join(rng.choice(words[lang], 12)), lang) for lang in words for _ in range(6000)]
+    rows += [(" ".join(words["en"]), "en")] * 9000
+    rare = [("kissa istuu matolla ja koira juoksee", "fi"), ("kissa nukkuu sohvalla", "fi")]
+    model = language.fit(spark.createDataFrame(rows + rare, "text string, lang string"))
+    assert np.isfinite(model.limits).all()
+    foreign = ["собака бежит по лесу", "η γάτα κάθεται", "日本語の文章です", "xqzj wvkpq zzxq jjqw",
+               "qwrtp zxcvb", "猫が座る", "ŵŷ ĉĝ ĥĵ"]
+    docs = [(t, True) for t in foreign] + [(t, False) for t, _ in rare + rows[::600]]
+    found = language.identify(spark.createDataFrame(docs, "text string, strange boolean"), model)
+    assert [r for r in found.collect() if r.rejected != r.strange] == []

@@ -11,10 +11,12 @@ Per order, the hashes of all languages are one sorted array, with a row of log p
 and backoff weights per hash, so one binary search serves all languages.
 
 A text's score in a language is its cross-entropy per character; the language with the lowest
-is chosen (the first by name among equals).  On a bounded sample of training documents, two
-numbers are calibrated: the sharpness that turns cross-entropies into a probability, and per
-language the cross-entropy beyond which a text is rejected as none of the languages.  That is
-half-way from a high quantile of the language's documents to a text of random symbols.
+is chosen (the first by name among equals).  On all training documents, two numbers are
+calibrated: the sharpness that turns cross-entropies into a probability, and per language the
+cross-entropy beyond which a text is rejected as none of the languages.  That is half-way from a
+high quantile of the language's different texts to a text of random symbols.  The quantile is
+over the texts that state the language and are found to be in it, or, if there are none, over all
+that state it; it comes from counts per step of `STEP`, which Spark sums.
 
 Defined results: a text that is null or has no letter is `und`, score 0, rejected.  Training
 rows without text or language are left out; without any training row all texts are `und`.
@@ -35,13 +37,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vendlens.llm.common import bounded_sample, free_name, slices, strings
+from vendlens.llm.common import free_name, slices, strings
 
 ORDER = 5
 BITS = 20
 MAX_LANGUAGES = 64
-CALIBRATION_DOCS = 4000
-REJECT_QUANTILE = 0.999  # of the calibration documents of a language
+REJECT_QUANTILE = 0.999  # of the different texts of a language
+STEP = 1 / 256           # of the cross-entropies that the quantile is taken of
+SHARPNESSES = np.geomspace(1, 100, 25)
 CACHED = 150_000         # words whose scores a task keeps
 COUNTED = 200_000        # words a task counts before it cuts them into n-grams
 CUT = 20_000             # of these at a time
@@ -266,34 +269,81 @@ def fit(train: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Mod
         backoff.append(b)
     unknown = np.array([made[lang][1] for lang in kept])
     model = Model(kept, keys, log_p, backoff, unknown)
-    _calibrate(model, bounded_sample(named, F.col("text"), CALIBRATION_DOCS))
+    _calibrate(model, named)
     return model
 
 
-def _calibrate(model: Model, sample: DataFrame) -> None:
-    """Sharpness and limits from cross-entropies of a bounded sample of training documents."""
-    scored = _cross_entropies(sample, model, "text").where("entropies IS NOT NULL").select(
-        "lang", "entropies"
-    ).toArrow().to_pandas()
-    model.limits = np.full(len(model.languages), np.inf)
-    if not len(scored):
-        return
-    entropies = np.array(scored["entropies"].tolist())
-    true = scored["lang"].map({lang: i for i, lang in enumerate(model.languages)}).to_numpy()
-    best = np.inf
-    for sharpness in np.geomspace(1, 100, 25):
-        logits = -sharpness * entropies
-        logits -= logits.max(axis=1, keepdims=True)
-        loss = np.mean(np.log(np.exp(logits).sum(axis=1)) - logits[np.arange(len(true)), true])
-        if loss < best:
-            best, model.sharpness = loss, float(sharpness)
-    chosen = entropies.argmin(axis=1)
+def _calibrate(model: Model, train: DataFrame) -> None:
+    """Sharpness and limits from cross-entropies of all training documents (text, lang)."""
+    # SHARPNESSES, and at most 2 x languages x steps of cross-entropies.
+    summed = _cross_entropies(train, model).toArrow().to_pandas().sort_values("step")
+    losses = summed[summed["kind"] == _LOSS]["amount"].to_numpy()
+    if len(losses):
+        model.sharpness = float(SHARPNESSES[losses.argmin()])
+    model.limits = np.empty(len(model.languages))
     for i in range(len(model.languages)):
-        mine = entropies[chosen == i, i]
-        if len(mine):
-            random = np.log(1 + np.isfinite(model.log_p[0][:, i]).sum())
-            usual = np.quantile(mine, REJECT_QUANTILE)
-            model.limits[i] = max(usual, (usual + random) / 2)
+        mine = summed[summed["lang"] == i]
+        texts = mine[mine["kind"] == mine["kind"].max()]
+        usual = 0.0  # of a language whose texts have no letter
+        if len(texts):
+            upto = texts["amount"].cumsum().to_numpy()
+            last = np.searchsorted(upto, REJECT_QUANTILE * upto[-1])
+            usual = texts["step"].iloc[last] * STEP
+        random = np.log(1 + np.isfinite(model.log_p[0][:, i]).sum())
+        model.limits[i] = max(usual, (usual + random) / 2)
+
+
+_LOSS, _STATED, _FOUND = 0, 1, 2
+
+
+def _cross_entropies(train: DataFrame, model: Model) -> DataFrame:
+    """(kind, lang, step, amount): what is known of the documents' cross-entropies.
+
+    _LOSS: the sum of all documents' losses, per sharpness.  _FOUND and _STATED: the number of
+    different texts that state a language, per step of their cross-entropy in it, where it is
+    the chosen one and where it is not.
+    """
+    shared = train.sparkSession.sparkContext.broadcast(model)
+    columns = ["kind", "lang", "step", "hash", "amount"]
+
+    def made(kind, lang, step, hashes, amount) -> pa.RecordBatch:
+        ints = [pa.array(a.astype(np.int32)) for a in (kind, lang, step)]
+        return pa.RecordBatch.from_arrays([*ints, hashes, pa.array(amount)], columns)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(shared.value)
+        number = {lang: i for i, lang in enumerate(shared.value.languages)}
+        losses = None
+        for batch in slices(batches, ROWS):
+            found = scorer.entropies(strings(batch, "text"))
+            held = [i for i, e in enumerate(found) if e is not None]
+            if not held:
+                continue
+            batch = batch.take(pa.array(held))
+            entropies = np.array([found[i] for i in held])
+            row = np.arange(len(held))
+            stated = np.array([number[lang] for lang in batch.column("lang").to_pylist()])
+            if losses is None:
+                losses = np.zeros(len(SHARPNESSES))
+            for i, sharpness in enumerate(SHARPNESSES):
+                logits = -sharpness * entropies
+                logits -= logits.max(axis=1, keepdims=True)
+                losses[i] += (np.log(np.exp(logits).sum(axis=1)) - logits[row, stated]).sum()
+            kind = np.where(entropies.argmin(axis=1) == stated, _FOUND, _STATED)
+            step = np.ceil(entropies[row, stated] / STEP)
+            yield made(kind, stated, step, batch.column("hash"), np.ones(len(held)))
+        if losses is not None:
+            at = np.arange(len(losses))
+            none = np.full(len(losses), -1)
+            yield made(np.full(len(losses), _LOSS), none, at, pa.array(none), losses)
+
+    scored = train.select("text", "lang", F.xxhash64("text").alias("hash")).mapInArrow(
+        run, "kind int, lang int, step int, hash long, amount double"
+    )
+    # Copies of a text are one.
+    texts = scored.groupBy("kind", "lang", "step", "hash").agg(F.sum("amount").alias("amount"))
+    amount = F.when(F.col("kind") == _LOSS, F.col("amount")).otherwise(1.0)
+    return texts.groupBy("kind", "lang", "step").agg(F.sum(amount).alias("amount"))
 
 
 # ---------------------------------------------------------------- scoring
@@ -335,24 +385,6 @@ class Scorer:
         return result
 
 
-def _cross_entropies(docs: DataFrame, model: Model, text_col: str) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    columns = docs.columns
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(shared.value)
-        for batch in slices(batches, ROWS):
-            found = scorer.entropies(strings(batch, text_col))
-            lists = pa.array([None if e is None else e.tolist() for e in found],
-                             pa.list_(pa.float64()))
-            yield pa.RecordBatch.from_arrays([*batch.columns, lists], [*columns, "entropies"])
-
-    schema = T.StructType(
-        [*docs.schema, T.StructField("entropies", T.ArrayType(T.DoubleType()))]
-    )
-    return docs.mapInArrow(run, schema)
-
-
 def identify(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
     """`docs` with lang_pred, score (0 to 1) and rejected appended.
 
