@@ -54,14 +54,17 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each class of near copies.
 
-    Rows that repeat a document that stays are copies of it, so one of them stays.
+    A row is known by its id and its words.  Of rows that share both, if they stay, the one
+    with the smallest text does.
     """
     ship_package(spark)
-    found = near_dedup.near_dedup(docs)
+    decided = materialise(
+        near_dedup.decisions(docs).select("doc_id", "body", "copies", "stays"), "near_decisions"
+    )
     gone, key = free_name(docs, "gone"), free_name(docs, "gone_id")
     # How many rows of an id stay: fewer than there are only if some are copies.
-    stays = found.groupBy("doc_id").agg(
-        F.sum(F.col("kept").cast("int")).alias("stay"), F.count("*").alias("rows")
+    stays = decided.groupBy("doc_id").agg(
+        F.sum(F.col("stays").cast("int")).alias("stay"), F.sum("copies").alias("rows")
     )
     dropped = materialise(
         stays.where("stay < rows").select(F.col("doc_id").alias(key), F.col("stay").alias(gone)),
@@ -72,12 +75,24 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     repeated = dropped.where(F.col(gone) > 0)
     if not repeated.limit(1).count():
         return whole
-    # Ids of several rows of which some stay: as many rows, the smallest texts first.
-    nth = free_name(docs, "nth")
-    rows = docs.join(repeated, docs["doc_id"].eqNullSafe(F.col(key))).withColumn(
-        nth, F.row_number().over(Window.partitionBy(key).orderBy("text"))
+    # Ids of several rows of which some stay: one row of each text that stays.  Found by
+    # aggregation, which shrinks before the shuffle, as many rows may have no id.
+    body, row = free_name(docs, "body"), free_name(docs, "row")
+    mixed = docs.join(repeated, docs["doc_id"].eqNullSafe(F.col(key)), "left_semi")
+    others = [f.name for f in docs.schema if f.dataType.typeName() in _PLAIN]
+    first = near_dedup.with_body(mixed, body).groupBy("doc_id", body).agg(
+        F.min_by(F.struct(*docs.columns), F.struct("text", *others)).alias(row)
+    )
+    kept = decided.where("stays").select(F.col("doc_id").alias(key), F.col("body").alias(gone))
+    rows = first.join(
+        kept, first["doc_id"].eqNullSafe(F.col(key)) & (F.col(body) == F.col(gone)), "left_semi"
     )
-    return whole.unionByName(rows.where(F.col(nth) <= F.col(gone)).select(*docs.columns))
+    return whole.unionByName(rows.select(f"{row}.*"))
+
+
+# Types whose columns decide among rows that share id and text.
+_PLAIN = {"string", "byte", "short", "integer", "long", "float", "double", "boolean", "date",
+          "timestamp"}
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -75,6 +75,20 @@ def test_odd_rows(spark, odd):
     assert ids[60] == 1 and ids[2] <= 1
 
 
+def test_which_text_of_an_id_stays(spark):
+    """Rows that share an id, null or not, stay or go by their own text."""
+    b, z, y = (" ".join(f"{c}{i}" for i in range(30)) for c in "bzy")
+    rows = [(3, b, 1), (None, b, 2), (None, z, 3), (None, z.upper(), 4), (None, None, 5),
+            (7, z, 6), (7, y, 7), (7, y, 8), (8, "  " + y, 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long")
+    left = corpus_pipeline.drop_near_copies(spark, docs, "").collect()
+    assert sorted(r.n_chars for r in left) == [1, 5, 6, 7]
+    alone = [(3, b, 1), (None, b, 2), (None, y, 3), (None, y.upper(), 4), (None, z, 5)]
+    docs = spark.createDataFrame(alone, "doc_id long, text string, n_chars long")
+    left = corpus_pipeline.drop_near_copies(spark, docs, "").collect()
+    assert sorted(r.n_chars for r in left) == [1, 4, 5]
+
+
 def test_empty_tables(spark, tmp_path):
     spark.createDataFrame([], KIND).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(

@@ -39,6 +39,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vendlens.llm.common import Cache, slices, strings
 from vendlens.session import materialise
@@ -319,8 +320,35 @@ def components(links: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- the operator
 
 
+def with_body(docs: DataFrame, name: str) -> DataFrame:
+    """`docs` with the hash of the words of `text`, by which `decisions` knows a text."""
+    columns = docs.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler = Shingler()
+        for batch in slices(batches, ROWS):
+            words = [shingler.words(text) for text in strings(batch, "text")]
+            bodies = pa.array([xxhash.xxh3_128_digest(w.tobytes()) for w in words], pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns, bodies], [*columns, name])
+
+    return docs.mapInArrow(run, T.StructType([*docs.schema, T.StructField(name, T.BinaryType())]))
+
+
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of `docs`: doc_id, class_id, class_size, kept."""
+    # Rows that repeat an id with the same text are counted, and given back one by one.
+    return decisions(docs, id_col, text_col).select(
+        "*", F.explode(F.sequence(F.lit(1).cast("bigint"), "copies")).alias("copy")
+    ).select(
+        "doc_id", "class_id", "class_size", (F.col("stays") & (F.col("copy") == 1)).alias("kept")
+    )
+
+
+def decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per id and text: doc_id, body, copies, class_id, class_size, stays.
+
+    `copies` rows have the id and the text; if it `stays`, one of them does.
+    """
     named = docs.selectExpr(f"`{id_col}` AS doc_id", f"`{text_col}` AS text")
     base = materialise(_sketched(named), "sketches")
     # Rows with the same words are one text, known by the hash of its words.
@@ -343,13 +371,10 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         F.min_by("body", F.struct(F.col("doc_id").isNull(), "doc_id", "body")).alias("keeps"),
     )
     of_body = labelled.select("body", "label").join(classes, "label").drop("label")
-    # Rows that repeat an id with the same text are counted, and given back one by one.
     counted = base.groupBy("doc_id", "body").agg(F.count("*").alias("copies"))
     stays = F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("body") == F.col("keeps"))
     return counted.join(of_body, "body").select(
-        "*", F.explode(F.sequence(F.lit(1).cast("bigint"), "copies")).alias("copy")
-    ).select(
-        "doc_id", "class_id", "class_size", (stays & (F.col("copy") == 1)).alias("kept")
+        "doc_id", "body", "copies", "class_id", "class_size", stays.alias("stays")
     )
 
 
