@@ -16,9 +16,11 @@ from vendlens.llm import (
     language,
     line_dedup,
     lm,
+    middle,
     near_dedup,
     packing,
     quality,
+    search,
 )
 from vendlens.llm.common import fold, table
 from vendlens.session import ship_package
@@ -91,6 +93,14 @@ def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, folder, "documents"), digests=True)
 
 
+def op11_search(spark: SparkSession, folder: str) -> DataFrame:
+    return search.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op13_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    return middle.digests(middle.fill_in_middle(table(spark, folder, "documents")))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline  # which imports the queries' parameters from here
 
@@ -108,6 +118,8 @@ _QUERIES: dict[str, Query] = {
     "op8_ann": op8_ann,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_near_dedup": op10_near_dedup,
+    "op11_search": op11_search,
+    "op13_fill_in_middle": op13_fill_in_middle,
     "pipeline": pipeline,
 }
 
@@ -125,4 +137,6 @@ QUERIES: dict[str, Query] = {name: _shipped(query) for name, query in _QUERIES.i
 ORACLES: dict[str, str] = {
     "op7_line_dedup": line_dedup.SQL,
     "op9_exact_dedup": exact_dedup.SQL,
+    "op11_search": search.SQL,
+    "op13_fill_in_middle": middle.SQL,
 }
