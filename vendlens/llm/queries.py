@@ -21,6 +21,7 @@ from vendlens.llm import (
     packing,
     quality,
     search,
+    shingle_join,
 )
 from vendlens.llm.common import fold, table
 from vendlens.session import ship_package
@@ -97,6 +98,10 @@ def op11_search(spark: SparkSession, folder: str) -> DataFrame:
     return search.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op12_shingle_join(spark: SparkSession, folder: str) -> DataFrame:
+    return shingle_join.shingle_join(table(spark, folder, "documents"))
+
+
 def op13_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
     return middle.digests(middle.fill_in_middle(table(spark, folder, "documents")))
 
@@ -119,6 +124,7 @@ _QUERIES: dict[str, Query] = {
     "op9_exact_dedup": op9_exact_dedup,
     "op10_near_dedup": op10_near_dedup,
     "op11_search": op11_search,
+    "op12_shingle_join": op12_shingle_join,
     "op13_fill_in_middle": op13_fill_in_middle,
     "pipeline": pipeline,
 }
