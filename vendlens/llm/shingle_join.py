@@ -13,12 +13,13 @@ their sets is at least `PERCENT` of the union; the result is the connected compo
 4. Each meeting place has a hub, its member that meets most others.  Members are held against
    their hub first: one pair per member, bounded by their points, then verified by their sets.
 5. Members that are not connected to their hub by then are compared with all members of the
-   place that are not connected to them, in blocks: R-trees over points mark who has a possible
-   partner at all, and only the sets of those are sent, bounded again and verified.  A place
-   of which all but a few members are connected to the hub costs no more than its size.
+   place that are not connected to them, in blocks, by R-trees over their points.  Of the pairs
+   left, those that would connect members not yet connected are verified.  If one of them is no link, the
+   place is compared once more by the sets of its members.  A place of which all but a few members
+   are connected to the hub costs no more than its size.
 
-No pair leaves a task but those with a hub and verified links.  The groups grow with a set, so
-that long texts are told apart as well as short ones; points are folded to compare them.
+No more pairs leave a task than it has members.  The tree folds points to fewer groups, as many
+as suit the size of the sets, so that long texts are told apart as well as short ones.
 
 Defined results: null text and text without words have no set and link with nothing, also
 not with each other.  A text of fewer than five words is one shingle.  Shingles are compared
@@ -52,8 +53,10 @@ COMMON = 1 << 18
 _COUNTED = 1 << 20  # shingles a task counts at a time
 _OFTEN = 4  # occurrences among these from which a shingle is reported
 
-# Groups of a count vector: a power of two near a quarter of the set's size, within these.
-LEAST_GROUPS, MOST_GROUPS = 16, 4096
+# Groups shingles are hashed into, and those the tree folds them to: a power of two near a
+# quarter of the set's size, within these.
+MOST_GROUPS = 1 << 16
+LEAST_GROUPS, TREE_GROUPS = 16, 4096
 FANOUT = 16
 _CELLS = 1 << 20  # coordinates compared at a time
 
@@ -183,29 +186,28 @@ def _common(rows: DataFrame) -> Common:
 # ---------------------------------------------------------------- count vectors
 
 
-def groups_of(size: int) -> int:
-    """The number of groups of a set; that of a set it can link with is equal, twice or half."""
-    return min(MOST_GROUPS, max(LEAST_GROUPS, 1 << max(0, (size - 1) // 4).bit_length()))
-
+def point_of(shingles: np.ndarray) -> np.ndarray:
+    """The group of each shingle of a set in order: its count vector, written out sparsely."""
+    return np.sort((shingles & np.uint64(MOST_GROUPS - 1)).astype(np.uint16))
 
-def counts_of(shingles: np.ndarray) -> np.ndarray:
-    """How many shingles of a set fall into each group."""
-    groups = groups_of(len(shingles))
-    into = (shingles & np.uint64(groups - 1)).astype(np.int64)
-    return np.bincount(into, minlength=groups).astype(np.int32)
 
-
-def _packed(counts: np.ndarray) -> bytes:
-    return counts.astype(np.uint16 if counts.sum() < 1 << 16 else np.int32).tobytes()
+def groups_of(size: int) -> int:
+    """Groups for the tree; those of a set it can link with are as many, twice or half."""
+    return min(TREE_GROUPS, max(LEAST_GROUPS, 1 << max(0, (size - 1) // 4).bit_length()))
 
 
-def _unpacked(packed: bytes, size: int) -> np.ndarray:
-    return np.frombuffer(packed, np.uint16 if size < 1 << 16 else np.int32).astype(np.int32)
+def counts_of(point: np.ndarray, groups: int) -> np.ndarray:
+    """A point folded to fewer groups: groups that agree in the lower bits are one."""
+    return np.bincount(point & (groups - 1), minlength=groups).astype(np.int32)
 
 
-def folded(counts: np.ndarray, groups: int) -> np.ndarray:
-    """The vector for fewer groups: groups that agree in the lower bits are one."""
-    return counts.reshape(-1, groups).sum(0, dtype=np.int32)
+def bound(a: np.ndarray, b: np.ndarray) -> int:
+    """The summed minima of the counts of two points, over all groups."""
+    if len(a) > len(b):
+        a, b = b, a
+    group, first, count = np.unique(a, return_index=True, return_counts=True)
+    held = np.searchsorted(b, group, "right") - np.searchsorted(b, group, "left")
+    return int(np.minimum(count, held).sum())
 
 
 def enough(overlap, a, b):
@@ -260,60 +262,52 @@ class CountTree:
 
 
 class Points:
-    """Count vectors of some nodes, by their number of groups."""
+    """Points of some nodes, by the number of groups that suits their size."""
 
-    def __init__(self, counts: list[np.ndarray]):
-        self.counts = counts
-        self.sizes = np.array([c.sum() for c in counts], np.int64)
-        self.groups = np.array([len(c) for c in counts], np.int64)
+    def __init__(self, points: list[np.ndarray]):
+        self.points = points
+        self.sizes = np.array([len(p) for p in points], np.int64)
+        self.groups = np.array([groups_of(len(p)) for p in points], np.int64)
 
-    def of(self, *groups: int) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
-        """Indices, vectors folded to the first number of groups, and sizes."""
+    def of(self, *groups: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Indices, vectors of the first number of groups, and sizes."""
         at = np.flatnonzero(np.isin(self.groups, groups))
-        if not len(at):
-            return None
-        return at, np.stack([folded(self.counts[i], groups[0]) for i in at]), self.sizes[at]
+        counts = [counts_of(self.points[i], groups[0]) for i in at]
+        return at, np.array(counts, np.int32).reshape(len(at), groups[0]), self.sizes[at]
 
 
 def possible_pairs(a: Points, b: Points | None) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of a point of `a` and one of `b`, or of two of `a`, that may link; each once."""
     found = [(np.zeros(0, np.int64),) * 2]
-
-    def probe(queries: Points, asked: tuple, tree: Points, held: tuple):
-        left, right = queries.of(*asked), tree.of(*held)
-        if left is None or right is None:
-            return None
-        q, p = CountTree(*right[1:]).possible(*left[1:])
-        return left[0][q], right[0][p]
-
-    for groups in np.unique(a.groups if b is None else np.concatenate([a.groups, b.groups])):
-        groups = int(groups)
-        # Folded to the smaller number of groups, which is the query's.
-        for queries, tree, held in (
-            [(a, a, (groups, 2 * groups))] if b is None
-            else [(a, b, (groups, 2 * groups)), (b, a, (groups, 2 * groups))]
-        ):
-            pairs = probe(queries, (groups,), tree, held)
-            if pairs is None:
-                continue
-            left, right = pairs
-            if b is None:
-                once = (left < right) | (a.groups[left] != a.groups[right])
-                found.append((left[once], right[once]))
-            elif queries is a:
-                found.append((left, right))
-            else:  # pairs of equal numbers of groups were found from the other side
-                once = a.groups[right] != groups
-                found.append((right[once], left[once]))
-    left, right = zip(*found)
-    return np.concatenate(left), np.concatenate(right)
+    for groups in np.unique(a.groups).tolist():
+        at, counts, sizes = a.of(groups)
+        other, *tree = (b or a).of(groups, 2 * groups)
+        if len(other):
+            query, point = CountTree(*tree).possible(counts, sizes)
+            left, right = at[query], other[point]
+            once = (left < right) | (a.groups[right] > groups) if b is None else slice(None)
+            found.append((left[once], right[once]))
+        if b is not None:  # what is only found from the side of fewer groups
+            at, counts, sizes = b.of(groups // 2)
+            if len(at):
+                other, *tree = a.of(groups // 2, groups)
+                more = a.groups[other] == groups
+                query, point = CountTree(*(t[more] for t in tree)).possible(counts, sizes)
+                found.append((other[more][point], at[query]))
+    left, right = (np.concatenate(side) for side in zip(*found))
+    last = b or a
+    close = np.array([
+        enough(bound(a.points[i], last.points[j]), len(a.points[i]), len(last.points[j]))
+        for i, j in zip(left, right)
+    ], bool)
+    return left[close], right[close]
 
 
 # ---------------------------------------------------------------- nodes and meeting places
 
 
 def _nodes(docs: DataFrame, common: Common) -> DataFrame:
-    """(node, body, first, n, prefix, counts) of each different set; `first` is its least id."""
+    """(node, body, first, n, prefix, point) of each different set; `first` is its least id."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -326,30 +320,38 @@ def _nodes(docs: DataFrame, common: Common) -> DataFrame:
                     ids.append(i)
                     rows.append((
                         xxhash.xxh3_128_digest(shingles.tobytes()), len(shingles),
-                        common.prefix(shingles).view(np.int64), _packed(counts_of(shingles)),
+                        common.prefix(shingles).view(np.int64), point_of(shingles).tobytes(),
                     ))
             if rows:
-                body, size, prefix, counts = zip(*rows)
+                body, size, prefix, point = zip(*rows)
                 yield pa.RecordBatch.from_arrays([
                     batch.column("doc_id").take(pa.array(ids)), pa.array(body, pa.binary()),
                     pa.array(size, pa.int64()), pa.array(prefix, pa.list_(pa.int64())),
-                    pa.array(counts, pa.binary()),
-                ], ["doc_id", "body", "n", "prefix", "counts"])
+                    pa.array(point, pa.binary()),
+                ], ["doc_id", "body", "n", "prefix", "point"])
 
     found = docs.mapInArrow(
-        run, f"doc_id {kind}, body binary, n long, prefix array<long>, counts binary"
+        run, f"doc_id {kind}, body binary, n long, prefix array<long>, point binary"
     )
     return found.groupBy("body").agg(
         F.min("doc_id").alias("first"), F.first("n").alias("n"),
-        F.first("prefix").alias("prefix"), F.first("counts").alias("counts"),
+        F.first("prefix").alias("prefix"), F.first("point").alias("point"),
     ).withColumn("node", F.monotonically_increasing_id())
 
 
 def _places(nodes: DataFrame) -> DataFrame:
-    """(place, node, n, size, hub, hub_n) of each member of a place with more than one."""
+    """(place, node, n, size, hub, hub_n) of each member of a place with more than one.
+
+    Of places with the same members, as the shingles of one passage are, one is left.
+    """
     entries = nodes.select("node", F.explode("prefix").alias("place"))
     shared = entries.groupBy("place").agg(F.count("*").alias("size")).where("size > 1")
     members = materialise(entries.join(shared, "place"), "members")
+    alike = [F.bit_xor(F.xxhash64("node", F.lit(i))).alias(f"x{i}") for i in range(2)]
+    different = members.groupBy("place", "size").agg(*alike).groupBy("size", "x0", "x1").agg(
+        F.min("place").alias("place")
+    )
+    members = materialise(members.join(different, ["place", "size"], "left_semi"), "different")
     weight = members.groupBy("node").agg(F.sum("size").alias("weight"))
     known = members.join(weight, "node").join(nodes.select("node", "n"), "node")
     hubs = known.groupBy("place").agg(
@@ -416,16 +418,13 @@ def _bounded(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, ROWS):
             good = []
-            for x, n, y, m in zip(*(batch.column(c).to_pylist()
-                                    for c in ("a_counts", "a_n", "b_counts", "b_n"))):
-                one, other = _unpacked(x, n), _unpacked(y, m)
-                groups = min(len(one), len(other))
-                bound = np.minimum(folded(one, groups), folded(other, groups)).sum()
-                good.append(bool(enough(int(bound), n, m)))
+            for x, y in zip(*(batch.column(c).to_pylist() for c in ("a_point", "b_point"))):
+                one, other = np.frombuffer(x, np.uint16), np.frombuffer(y, np.uint16)
+                good.append(enough(bound(one, other), len(one), len(other)))
             kept = batch.filter(pa.array(good, pa.bool_()))
             yield pa.RecordBatch.from_arrays([kept.column("a"), kept.column("b")], ["a", "b"])
 
-    return _both(pairs, nodes, "counts", "n").mapInArrow(run, "a long, b long")
+    return _both(pairs, nodes, "point").mapInArrow(run, "a long, b long")
 
 
 def linked(a: np.ndarray, b: np.ndarray) -> bool:
@@ -435,17 +434,19 @@ def linked(a: np.ndarray, b: np.ndarray) -> bool:
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) that link."""
+    """(a, b, good) of the pairs: whether they link."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, ROWS):
             left, right = (batch.column(c).to_pylist() for c in ("a_shingles", "b_shingles"))
             good = [linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64))
                     for x, y in zip(left, right)]
-            kept = batch.filter(pa.array(good, pa.bool_()))
-            yield pa.RecordBatch.from_arrays([kept.column("a"), kept.column("b")], ["a", "b"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("a"), batch.column("b"), pa.array(good, pa.bool_())],
+                ["a", "b", "good"],
+            )
 
-    return _both(pairs, sets, "shingles").mapInArrow(run, "a long, b long")
+    return _both(pairs, sets, "shingles").mapInArrow(run, "a long, b long, good boolean")
 
 
 _UNIT = ["place", "first", "second"]
@@ -498,36 +499,31 @@ def _in_units(units: DataFrame, work, schema: str) -> DataFrame:
     return units.repartition(*_UNIT).sortWithinPartitions(*_UNIT, "node").mapInArrow(run, schema)
 
 
-def _pairs_of_unit(unit: tuple, members: list[dict], counts: list[np.ndarray]):
-    """Possible pairs of the unit, as indices of its members; none of one label."""
+def _pairs_of_unit(unit: tuple, members: list[dict], points) -> tuple[np.ndarray, np.ndarray]:
+    """Possible pairs of the unit, as indices of its members; none of one label.
+
+    points: gives the points of the members with these indices.
+    """
     side = np.array([m["block"] for m in members])
     label = np.array([m["label"] for m in members])
-    if unit[1] == unit[2]:
-        left, right = possible_pairs(Points(counts), None)
-    else:
-        one, other = np.flatnonzero(side == unit[1]), np.flatnonzero(side == unit[2])
-        if not len(one) or not len(other):
-            return one[:0], one[:0]
-        left, right = possible_pairs(
-            Points([counts[i] for i in one]), Points([counts[i] for i in other])
-        )
-        left, right = one[left], other[right]
+    size = np.array([m["n"] for m in members])
+    sides = [np.flatnonzero(side == block) for block in sorted({unit[1], unit[2]})]
+    one, other = sides[0], sides[-1]
+    # Who has nobody of about its size to meet needs no point.
+    ordered = np.sort(size)
+    if not len(one) or not len(other) or (
+        len(size) < 2 or (100 * ordered[:-1] < PERCENT * ordered[1:]).all()
+    ):
+        return one[:0], one[:0]
+    first = Points(points(one))
+    left, right = possible_pairs(first, Points(points(other)) if len(sides) > 1 else None)
+    left, right = one[left], other[right]
     apart = label[left] != label[right]
     return left[apart], right[apart]
 
 
-def _marked(unit: tuple, members: list[dict]) -> tuple:
-    """The members that have a possible partner."""
-    counts = [_unpacked(m["counts"], m["n"]) for m in members]
-    left, right = _pairs_of_unit(unit, members, counts)
-    marked = np.unique(np.concatenate([left, right]))
-    return [unit[0]] * len(marked), [members[i]["node"] for i in marked]
-
-
-def _unit_links(unit: tuple, members: list[dict]) -> tuple:
-    """Links that connect what is similar among the members."""
-    sets = [np.frombuffer(m["shingles"], np.uint64) for m in members]
-    left, right = _pairs_of_unit(unit, members, [counts_of(s) for s in sets])
+def _forest(members: list[dict], pairs: tuple, good) -> tuple[list, list]:
+    """Those of the pairs that connect members not connected before, if they are good."""
     parent = {m["label"]: m["label"] for m in members}
 
     def root(label):
@@ -536,15 +532,37 @@ def _unit_links(unit: tuple, members: list[dict]) -> tuple:
         return label
 
     a, b = [], []
-    for i, j in zip(left.tolist(), right.tolist()):
+    for i, j in zip(*(side.tolist() for side in pairs)):
         x, y = root(members[i]["label"]), root(members[j]["label"])
-        if x != y and linked(sets[i], sets[j]):
+        if x != y and good(i, j):
             parent[x] = y
             a.append(members[i]["node"])
             b.append(members[j]["node"])
     return a, b
 
 
+def _unit_candidates(unit: tuple, members: list[dict]) -> tuple:
+    """Possible pairs that would connect all that may be similar among the members."""
+    pairs = _pairs_of_unit(unit, members, lambda at: [
+        np.frombuffer(members[i]["point"], np.uint16) for i in at
+    ])
+    a, b = _forest(members, pairs, lambda i, j: True)
+    return [unit[0]] * len(a), a, b
+
+
+def _unit_links(unit: tuple, members: list[dict]) -> tuple:
+    """Links that connect what is similar among the members."""
+    sets = [np.frombuffer(m["shingles"], np.uint64) for m in members]
+    pairs = _pairs_of_unit(unit, members, lambda at: [point_of(sets[i]) for i in at])
+    return _forest(members, pairs, lambda i, j: linked(sets[i], sets[j]))
+
+
+def _checked(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, name: str) -> DataFrame:
+    """(a, b, good) of pairs, from their sets."""
+    ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b"))
+    return materialise(_verified(pairs, _sets(docs, nodes, ends)), name)
+
+
 def _links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """Links (a, b) that connect all nodes that are connected by any."""
     places = materialise(_places(nodes), "places")
@@ -553,8 +571,7 @@ def _links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
         F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")
     ).distinct()
     close = materialise(_bounded(pairs, nodes), "close_pairs")
-    ends = close.select(F.col("a").alias("node")).union(close.select("b"))
-    links = materialise(_verified(close, _sets(docs, nodes, ends)), "hub_links")
+    links = _checked(docs, nodes, close, "hub_links").where("good").select("a", "b")
 
     # Places with members that are not connected to the hub.
     labels = components(links)
@@ -564,19 +581,28 @@ def _links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
         return df.join(of, column, "left").withColumn(name, F.coalesce(name, column))
 
     known = labelled(labelled(places.where("size > 2"), "node", "label"), "hub", "hub_label")
-    known = known.select(
+    members = materialise(known.select(
         "place", "node", "n", "label", (F.col("label") == F.col("hub_label")).alias("settled")
-    )
-    open_ = materialise(known, "known")
-    counts = nodes.select("node", "counts")
-    marked = materialise(
-        _in_units(_units(open_).join(counts, "node"), _marked, "place long, node long").distinct(),
-        "marked",
-    )
-    rest = open_.join(marked, ["place", "node"])
-    sets = _sets(docs, nodes, marked.select("node"))
-    more = _in_units(_units(rest).join(sets, "node"), _unit_links, "a long, b long")
-    return links.unionByName(materialise(more, "more_links"))
+    ), "known")
+    candidates = materialise(_in_units(
+        _units(members).join(nodes.select("node", "point"), "node"), _unit_candidates,
+        "place long, a long, b long",
+    ), "candidates")
+    ordered = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
+    more = _checked(docs, nodes, candidates.select(*ordered).distinct(), "more_links")
+    links = links.unionByName(more.where("good").select("a", "b"))
+
+    # Where a possible pair turns out to be no link, others may stand in for it: these few
+    # places are compared by their sets.
+    wrong = candidates.select("place", *ordered).join(
+        more.where("NOT good"), ["a", "b"], "left_semi"
+    ).select("place").distinct()
+    rest = materialise(members.join(wrong, "place"), "rest")
+    if not rest.limit(1).count():
+        return links
+    sets = _sets(docs, nodes, rest.select("node"))
+    last = _in_units(_units(rest).join(sets, "node"), _unit_links, "a long, b long")
+    return links.unionByName(materialise(last, "last_links"))
 
 
 def shingle_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
