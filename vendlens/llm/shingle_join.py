@@ -5,8 +5,9 @@ their sets is at least `PERCENT` of the union; the result is the connected compo
 
 1. Rows with the same set are one node from here on.
 2. Nodes meet where they can link at all: of two sets that overlap enough, the shingles that
-   come first in any one order, a fifth of each set, share one.  The order is by hash, with
-   shingles that very many texts hold last, so that a passage of many texts is no meeting place.
+   come first in any one order, a quarter of each set, share some: more than a passage or two
+   have among them.  The order is by hash, with shingles that very many texts hold last, so
+   that a passage of many texts is no meeting place.
 3. A node's shingles are hashed into groups, and the counts per group are a point.  The summed
    minima of two points, or of a point and the upper corner of a box of points, are a bound for
    the intersection.  An R-tree over these points leaves the pairs for which the bound is enough.
@@ -36,16 +37,15 @@ from itertools import groupby
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vendlens.llm.common import Cache, slices
+from vendlens.llm.common import slices
 from vendlens.llm.near_dedup import components
 from vendlens.session import materialise
 
 WORDS = 5
 PERCENT = 80
-CACHED = 150_000  # words a task remembers the hash of
 ROWS = 256
 
 # Shingles held by very many texts.  At most COMMON of them are sent to tasks (8 bytes each).
@@ -78,29 +78,100 @@ def _mix(x: np.ndarray) -> np.ndarray:
 # ---------------------------------------------------------------- sets
 
 
-class Shingler:
-    """Sets of shingles, as sorted hashes."""
+# A word is the sum of a random number per byte times a power of an odd base, by its place: the
+# difference of two prefix sums, so that all words of many texts are hashed at once.  Long words
+# are hashed one by one, as powers of a base repeat their lower bits at last.
+_LONG_WORD = 64
+_SPAN = 1 << 18  # bytes summed at a time
+_BASE = 0x5851F42D4C957F2D
+_BYTE = np.random.default_rng(12).integers(1, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
+_SPACE = np.zeros(256, bool)
+_SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
-    def __init__(self):
-        self.of_word = Cache(xxhash.xxh3_64_digest, CACHED)
 
-    def set_of(self, text: bytes | None) -> np.ndarray:
-        words = (text or b"").lower().split()  # A-Z and the white space of ASCII only
-        if not words:
-            return np.zeros(0, np.uint64)
-        hashes = np.frombuffer(b"".join(map(self.of_word.__getitem__, words)), np.uint64)
-        run = min(len(words), WORDS)
-        length = len(words) - run + 1
-        shingles = np.full(length, np.uint64(run))
-        with np.errstate(over="ignore"):
-            for i in range(run):
-                shingles = _mix(shingles * _PRIME + hashes[i:i + length])
-        return np.unique(shingles)
+def _powers(base: int, number: int) -> np.ndarray:
+    factors = np.full(number, np.uint64(base % (1 << 64)))
+    factors[0] = 1
+    return np.cumprod(factors)
 
 
-def prefix_size(size: int, percent: int = PERCENT) -> int:
-    """So many of the first shingles of a set hold one of each set it can link with."""
-    return size + (-percent * size) // 100 + 1
+_POWER = _powers(_BASE, _SPAN + _LONG_WORD)
+_INVERSE = _powers(pow(_BASE, -1, 1 << 64), _SPAN + _LONG_WORD)
+
+
+def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words of the texts in order, and how many words each text has."""
+    data = np.frombuffer(b"\n".join(texts).lower(), np.uint8)  # A-Z only, as these are bytes
+    edge = np.diff(np.concatenate([[False], ~_SPACE[data], [False]]).view(np.int8))
+    start, stop = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    length = stop - start
+    hashes = np.empty(len(start), np.uint64)
+    short = length <= _LONG_WORD
+    with np.errstate(over="ignore"):
+        span = np.append(np.unique(start // _SPAN, return_index=True)[1], len(start))
+        for low, high in zip(span[:-1], span[1:]):
+            at = low + np.flatnonzero(short[low:high])
+            if len(at):
+                origin = start[at[0]]
+                part = data[origin:stop[at[-1]]]
+                sums = np.zeros(len(part) + 1, np.uint64)
+                np.cumsum(_BYTE[part] * _POWER[:len(part)], out=sums[1:])
+                first = start[at] - origin
+                hashes[at] = (sums[stop[at] - origin] - sums[first]) * _INVERSE[first]
+        hashes = _mix(hashes + length.astype(np.uint64) * _PRIME)
+    for i in np.flatnonzero(~short):
+        hashes[i] = xxhash.xxh3_64_intdigest(data[start[i]:stop[i]].tobytes())
+    ends = np.cumsum([len(text) + 1 for text in texts])
+    return hashes, np.diff(np.searchsorted(start, ends), prepend=0)
+
+
+def _runs(hashes: np.ndarray, words: int) -> np.ndarray:
+    """Hashes of all runs of so many words."""
+    length = max(0, len(hashes) - words + 1) if words else 0
+    runs = np.full(length, np.uint64(words))
+    with np.errstate(over="ignore"):
+        for i in range(words):
+            runs = _mix(runs * _PRIME + hashes[i:i + length])
+    return runs
+
+
+def shingle_sets(texts: pa.Array) -> list[np.ndarray]:
+    """The set of each text, as sorted hashes."""
+    hashes, counts = word_hashes([text.as_py() or b"" for text in texts])
+    runs = _runs(hashes, WORDS)
+    found, start = [], 0
+    for count in counts.tolist():
+        mine = runs[start:start + count - WORDS + 1]
+        if count < WORDS:
+            mine = _runs(hashes[start:start + count], count)
+        start += count
+        mine = np.sort(mine)
+        found.append(mine[np.append(mine[:-1] != mine[1:], True)] if len(mine) > 1 else mine)
+    return found
+
+
+def _least_overlap(size: int) -> int:
+    """So many shingles, at least, a set of that size has in common with one it links with."""
+    return -(-PERCENT * size // 100)
+
+
+def _spare(size: int) -> int:
+    return size // 16
+
+
+def prefix_size(size: int) -> int:
+    """So many of the first shingles of a set are its meeting places.
+
+    Of these it has 1 + _spare(size) in common with a set it links with, or that set's number if
+    it is smaller: it lacks no more than `size - _least_overlap(size)` of its shingles, and the
+    first common ones are the same from either side.
+    """
+    return size - _least_overlap(size) + 1 + _spare(size)
+
+
+def least_shared(size: int) -> int:
+    """So many places, at least, a set shares with one it links with."""
+    return 1 + _spare(_least_overlap(size))
 
 
 class Common:
@@ -112,18 +183,16 @@ class Common:
         self.rank = np.empty(len(order), np.int64)
         self.rank[np.lexsort((self.shingles, counts[order]))] = np.arange(len(order))
 
-    def prefix(self, shingles: np.ndarray) -> np.ndarray:
-        """The first shingles of a sorted set."""
+    def prefix(self, shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The first shingles of a sorted set, those that are common apart."""
         size = prefix_size(len(shingles))
         if not len(self.shingles):
-            return shingles[:size]
+            return shingles[:size], shingles[:0]
         at = np.minimum(np.searchsorted(self.shingles, shingles), len(self.shingles) - 1)
         common = self.shingles[at] == shingles
         rare = shingles[~common]
-        if len(rare) >= size:
-            return rare[:size]
         last = shingles[common][np.argsort(self.rank[at[common]])]
-        return np.concatenate([rare, last])[:size]
+        return rare[:size], last[:max(0, size - len(rare))]
 
 
 def _rows(docs: DataFrame) -> DataFrame:
@@ -136,7 +205,7 @@ def _rows(docs: DataFrame) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, counted, waiting = Shingler(), [], 0
+        counted, waiting = [], 0
 
         def reported(schema: pa.Schema) -> pa.RecordBatch:
             values, counts = np.unique(np.concatenate(counted), return_counts=True)
@@ -152,8 +221,7 @@ def _rows(docs: DataFrame) -> DataFrame:
         for batch in slices(batches, ROWS):
             schema = batch.schema
             bodies, sizes = [], []
-            for value in batch.column("text"):
-                shingles = shingler.set_of(value.as_py())
+            for shingles in shingle_sets(batch.column("text")):
                 bodies.append(xxhash.xxh3_128_digest(shingles.tobytes()))
                 sizes.append(len(shingles))
                 if len(shingles):
@@ -307,53 +375,69 @@ def possible_pairs(a: Points, b: Points | None) -> tuple[np.ndarray, np.ndarray]
 
 
 def _nodes(docs: DataFrame, common: Common) -> DataFrame:
-    """(node, body, first, n, prefix, point) of each different set; `first` is its least id."""
+    """(node, body, first, n, needs, rare, common) of each different set; `first` is its least id.
+
+    Its meeting places are rare and common shingles; it `needs` so many that others have too.
+    """
     kind = docs.schema["doc_id"].dataType.simpleString()
+    names = ["body", "n", "needs", "rare", "common"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = Shingler()
         for batch in slices(batches, ROWS):
             ids, rows = [], []
-            for i, value in enumerate(batch.column("text")):
-                shingles = shingler.set_of(value.as_py())
+            for i, shingles in enumerate(shingle_sets(batch.column("text"))):
                 if len(shingles):
                     ids.append(i)
+                    rare, last = common.prefix(shingles)
                     rows.append((
                         xxhash.xxh3_128_digest(shingles.tobytes()), len(shingles),
-                        common.prefix(shingles).view(np.int64), point_of(shingles).tobytes(),
+                        least_shared(len(shingles)), rare.view(np.int64), last.view(np.int64),
                     ))
             if rows:
-                body, size, prefix, point = zip(*rows)
-                yield pa.RecordBatch.from_arrays([
-                    batch.column("doc_id").take(pa.array(ids)), pa.array(body, pa.binary()),
-                    pa.array(size, pa.int64()), pa.array(prefix, pa.list_(pa.int64())),
-                    pa.array(point, pa.binary()),
-                ], ["doc_id", "body", "n", "prefix", "point"])
+                kinds = [pa.binary(), pa.int64(), pa.int64(), *[pa.list_(pa.int64())] * 2]
+                columns = [pa.array(c, kind) for c, kind in zip(zip(*rows), kinds)]
+                first = batch.column("doc_id").take(pa.array(ids))
+                yield pa.RecordBatch.from_arrays([first, *columns], ["doc_id", *names])
 
     found = docs.mapInArrow(
-        run, f"doc_id {kind}, body binary, n long, prefix array<long>, point binary"
+        run, f"doc_id {kind}, body binary, n long, needs long, rare array<long>, "
+             "common array<long>"
     )
     return found.groupBy("body").agg(
-        F.min("doc_id").alias("first"), F.first("n").alias("n"),
-        F.first("prefix").alias("prefix"), F.first("point").alias("point"),
+        F.min("doc_id").alias("first"), *[F.first(c).alias(c) for c in names[1:]]
     ).withColumn("node", F.monotonically_increasing_id())
 
 
+def _members(nodes: DataFrame) -> DataFrame:
+    """(place, node, n) of nodes that share as many places as a link needs.
+
+    Rare shingles are counted where they meet, which is in one task per shingle: less than
+    1/COMMON of all.  The common ones are known to be shared.
+    """
+    rare = nodes.select("node", F.explode("rare").alias("place")).withColumn(
+        "size", F.count("*").over(Window.partitionBy("place"))
+    ).where("size > 1").select("place", "node")
+    common = nodes.select(F.explode("common").alias("place"), "node")
+    met = materialise(rare.unionByName(common), "met")
+    able = met.groupBy("node").agg(F.count("*").alias("shared")).join(
+        nodes.select("node", "n", "needs"), "node"
+    ).where("shared >= needs").select("node", "n")
+    return met.join(able, "node")
+
+
 def _places(nodes: DataFrame) -> DataFrame:
     """(place, node, n, size, hub, hub_n) of each member of a place with more than one.
 
     Of places with the same members, as the shingles of one passage are, one is left.
     """
-    entries = nodes.select("node", F.explode("prefix").alias("place"))
-    shared = entries.groupBy("place").agg(F.count("*").alias("size")).where("size > 1")
-    members = materialise(entries.join(shared, "place"), "members")
+    met = materialise(_members(nodes), "members")
     alike = [F.bit_xor(F.xxhash64("node", F.lit(i))).alias(f"x{i}") for i in range(2)]
-    different = members.groupBy("place", "size").agg(*alike).groupBy("size", "x0", "x1").agg(
-        F.min("place").alias("place")
-    )
-    members = materialise(members.join(different, ["place", "size"], "left_semi"), "different")
+    different = met.groupBy("place").agg(F.count("*").alias("size"), *alike).where(
+        "size > 1"
+    ).groupBy("size", "x0", "x1").agg(F.min("place").alias("place")).select("place", "size")
+    members = materialise(met.join(different, "place"), "different")
     weight = members.groupBy("node").agg(F.sum("size").alias("weight"))
-    known = members.join(weight, "node").join(nodes.select("node", "n"), "node")
+    known = members.join(weight, "node")
     hubs = known.groupBy("place").agg(
         F.max(F.struct("weight", "node", "n")).alias("hub")
     ).select("place", F.col("hub.node").alias("hub"), F.col("hub.n").alias("hub_n"))
@@ -363,42 +447,50 @@ def _places(nodes: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- sets of some nodes
 
 
-def _sets(docs: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(node, shingles) of the wanted nodes, from the texts with a wanted id.
+def _read_again(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, form, name: str) -> DataFrame:
+    """(node, `name`) of the wanted nodes: `form` of their sets, from the texts with a wanted id.
 
     A bitmap of hashed ids, of fixed size, spares the other texts; what it lets through beyond
     the wanted nodes is dropped by the join that follows.
     """
-    of = nodes.select("node", "body", "first").join(wanted.distinct(), "node")
-    of = materialise(of, "wanted")
+    of = materialise(
+        nodes.select("node", "body", "first").join(wanted.distinct(), "node"), "wanted"
+    )
     slot = lambda column: F.pmod(F.xxhash64(column), F.lit(SLOTS)).cast("int")
     bits = np.zeros(SLOTS // 8, np.uint8)
     found = of.select(slot("first").alias("slot")).distinct().toPandas()["slot"].to_numpy()
     np.bitwise_or.at(bits, found >> 3, (1 << (found & 7)).astype(np.uint8))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = Shingler()
         for batch in batches:
             at = batch.column("slot").to_numpy()
             asked = pa.array((bits[at >> 3] >> (at & 7)) & 1 == 1)
             for part in slices(iter([batch.filter(asked)]), ROWS):
-                sets = [shingler.set_of(v.as_py()) for v in part.column("text")]
+                sets = shingle_sets(part.column("text"))
                 yield pa.RecordBatch.from_arrays([
                     pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
-                    pa.array([s.tobytes() for s in sets], pa.binary()),
-                ], ["body", "shingles"])
+                    pa.array([form(s).tobytes() for s in sets], pa.binary()),
+                ], ["body", name])
 
     read = docs.select("text", slot("doc_id").alias("slot")).mapInArrow(
-        run, "body binary, shingles binary"
+        run, f"body binary, {name} binary"
     )
     # A node's rows may repeat its smallest id.
     return materialise(
-        read.groupBy("body").agg(F.first("shingles").alias("shingles")).join(
-            of.select("node", "body"), "body"
-        ).select("node", "shingles"), "sets"
+        read.join(of.select("node", "body"), "body").groupBy("node").agg(
+            F.first(name).alias(name)
+        ), name
     )
 
 
+def _sets(docs: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
+    return _read_again(docs, nodes, wanted, lambda shingles: shingles, "shingles")
+
+
+def _points(docs: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
+    return _read_again(docs, nodes, wanted, point_of, "point")
+
+
 # ---------------------------------------------------------------- links
 
 
@@ -412,7 +504,7 @@ def _both(pairs: DataFrame, values: DataFrame, *columns: str) -> DataFrame:
     return pairs
 
 
-def _bounded(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+def _bounded(pairs: DataFrame, points: DataFrame) -> DataFrame:
     """The pairs (a, b) whose points leave a link possible."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -424,7 +516,7 @@ def _bounded(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
             kept = batch.filter(pa.array(good, pa.bool_()))
             yield pa.RecordBatch.from_arrays([kept.column("a"), kept.column("b")], ["a", "b"])
 
-    return _both(pairs, nodes, "point").mapInArrow(run, "a long, b long")
+    return _both(pairs, points, "point").mapInArrow(run, "a long, b long")
 
 
 def linked(a: np.ndarray, b: np.ndarray) -> bool:
@@ -570,7 +662,8 @@ def _links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     pairs = places.where((F.col("node") != F.col("hub")) & sized).select(
         F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")
     ).distinct()
-    close = materialise(_bounded(pairs, nodes), "close_pairs")
+    points = _points(docs, nodes, places.select("node"))
+    close = materialise(_bounded(pairs, points), "close_pairs")
     links = _checked(docs, nodes, close, "hub_links").where("good").select("a", "b")
 
     # Places with members that are not connected to the hub.
@@ -585,7 +678,7 @@ def _links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
         "place", "node", "n", "label", (F.col("label") == F.col("hub_label")).alias("settled")
     ), "known")
     candidates = materialise(_in_units(
-        _units(members).join(nodes.select("node", "point"), "node"), _unit_candidates,
+        _units(members).join(points, "node"), _unit_candidates,
         "place long, a long, b long",
     ), "candidates")
     ordered = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
