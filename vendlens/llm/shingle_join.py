@@ -13,13 +13,13 @@ their sets is at least `PERCENT` of the union; the result is the connected compo
    the intersection.  An R-tree over these points leaves the pairs for which the bound is enough.
 4. Each meeting place has a hub, its member that meets most others.  Members are held against
    their hub first: one pair per member, bounded by their points, then verified by their sets.
-5. Members that are not connected to their hub by then are compared with all members of the
-   place that are not connected to them, in blocks, by R-trees over their points.  Of the pairs
-   left, those that would connect members not yet connected are verified.  If one of them is no link, the
-   place is compared once more by the sets of its members.  A place of which all but a few members
-   are connected to the hub costs no more than its size.
+5. Members that are not connected by then are compared, in blocks, by R-trees over their points;
+   places with the same hub are one.
+   The pairs left are verified; where they are many, only those that would connect members not yet
+   connected, and if one of them is no link, the place is compared once more by sets.  A place of which
+   all but a few members are connected costs no more than its size.
 
-No more pairs leave a task than it has members.  The tree folds points to fewer groups, as many
+No more than a few pairs per member leave a task.  The tree folds points to fewer groups, as many
 as suit the size of the sets, so that long texts are told apart as well as short ones.
 
 Defined results: null text and text without words have no set and link with nothing, also
@@ -60,6 +60,8 @@ LEAST_GROUPS, TREE_GROUPS = 16, 4096
 FANOUT = 16
 _CELLS = 1 << 20  # coordinates compared at a time
 
+PAIRS = 4  # possible pairs per member that leave a task
+PRUNINGS = 1
 BLOCK = 1024  # members of a block
 BLOCK_BYTES = 8 << 20  # of their sets
 
@@ -409,7 +411,7 @@ def _nodes(docs: DataFrame, common: Common) -> DataFrame:
 
 
 def _members(nodes: DataFrame) -> DataFrame:
-    """(place, node, n) of nodes that share as many places as a link needs.
+    """(place, node, n) of nodes that share as many places as a link needs, in shared places.
 
     Rare shingles are counted where they meet, which is in one task per shingle: less than
     1/COMMON of all.  The common ones are known to be shared.
@@ -419,10 +421,18 @@ def _members(nodes: DataFrame) -> DataFrame:
     ).where("size > 1").select("place", "node")
     common = nodes.select(F.explode("common").alias("place"), "node")
     met = materialise(rare.unionByName(common), "met")
-    able = met.groupBy("node").agg(F.count("*").alias("shared")).join(
-        nodes.select("node", "n", "needs"), "node"
-    ).where("shared >= needs").select("node", "n")
-    return met.join(able, "node")
+    # Without those that share too few, others share fewer places; the rest is for the points.
+    for _ in range(PRUNINGS):
+        able = met.groupBy("node").agg(F.count("*").alias("shared")).join(
+            nodes.select("node", "n", "needs"), "node"
+        ).where("shared >= needs").select("node", "n")
+        left = materialise(met.select("place", "node").join(able, "node"), "able")
+        met = left.join(_shared(left), "place", "left_semi")
+    return met
+
+
+def _shared(met: DataFrame) -> DataFrame:
+    return met.groupBy("place").agg(F.count("*").alias("size")).where("size > 1")
 
 
 def _places(nodes: DataFrame) -> DataFrame:
@@ -545,11 +555,16 @@ _UNIT = ["place", "first", "second"]
 
 
 def _units(members: DataFrame) -> DataFrame:
-    """Members (place, node, n, label, settled) in units of work: a block, or two blocks.
+    """Members (place, node, n, label) in units of work: a block, or two blocks.
 
-    Members that are connected to the hub are settled and need not meet each other, so a unit
-    has at least one block of others.
+    Members with the label that most of a place have are settled: they need not meet each other,
+    so a unit has at least one block of others.
     """
+    most = members.groupBy("place", "label").agg(F.count("*").alias("rows")).groupBy("place").agg(
+        F.max_by("label", F.struct("rows", "label")).alias("main"), F.count("*").alias("labels")
+    ).where("labels > 1")
+    members = members.join(most, "place").withColumn("settled", F.col("label") == F.col("main"))
+
     def blocks(settled: Column) -> Column:
         rows, size = F.count(F.when(settled, 1)), F.sum(F.when(settled, F.col("n")))
         return F.ceil(
@@ -572,6 +587,27 @@ def _units(members: DataFrame) -> DataFrame:
     )
 
 
+def _met(unit: tuple, members: list[dict]) -> tuple:
+    """The members that meet one of another label and of about their size."""
+    size = np.array([m["n"] for m in members])
+    label = np.array([m["label"] for m in members])
+    side = np.array([m["block"] for m in members])
+    order = np.argsort(size, kind="stable")
+    size, label, side = size[order], label[order], side[order]
+    low = np.searchsorted(100 * size, PERCENT * size)
+    high = np.searchsorted(PERCENT * size, 100 * size, "right")
+    # Runs of others of that size: all of one label, and in the same block of two, or not.
+    same = np.zeros(len(size), bool)
+    for values, matters in ((label, True), (side, unit[1] != unit[2])):
+        if matters:
+            change = np.concatenate([[0], np.cumsum(values[1:] != values[:-1])])
+            same |= change[low] == change[high - 1]
+    kept = [members[i] for i in np.sort(order[~same])]
+    return [unit[0]] * len(kept), [unit[1]] * len(kept), [unit[2]] * len(kept), *(
+        [m[c] for m in kept] for c in ("block", "node", "n", "label")
+    )
+
+
 def _in_units(units: DataFrame, work, schema: str) -> DataFrame:
     """`work` on the rows of each unit; it returns rows of `schema` as columns."""
     names = [part.split()[0] for part in schema.split(", ")]
@@ -634,12 +670,19 @@ def _forest(members: list[dict], pairs: tuple, good) -> tuple[list, list]:
 
 
 def _unit_candidates(unit: tuple, members: list[dict]) -> tuple:
-    """Possible pairs that would connect all that may be similar among the members."""
+    """Possible pairs of the unit, and whether these are all.
+
+    Where there are many, only those that would connect all that may be similar.
+    """
     pairs = _pairs_of_unit(unit, members, lambda at: [
         np.frombuffer(members[i]["point"], np.uint16) for i in at
     ])
-    a, b = _forest(members, pairs, lambda i, j: True)
-    return [unit[0]] * len(a), a, b
+    all_ = len(pairs[0]) <= PAIRS * len(members)
+    if all_:
+        a, b = ([members[i]["node"] for i in side] for side in pairs)
+    else:
+        a, b = _forest(members, pairs, lambda i, j: True)
+    return [unit[0]] * len(a), a, b, [int(all_)] * len(a)
 
 
 def _unit_links(unit: tuple, members: list[dict]) -> tuple:
@@ -666,20 +709,22 @@ def _links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     close = materialise(_bounded(pairs, points), "close_pairs")
     links = _checked(docs, nodes, close, "hub_links").where("good").select("a", "b")
 
-    # Places with members that are not connected to the hub.
+    # What else may link: members of a place with different labels.  Places with the same hub have
+    # much the same members, as the shingles of similar texts do, and are one from here on.
     labels = components(links)
 
-    def labelled(df: DataFrame, column: str, name: str) -> DataFrame:
-        of = labels.select(F.col("node").alias(column), F.col("label").alias(name))
-        return df.join(of, column, "left").withColumn(name, F.coalesce(name, column))
-
-    known = labelled(labelled(places.where("size > 2"), "node", "label"), "hub", "hub_label")
-    members = materialise(known.select(
-        "place", "node", "n", "label", (F.col("label") == F.col("hub_label")).alias("settled")
-    ), "known")
+    # All pairs with the hub have been looked at.
+    members = materialise(
+        places.where("size > 2 AND node != hub").select(
+            F.col("hub").alias("place"), "node", "n"
+        ).distinct().join(labels, "node", "left").select(
+            "place", "node", "n", F.coalesce("label", "node").alias("label")
+        ), "known"
+    )
+    unit = "place long, first long, second long, block long, node long, n long, label long"
+    met = _in_units(_units(members), _met, unit)
     candidates = materialise(_in_units(
-        _units(members).join(points, "node"), _unit_candidates,
-        "place long, a long, b long",
+        met.join(points, "node"), _unit_candidates, "place long, a long, b long, whole long"
     ), "candidates")
     ordered = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
     more = _checked(docs, nodes, candidates.select(*ordered).distinct(), "more_links")
@@ -687,7 +732,7 @@ def _links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
 
     # Where a possible pair turns out to be no link, others may stand in for it: these few
     # places are compared by their sets.
-    wrong = candidates.select("place", *ordered).join(
+    wrong = candidates.where("whole = 0").select("place", *ordered).join(
         more.where("NOT good"), ["a", "b"], "left_semi"
     ).select("place").distinct()
     rest = materialise(members.join(wrong, "place"), "rest")
