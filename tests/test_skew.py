@@ -71,3 +71,29 @@ def test_an_order_with_a_third_of_all_reviews_is_split(spark, eager_splitting):
     row = mart.first()
     assert (row.orders, row.reviews, row.avg_review_score) == (n, n, 4.0)
     assert row.items_sold == n + n // 3 - 1
+
+
+def test_a_customer_of_many_addresses_and_orders(spark):
+    """10,000 addresses by 10,000 orders enter as weights, never as 10^8 rows."""
+    from vendlens.operators import marts as m
+    from vendlens.operators.facts import home_states
+
+    n = 10_000
+    rollup = spark.range(n).selectExpr(
+        "id AS order_id", "'u' AS customer_unique_id", "'delivered' AS order_status",
+        "1 AS is_revenue_order", "DATE'2020-01-01' AS order_month", "3 AS days_to_deliver",
+        "1 AS days_vs_estimate", "2L AS item_count", "1.5D AS order_revenue",
+        "4.0D AS avg_review_score", f"{n}L AS address_rows", "1L AS review_rows",
+        "1L AS review_scores", "4.0D AS review_score_sum",
+    )
+    customers = spark.range(n).selectExpr(
+        "'u' AS customer_unique_id", "concat('S', id % 27) AS customer_state"
+    )
+    kpi = m.monthly_kpi(rollup).collect()
+    assert [(r.orders, r.customers, r.revenue, r.items_sold) for r in kpi] == [
+        (n, 1, 1.5 * n * n, 2 * n * n)]
+    state = m.state_performance(rollup, home_states(customers))
+    sla = m.sla_by_state(rollup, home_states(customers))
+    assert sum(r.revenue for r in state.collect()) == 1.5 * n * n
+    assert {r.orders for r in state.collect()} == {n}
+    assert sum(r.delivered_orders for r in sla.collect()) == n * n

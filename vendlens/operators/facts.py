@@ -4,6 +4,9 @@
 
 * "reference": every such row joins, so an order counts once per row.
 * "order": one dimension row per customer, one (averaged) review per order.
+
+The rows of a customer enter as a weight: the rollup has one row per order with the number of
+its customer's rows, and is only multiplied out where that is the result, in the order summary.
 """
 
 from __future__ import annotations
@@ -108,15 +111,39 @@ def fact_reviews(reviews: DataFrame) -> DataFrame:
     )
 
 
-def _home_states(dim_customer: DataFrame, grain: str) -> DataFrame:
-    """(customer_unique_id, customer_state): every dimension row, or one per customer.
+def home_states(dim_customer: DataFrame) -> DataFrame:
+    """(customer_unique_id, customer_state, address_rows): a customer's rows in each state."""
+    return dim_customer.groupBy("customer_unique_id", "customer_state").agg(
+        F.count(F.lit(1)).alias("address_rows")
+    )
+
+
+def times(orders: DataFrame) -> Column:
+    """How often a row counts: by its address rows, or once in a table that has none."""
+    return F.col("address_rows") if "address_rows" in orders.columns else F.lit(1)
+
+
+def _weighted(fact_orders: DataFrame, dim_customer: DataFrame, grain: str) -> DataFrame:
+    """Orders with `address_rows`, and with their one state if they have but one.
 
     With grain "order" a customer lives where their lowest customer id does.
     """
+    customers = dim_customer.groupBy("customer_unique_id")
     if grain == "reference":
-        return dim_customer.select("customer_unique_id", "customer_state")
-    first = F.min_by("customer_state", F.struct("first_customer_id", "customer_zip_prefix"))
-    return dim_customer.groupBy("customer_unique_id").agg(first.alias("customer_state"))
+        joined = customers.agg(F.count(F.lit(1)).alias("address_rows"))
+    else:
+        first = F.min_by("customer_state", F.struct("first_customer_id", "customer_zip_prefix"))
+        joined = customers.agg(first.alias("customer_state")).withColumn("address_rows", F.lit(None))
+    once = F.coalesce("address_rows", F.lit(1)).cast("bigint")
+    return fact_orders.join(joined, "customer_unique_id", "left").withColumn("address_rows", once)
+
+
+def order_summary(rollup: DataFrame, dim_customer: DataFrame) -> DataFrame:
+    """The rollup with a row for each address row of an order's customer."""
+    if "customer_state" in rollup.columns:
+        return rollup.select(*SUMMARY_COLUMNS)
+    states = dim_customer.select("customer_unique_id", "customer_state")
+    return rollup.join(states, "customer_unique_id", "left").select(*SUMMARY_COLUMNS)
 
 
 def _items_per_order(items: DataFrame) -> DataFrame:
@@ -151,7 +178,7 @@ def _reviews_per_order(reviews: DataFrame, grain: str) -> DataFrame:
     )
 
 
-ROLLUP_COLUMNS = SUMMARY_COLUMNS + ["review_rows", "review_scores", "review_score_sum"]
+WEIGHTS = ["address_rows", "review_rows", "review_scores", "review_score_sum"]
 
 
 def order_rollup(
@@ -162,25 +189,27 @@ def order_rollup(
     fact_reviews: DataFrame,
     grain: str = "reference",
 ) -> DataFrame:
-    """Orders with their state and their item, payment and review totals.
+    """One row per order with its item, payment and review totals.
 
     Items, payments and reviews are aggregated to one row per order before they
     join, partly before the shuffle, so an order with very many of them costs
     one row.  The three joins share one partitioning by order.  Each is a left
     join on a unique key: a query that needs no reviews, say, does not read them.
 
-    Besides the summary's columns it has review totals, with which marts can weigh
-    an order by its reviews instead of joining the reviews again.
+    Besides the summary's columns it has review totals and `address_rows`, with which marts
+    can weigh an order instead of joining its reviews and its customer's addresses.  The state
+    is a column only with grain "order", where there is one; see `order_summary`.
     """
     check_grain(grain)
     paid = fact_payments.groupBy("order_id").agg(
         amount(F.sum(cents(F.col("payment_value")))).alias("paid")
     )
+    columns = [c for c in SUMMARY_COLUMNS if grain == "order" or c != "customer_state"]
     return (
-        fact_orders.join(_home_states(dim_customer, grain), "customer_unique_id", "left")
+        _weighted(fact_orders, dim_customer, grain)
         .join(_items_per_order(fact_order_items), "order_id", "left")
         .join(paid, "order_id", "left")
         .join(_reviews_per_order(fact_reviews, grain), "order_id", "left")
         .withColumn("payment_value", F.coalesce("paid", F.lit(0.0)))
-        .select(*ROLLUP_COLUMNS)
+        .select(*columns, *WEIGHTS)
     )

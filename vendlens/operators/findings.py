@@ -15,6 +15,7 @@ from pyspark.sql import Window
 
 from vendlens.functions.columns import as_row, percent, plain_text, ratio, round_n
 from vendlens.functions.statistics import pearson_t, student_p, welch_freedom, welch_t
+from vendlens.operators.facts import times
 from vendlens.operators.marts import DELIVERY_BUCKETS, NO_DELIVERY
 from vendlens.operators.rfm import SEGMENT_ORDER
 
@@ -285,15 +286,22 @@ def payment_summary(payment: DataFrame) -> DataFrame:
 
 
 def _late_review_moments(summary: DataFrame) -> DataFrame:
-    """Count, mean and variance of review scores, late and on time, in one pass."""
+    """Count, mean and variance of review scores, late and on time, in one pass.
+
+    A row counts as often as its address rows say.  Scores are taken from the middle of their
+    scale, so that the difference of sums loses no digits that matter.
+    """
     late, score = F.col("days_vs_estimate") < 0, F.col("avg_review_score")
+    middle = F.lit(3.0)
 
-    def moments(rows: Column, name: str) -> list[Column]:
-        kept = F.when(rows, score)
+    def moments(which: Column, name: str) -> list[Column]:
+        rows, off = F.when(which, times(summary)), score - middle
+        n = F.coalesce(F.sum(rows), F.lit(0)).cast("double")
+        total, squares = F.sum(off * rows), F.sum(off * off * rows)
         return [
-            F.count(kept).cast("double").alias(f"{name}_n"),
-            F.avg(kept).alias(f"{name}_mean"),
-            F.var_samp(kept).alias(f"{name}_var"),
+            n.alias(f"{name}_n"),
+            (ratio(total, n) + middle).alias(f"{name}_mean"),
+            ratio(squares - ratio(total * total, n), n - 1.0).alias(f"{name}_var"),
         ]
 
     return summary.where(F.col("days_vs_estimate").isNotNull() & score.isNotNull()).agg(

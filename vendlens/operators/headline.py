@@ -22,15 +22,17 @@ def headline_metrics(
     revenue share of that many biggest spenders, however many customers there are.
     """
     sale = F.col("is_revenue_order") == 1
-    totals = star.fact_order_summary.agg(
-        F.sum(F.when(sale, cents(F.col("order_revenue")))).alias("revenue_cents"),
-        F.count_if(sale).alias("orders"),
+    rows = F.col("address_rows")
+    totals = star.order_rollup.agg(
+        F.sum(F.when(sale, cents(F.col("order_revenue")) * rows)).alias("revenue_cents"),
+        F.coalesce(F.sum(F.when(sale, rows)), F.lit(0)).alias("orders"),
         F.min(F.when(sale, F.col("order_date"))).cast("string").alias("period_start"),
         F.max(F.when(sale, F.col("order_date"))).cast("string").alias("period_end"),
-        percent(F.sum("is_cancelled_order"), F.count(F.lit(1))).alias("cancellation_rate_pct"),
+        percent(F.sum(F.col("is_cancelled_order") * rows), F.sum(rows))
+        .alias("cancellation_rate_pct"),
     )
     if profile is None:
-        profile = customer_profile(star.fact_order_summary)
+        profile = customer_profile(star.order_rollup)
     customers = profile.agg(
         F.count(KEY).alias("unique_customers"),
         percent(F.count_if(F.col("frequency") > 1), F.count(F.lit(1)))
@@ -50,9 +52,9 @@ def headline_metrics(
 
     parts = [totals, customers, top, delivery, reviews]
     one_row = star.fact_orders.sparkSession.range(1)
-    rows = one_row.select(*[as_row(p).alias(f"p{i}") for i, p in enumerate(parts)])
+    row = one_row.select(*[as_row(p).alias(f"p{i}") for i, p in enumerate(parts)])
     revenue = amount(F.col("revenue_cents"))
-    return rows.select(*[f"p{i}.*" for i in range(len(parts))]).select(
+    return row.select(*[f"p{i}.*" for i in range(len(parts))]).select(
         revenue.alias("revenue_brl"),
         "orders",
         "unique_customers",

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from vendlens.functions.columns import amount, cents, percent, ratio, round_n, whole_table_sum
-from vendlens.operators.facts import check_grain
+from vendlens.operators.facts import check_grain, times
 from vendlens.operators.ordering import Ordering, rank_and_running_sum
 from vendlens.operators.rfm import KEY
 
@@ -53,6 +53,26 @@ def _review_repeats() -> Column:
     return F.coalesce("review_rows", F.lit(1))
 
 
+def _mean(value: Column, rows: Column) -> Column:
+    """The mean of a value that counts several times."""
+    return ratio(F.sum(value * rows), F.sum(F.when(value.isNotNull(), rows)))
+
+
+def _in_states(totals: DataFrame, homes: DataFrame | None) -> DataFrame:
+    """`totals` per customer, or per customer and state, in their states with `address_rows`.
+
+    What has no state is in the state UNKNOWN, and a customer is in each state once.
+    """
+    if homes is None:
+        return totals.withColumn("customer_state", _state()).withColumn(
+            "address_rows", F.lit(1)
+        )
+    states = homes.groupBy(KEY, _state()).agg(F.sum("address_rows").alias("address_rows"))
+    return totals.join(states, KEY, "left").withColumn("customer_state", _state()).withColumn(
+        "address_rows", F.coalesce("address_rows", F.lit(1))
+    )
+
+
 def _with_distinct(totals: DataFrame, rows: DataFrame, by: str) -> DataFrame:
     """`totals`, one row per `by`, with how many different orders and customers there are.
 
@@ -69,14 +89,17 @@ def _with_distinct(totals: DataFrame, rows: DataFrame, by: str) -> DataFrame:
 
 
 def monthly_kpi(summary: DataFrame) -> DataFrame:
-    """Orders, customers, revenue and service level per month."""
-    revenue = amount(F.col("revenue_cents"))
+    """Orders, customers, revenue and service level per month.
+
+    From the order rollup, weighted by address rows, or the summary, which repeats orders.
+    """
+    revenue, rows = amount(F.col("revenue_cents")), times(summary)
     sold = summary.where("is_revenue_order = 1")
     totals = sold.groupBy("order_month").agg(
-        F.sum(cents(F.col("order_revenue"))).alias("revenue_cents"),
-        F.sum("item_count").alias("items_sold"),
-        F.avg("days_to_deliver").alias("mean_days"),
-        F.avg("avg_review_score").alias("mean_score"),
+        F.sum(cents(F.col("order_revenue")) * rows).alias("revenue_cents"),
+        F.sum(F.col("item_count") * rows).alias("items_sold"),
+        _mean(F.col("days_to_deliver"), rows).alias("mean_days"),
+        _mean(F.col("avg_review_score"), rows).alias("mean_score"),
     )
     return (
         _with_distinct(totals, sold, "order_month")
@@ -236,27 +259,32 @@ def category_performance(
     )
 
 
-def state_performance(rollup: DataFrame) -> DataFrame:
+def state_performance(rollup: DataFrame, homes: DataFrame | None = None) -> DataFrame:
     """Sales, delivery time and review scores per customer state.
 
-    Reads nothing but the order rollup.  In the result an order counts once per
-    item and review, which the rollup's counts give as weights.
+    In the result an order counts once per item, review and address, which enter as weights:
+    orders are totalled per customer before a customer meets their states in `homes`.  Only
+    the ids of orders meet states, to be counted once in each.
     """
     days, items = F.col("days_to_deliver"), F.col("item_count")
     rows = items * _review_repeats()
     revenue = amount(F.col("price_cents"))
-    sold = rollup.where((F.col("is_revenue_order") == 1) & items.isNotNull()).withColumn(
-        "customer_state", _state()
-    )
-    totals = sold.groupBy("customer_state").agg(
-        F.sum(cents(F.col("order_revenue")) * _review_repeats()).alias("price_cents"),
-        F.sum(days * rows).alias("days_sum"),
-        F.sum(F.when(days.isNotNull(), rows)).alias("days_rows"),
-        F.sum(F.col("review_score_sum") * items).alias("score_sum"),
-        F.sum(F.col("review_scores") * items).alias("scores"),
+    sold = rollup.where((F.col("is_revenue_order") == 1) & items.isNotNull())
+    place = [KEY] if homes is not None else [KEY, "customer_state"]
+    sums = {
+        "price_cents": cents(F.col("order_revenue")) * _review_repeats(),
+        "days_sum": days * rows,
+        "days_rows": F.when(days.isNotNull(), rows),
+        "score_sum": F.col("review_score_sum") * items,
+        "scores": F.col("review_scores") * items,
+    }
+    spent = sold.groupBy(*place).agg(*[F.sum(v).alias(n) for n, v in sums.items()])
+    totals = _in_states(spent, homes).groupBy("customer_state").agg(
+        *[F.sum(F.col(n) * F.col("address_rows")).alias(n) for n in sums]
     )
+    pairs = _in_states(sold.select(*place, "order_id"), homes)
     return (
-        _with_distinct(totals, sold, "customer_state")
+        _with_distinct(totals, pairs, "customer_state")
         .select(
             "customer_state",
             "orders",
@@ -369,15 +397,15 @@ def delivery_bucket(days_early: Column) -> Column:
 
 def review_by_delay(summary: DataFrame) -> DataFrame:
     """Review scores of delivered orders by how early or late they came (C11)."""
-    score = F.col("avg_review_score")
-    bad = F.sum(F.when(score <= 2, 1).otherwise(0))
+    score, rows = F.col("avg_review_score"), times(summary)
+    bad = F.sum(F.when(score <= 2, rows).otherwise(0))
     return (
         summary.where((F.col("order_status") == "delivered") & score.isNotNull())
         .groupBy(delivery_bucket(F.col("days_vs_estimate")).alias("delivery_bucket"))
         .agg(
-            _rows().alias("orders"),
-            round_n(F.avg(score), 3).alias("avg_review_score"),
-            percent(bad, _rows()).alias("pct_bad_reviews"),
+            F.sum(rows).alias("orders"),
+            round_n(_mean(score, rows), 3).alias("avg_review_score"),
+            percent(bad, F.sum(rows)).alias("pct_bad_reviews"),
             F.min("days_vs_estimate").alias("earliest"),
         )
         .orderBy(F.desc_nulls_last("earliest"))
@@ -385,19 +413,26 @@ def review_by_delay(summary: DataFrame) -> DataFrame:
     )
 
 
-def sla_by_state(rollup: DataFrame) -> DataFrame:
-    """Delivery time, on-time share and review score per customer state."""
+def sla_by_state(rollup: DataFrame, homes: DataFrame | None = None) -> DataFrame:
+    """Delivery time, on-time share and review score per customer state.
+
+    Totalled per customer before a customer meets their states in `homes`.
+    """
     rows = _review_repeats()
+    sums = {
+        "delivered_orders": rows,
+        "days_sum": F.col("days_to_deliver") * rows,
+        "on_time": _on_time() * rows,
+        "score_sum": F.col("review_score_sum"),
+        "scores": F.col("review_scores"),
+    }
+    delivered = rollup.where(_delivered_in_time_range()).groupBy(
+        *([KEY] if homes is not None else [KEY, "customer_state"])
+    ).agg(*[F.sum(v).alias(n) for n, v in sums.items()])
     return (
-        rollup.where(_delivered_in_time_range())
-        .groupBy(_state())
-        .agg(
-            F.sum(rows).alias("delivered_orders"),
-            F.sum(F.col("days_to_deliver") * rows).alias("days_sum"),
-            F.sum(_on_time() * rows).alias("on_time"),
-            F.sum("review_score_sum").alias("score_sum"),
-            F.sum("review_scores").alias("scores"),
-        )
+        _in_states(delivered, homes)
+        .groupBy("customer_state")
+        .agg(*[F.sum(F.col(n) * F.col("address_rows")).alias(n) for n in sums])
         .select(
             "customer_state",
             "delivered_orders",

@@ -96,8 +96,9 @@ def data_quality(star: Star) -> DataFrame:
             F.count(F.lit(1)).alias("customers_unique_ids"),
             F.count_if(F.col("customer_id_count") > 1).alias("customers_with_multiple_order_ids"),
         ),
-        star.fact_order_summary.where("is_revenue_order = 1").agg(
-            amount(F.sum(cents(F.col("order_revenue")))).alias("revenue_item_based")
+        star.order_rollup.where("is_revenue_order = 1").agg(
+            amount(F.sum(cents(F.col("order_revenue")) * F.col("address_rows")))
+            .alias("revenue_item_based")
         ),
     ]
     one_row = orders.sparkSession.range(1)

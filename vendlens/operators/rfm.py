@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vendlens.functions.columns import amount, cents, percent, ratio, round_n, whole_table_sum
+from vendlens.operators.facts import times
 from vendlens.operators.ordering import Ordering, ntile
 from vendlens.session import materialise
 
@@ -33,7 +34,11 @@ SEGMENT_ORDER = [
 
 
 def customer_profile(summary: DataFrame) -> DataFrame:
-    """One row per customer with a revenue order; money in cents."""
+    """One row per customer with a revenue order; money in cents.
+
+    From the order rollup, weighted by address rows, or the summary, which repeats orders.
+    """
+    rows = times(summary)
     return (
         summary.where("is_revenue_order = 1")
         .groupBy(KEY)
@@ -41,8 +46,8 @@ def customer_profile(summary: DataFrame) -> DataFrame:
             F.min("order_date").alias("first_order_date"),
             F.max("order_date").alias("last_order_date"),
             F.countDistinct("order_id").alias("frequency"),
-            F.sum(cents(F.col("order_revenue"))).alias("monetary_cents"),
-            F.sum("item_count").alias("items_bought"),
+            F.sum(cents(F.col("order_revenue")) * rows).alias("monetary_cents"),
+            F.sum(F.col("item_count") * rows).alias("items_bought"),
         )
     )
 

@@ -14,7 +14,7 @@ from vendlens.schemas import Star
 
 
 def rfm_base(star: Star) -> DataFrame:
-    return rfm.rfm_tiered(rfm.customer_profile(star.fact_order_summary))
+    return rfm.rfm_tiered(rfm.customer_profile(star.order_rollup))
 
 
 def customer_segment(star: Star) -> DataFrame:
@@ -22,20 +22,20 @@ def customer_segment(star: Star) -> DataFrame:
 
 
 MARTS: dict[str, Callable[[Star], DataFrame]] = {
-    "mart_monthly_kpi": lambda s: m.monthly_kpi(s.fact_order_summary),
-    "mart_rfm": lambda s: rfm.rfm_ntile(rfm.customer_profile(s.fact_order_summary)),
+    "mart_monthly_kpi": lambda s: m.monthly_kpi(s.order_rollup),
+    "mart_rfm": lambda s: rfm.rfm_ntile(rfm.customer_profile(s.order_rollup)),
     "mart_rfm_segments": lambda s: rfm.segment_rollup(customer_segment(s)),
     "mart_cohort": lambda s: m.cohort_retention(s.fact_orders),
-    "mart_pareto": lambda s: m.pareto(rfm.customer_profile(s.fact_order_summary)),
+    "mart_pareto": lambda s: m.pareto(rfm.customer_profile(s.order_rollup)),
     "mart_category": lambda s: m.category_performance(
         s.fact_order_items, s.fact_orders, s.dim_product, s.fact_reviews, s.grain
     ),
-    "mart_state": lambda s: m.state_performance(s.order_rollup),
+    "mart_state": lambda s: m.state_performance(s.order_rollup, s.home_states),
     "mart_delivery_sla": lambda s: m.delivery_sla(s.fact_orders),
     "mart_payment": lambda s: m.payment_mix(s.fact_payments, s.fact_orders),
-    "mart_repeat": lambda s: m.repeat_purchase(rfm.customer_profile(s.fact_order_summary)),
-    "mart_review_delay": lambda s: m.review_by_delay(s.fact_order_summary),
-    "mart_sla_by_state": lambda s: m.sla_by_state(s.order_rollup),
+    "mart_repeat": lambda s: m.repeat_purchase(rfm.customer_profile(s.order_rollup)),
+    "mart_review_delay": lambda s: m.review_by_delay(s.order_rollup),
+    "mart_sla_by_state": lambda s: m.sla_by_state(s.order_rollup, s.home_states),
     "mart_customer_segment": customer_segment,
     "dim_date": lambda s: s.dim_date.orderBy("date_day"),
     "fact_order_summary": lambda s: s.fact_order_summary,

@@ -38,7 +38,7 @@ def store_fact_marts(facts: Star, folder: str) -> dict[str, DataFrame]:
 
 def store_profile(star: Star, folder: str) -> DataFrame:
     """The customer profile, which several marts share."""
-    return store_table(rfm.customer_profile(star.fact_order_summary), folder, "customer_profile")
+    return store_table(rfm.customer_profile(star.order_rollup), folder, "customer_profile")
 
 
 def store_order_marts(star: Star, profile: DataFrame, folder: str) -> dict[str, DataFrame]:
@@ -97,6 +97,6 @@ def run_report(
         jobs["headline_metrics"] = pool.submit(headline, star, profile)
         marts = {**store_order_marts(star, profile, tables), **early.result()}
         jobs |= {name: pool.submit(export, name, df) for name, df in marts.items()}
-        findings = findings_document(marts, star.fact_order_summary, window_start, min_cohort)
+        findings = findings_document(marts, star.order_rollup, window_start, min_cohort)
         jobs["findings"] = pool.submit(export_json, findings, reports, "findings")
         return {name: job.result() for name, job in jobs.items()}

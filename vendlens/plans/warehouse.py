@@ -15,7 +15,7 @@ from vendlens.operators.facts import (
     fact_reviews,
     order_rollup,
 )
-from vendlens.schemas import ROLLUP_TABLE, RawTables, Star
+from vendlens.schemas import RawTables, Star
 from vendlens.sinks.files import store_table
 
 JOBS_AT_ONCE = 8
@@ -72,9 +72,11 @@ def store_facts(raw: RawTables, folder: str, grain: str = "reference") -> Star:
 
 def store_rollup(facts: Star, folder: str) -> Star:
     """Store the order rollup of stored facts (A2)."""
-    return facts.with_tables(order_rollup=store_table(facts.order_rollup, folder, ROLLUP_TABLE))
+    return facts.with_tables(order_rollup=store_table(facts.order_rollup, folder, "order_rollup"))
 
 
 def store_star(raw: RawTables, folder: str, grain: str = "reference") -> Star:
-    """Store the whole star: dimensions and facts, then the order rollup built on them."""
-    return store_rollup(store_facts(raw, folder, grain), folder)
+    """Store the whole star: dimensions and facts, then the order rollup and summary on them."""
+    star = store_rollup(store_facts(raw, folder, grain), folder)
+    store_table(star.fact_order_summary, folder, "fact_order_summary")
+    return star

@@ -75,9 +75,6 @@ SUMMARY_COLUMNS = [
 ]
 
 
-# The order rollup is stored under the name of the summary it extends.
-ROLLUP_TABLE = "fact_order_summary"
-
 
 class Tables:
     """A fixed set of named DataFrames, each built when first used.
@@ -121,8 +118,8 @@ class RawTables(Tables):
 class Star(Tables):
     """The star schema: four dimensions, four facts, one wide order fact.
 
-    `order_rollup` is the order summary plus review totals.  `grain` is the one it was
-    built with, see `operators.facts`.
+    `order_rollup` has one row per order, with weights; `fact_order_summary` is made from it and
+    the customers.  `grain` is the one it was built with, see `operators.facts`.
     """
 
     NAMES = (
@@ -140,4 +137,13 @@ class Star(Tables):
 
     @property
     def fact_order_summary(self) -> DataFrame:
-        return self.order_rollup.select(*SUMMARY_COLUMNS)
+        from vendlens.operators.facts import order_summary
+
+        return order_summary(self.order_rollup, self.dim_customer)
+
+    @property
+    def home_states(self) -> DataFrame | None:
+        """Address rows per customer and state; None where each order has its one state."""
+        from vendlens.operators.facts import home_states
+
+        return home_states(self.dim_customer) if self.grain == "reference" else None
