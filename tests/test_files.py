@@ -11,10 +11,10 @@ from vendlens.operators.quality import data_quality
 from vendlens.plans.report import run_report
 from vendlens.plans.warehouse import star_schema, store_raw
 from vendlens.session import materialise, scratch_root, scratch_space
-from vendlens.sinks.files import export_csv, export_json
+from vendlens.sinks.files import export_csv, export_json, store_table
 from vendlens.sources.raw_csv import raw_tables as csv_tables
 from vendlens.sources.raw_csv import read_raw_csv, rejected_rows
-from vendlens.sources.tables import read_raw
+from vendlens.sources.tables import read_raw, read_table
 from vendlens.sources.trade_tables import raw_tables
 
 FILES = {
@@ -215,3 +215,18 @@ def test_a_session_without_shared_folder_is_refused():
 
     with pytest.raises(ValueError):
         scratch_root(Bare)
+
+
+def test_a_write_that_fails_leaves_the_old_table(spark, tmp_path):
+    folder = str(tmp_path)
+    store_table(spark.range(5), folder, "t")
+    bad = spark.range(0, 1000, 1, 4).select(
+        F.when(F.col("id") < 900, F.col("id")).otherwise(F.raise_error(F.lit("stop"))).alias("id")
+    )
+    with pytest.raises(Exception, match="stop"):
+        store_table(bad, folder, "t")
+    assert read_table(spark, folder, "t").count() == 5
+    # A table may be replaced by what is computed from it.
+    again = store_table(read_table(spark, folder, "t").selectExpr("id + 1 AS id"), folder, "t")
+    assert sorted(r.id for r in again.collect()) == [1, 2, 3, 4, 5]
+    assert [p.name for p in tmp_path.iterdir()] == ["t"]

@@ -4,7 +4,14 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from vendlens.operators.ordering import Ordering, ntile, ranged, rank_and_running_sum, rows_at
+from vendlens.operators.ordering import (
+    Ordering,
+    first_rows,
+    ntile,
+    rank_and_running_sum,
+    ranged,
+    rows_at,
+)
 
 
 @pytest.fixture(params=[1, 4, 23])
@@ -112,3 +119,13 @@ def test_plan_has_no_single_partition_window_over_rows(spark):
     # Single-partition windows only see one row per range, below the broadcast.
     above = plan.split("BroadcastExchange")[0]
     assert "SinglePartition" not in above
+
+
+@pytest.mark.parametrize("n", [0, 1, 7, 500, 1002, 1003, 5000])
+def test_first_rows_are_those_of_a_sort(spark, n, ranges):
+    df = table(spark, 1003)
+    ordering = Ordering("value", "key", descending=True)
+    ours = first_rows(df, ordering, n)
+    assert "TakeOrdered" not in ours._jdf.queryExecution().executedPlan().toString()
+    theirs = df.orderBy(*ordering.sort_columns()).limit(n)
+    assert sorted(ours.collect(), key=repr) == sorted(theirs.collect(), key=repr)

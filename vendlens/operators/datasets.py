@@ -13,6 +13,7 @@ from vendlens.operators.findings import (
     month_on_month,
 )
 from vendlens.operators.marts import DELIVERY_BUCKETS, NO_DELIVERY
+from vendlens.operators.ordering import Ordering, first_rows
 from vendlens.operators.rfm import KEY
 
 
@@ -141,15 +142,11 @@ def pareto_sample(pareto: DataFrame, size: int = 3000, seed: int = 7) -> DataFra
     """A fixed-size sample of the Pareto curve.
 
     The rows with the smallest hash of seed and customer: uniform over customers,
-    and the same rows however the table is partitioned.
+    and the same rows however the table is partitioned.  Runs jobs.
     """
     draw = F.md5(F.concat(F.lit(f"{seed}:"), F.col(KEY).cast("string")))
-    return (
-        pareto.select("rk", "pct_customers", "pct_revenue", draw.alias("draw"))
-        .orderBy("draw")
-        .limit(size)
-        .select("rk", "pct_customers", "pct_revenue")
-    )
+    drawn = pareto.select("rk", "pct_customers", "pct_revenue", draw.alias("draw"))
+    return first_rows(drawn, Ordering("draw", "rk"), size).drop("draw")
 
 
 def window_summary(kpi: DataFrame, window_start: str = WINDOW_START) -> DataFrame:

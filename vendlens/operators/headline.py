@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from vendlens.functions.columns import amount, as_row, cents, percent, ratio, round_n
 from vendlens.operators.marts import PLAUSIBLE_DAYS
+from vendlens.operators.ordering import Ordering, first_rows
 from vendlens.operators.rfm import KEY, customer_profile
 from vendlens.schemas import Star
 
@@ -14,7 +15,7 @@ from vendlens.schemas import Star
 def headline_metrics(
     star: Star, top_customers: int = 8000, profile: DataFrame | None = None
 ) -> DataFrame:
-    """One row with the eleven headline numbers.
+    """One row with the eleven headline numbers.  Runs a job to find the biggest spenders.
 
     `profile` may be a stored customer profile; else it is derived from the star.
 
@@ -38,11 +39,9 @@ def headline_metrics(
         percent(F.count_if(F.col("frequency") > 1), F.count(F.lit(1)))
         .alias("repeat_customer_pct"),
     )
-    top = (
-        profile.select("monetary_cents")
-        .orderBy(F.desc_nulls_last("monetary_cents"))
-        .limit(top_customers)
-        .agg(F.sum("monetary_cents").alias("top_cents"))
+    biggest = Ordering("monetary_cents", KEY, descending=True)
+    top = first_rows(profile.select(KEY, "monetary_cents"), biggest, top_customers).agg(
+        F.sum("monetary_cents").alias("top_cents")
     )
     delivery = star.fact_orders.where(
         (F.col("order_status") == "delivered")

@@ -114,6 +114,19 @@ def rows_at(stored: DataFrame, ordering: Ordering, ranks_of) -> Points:
     return Points(ordering, [row[0] for row in found.collect()], schema)
 
 
+def first_rows(df: DataFrame, ordering: Ordering, rows: int) -> DataFrame:
+    """The first `rows` rows of `df` in the order, without one task that merges them.
+
+    Rows before the one at which the rest starts; ties are broken by the key.  Runs jobs.
+    """
+    columns = list(dict.fromkeys([ordering.value, ordering.key]))
+    rest = rows_at(
+        ranged(df.select(*columns), ordering), ordering,
+        lambda total: [rows + 1] if rows < total else [],
+    )
+    return df.where(rest.passed() == 0)
+
+
 def ntile(df: DataFrame, tiles: int, ordering: Ordering) -> Column:
     """NTILE(tiles) OVER (ORDER BY ...) over the whole of `df`, as a column of `df`.
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,11 +14,29 @@ from vendlens.functions.columns import plain_text
 def store_table(df: DataFrame, folder: str, name: str) -> DataFrame:
     """Replace a stored table and return it as read back (A2).
 
-    Parquet keeps the types and lets later steps read single columns.
+    Parquet keeps the types and lets later steps read single columns.  The new version is written
+    beside the table, whose place it takes by a rename once it is whole: a write that fails leaves
+    the old table, and the new one may be computed from it.
     """
-    path = f"{folder}/{name}"
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    path, mark = f"{folder}/{name}", uuid.uuid4().hex
+    new, old = f"{folder}/_{name}-{mark}-new", f"{folder}/_{name}-{mark}-old"
+    spark = df.sparkSession
+    place = spark._jvm.org.apache.hadoop.fs.Path
+    files = place(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    try:
+        df.write.parquet(new)
+    except BaseException:
+        files.delete(place(new), True)
+        raise
+    replaced = files.exists(place(path))
+    if replaced and not files.rename(place(path), place(old)):
+        raise OSError(f"{path} could not be moved")
+    if not files.rename(place(new), place(path)):
+        if replaced:
+            files.rename(place(old), place(path))
+        raise OSError(f"{new} could not take the place of {path}")
+    files.delete(place(old), True)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def _plain(df: DataFrame) -> list[Column]:
