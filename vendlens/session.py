@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
 import uuid
@@ -50,6 +51,8 @@ def use_own_scratch(spark: SparkSession) -> None:
     context = spark.sparkContext
     if spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir():
         return
+    if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
     folder = tempfile.mkdtemp(prefix="vendlens-")
     context.setCheckpointDir(folder)
     atexit.register(shutil.rmtree, folder, ignore_errors=True)
