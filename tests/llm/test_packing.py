@@ -31,6 +31,17 @@ def test_same_ids_as_the_library(library, samples):
         assert found == expected, repr(text)[:80]
 
 
+def test_marks_composed_or_not(library):
+    encoder = packing.WordEncoder(open(PATH, encoding="utf-8").read())
+    letters = random.Random(4)
+    alphabet = "aeiIİıOoÅå\u030a\u0301\u0307\u0327\u0323éṩſßΣσ ,."
+    texts = ["I\u0307\u0327stanbul", "\u0130\u0327stanbul", "o\u0323\u0307 \u1e69"]
+    texts += ["".join(letters.choices(alphabet, k=12)) for _ in range(5000)]
+    for text in texts:
+        expected = library.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(encoder.encode(text), "<u4").tolist() == expected, repr(text)
+
+
 def plain_best_fit(lengths, capacity):
     """Best fit decreasing, one item at a time."""
     gaps, used = [], 0

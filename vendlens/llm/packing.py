@@ -86,9 +86,10 @@ class WordEncoder:
 
     def encode(self, text: str) -> bytes:
         # White space is dropped and ends a word, so words can be encoded apart.  Lower case
-        # comes first where it is certain to be what the vocabulary's normaliser does.
+        # comes first where it is certain to be what the vocabulary's normaliser does: not for a
+        # final sigma, nor where it makes two characters of one, which are then put in order.
         if (
-            self.special not in text and "Σ" not in text
+            self.special not in text and "Σ" not in text and "İ" not in text
             and unicodedata.is_normalized("NFC", text)
         ):
             text = text.lower()
