@@ -41,7 +41,7 @@ from vendlens.session import materialise
 
 CAPACITY = 4096
 END_ID = 1
-CACHED = 150_000
+CACHED = 500_000  # words and parts a task remembers the ids of
 ROWS = 512
 BUCKETS = 64  # groups of documents whose ranks are counted apart, per shuffle partition
 
