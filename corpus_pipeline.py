@@ -15,13 +15,24 @@ from vendlens.llm.queries import SITES, WORD_VOCABULARY
 from vendlens.session import materialise, ship_package
 
 
+# Rows of an Arrow batch.  Whole texts are held off heap and in Python at once, and a long-lived
+# worker keeps the memory its largest batch needed.
+BATCH_ROWS = 1024
+
+
+def _prepare(spark: SparkSession) -> None:
+    """Send the package, and set the size of Arrow batches for this session."""
+    ship_package(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents of low quality and toxic ones.
 
     The classifier learns from the labelled documents among `docs`.  Without labels of both
     kinds, and for documents without a source or language, see the operator.
     """
-    ship_package(spark)
+    _prepare(spark)
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
     kept = free_name(docs, "kept")
     return quality.classify(docs, model, SITES).where(F.col(kept)).select(*docs.columns)
@@ -32,7 +43,7 @@ def language_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     The models learn from all of `docs` that state a language; texts without a letter go.
     """
-    ship_package(spark)
+    _prepare(spark)
     model = language.fit(docs)
     rejected = free_name(docs, "rejected")
     return language.identify(docs, model).where(~F.col(rejected)).select(*docs.columns)
@@ -43,7 +54,7 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Documents stay, also those that lose all their lines.
     """
-    ship_package(spark)
+    _prepare(spark)
     deduped = line_dedup.line_dedup(docs).select(*docs.columns)
     if "n_chars" not in docs.columns:
         return deduped
@@ -57,7 +68,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     A row is known by its id and its words.  Of rows that share both, if they stay, the one
     with the smallest text does.
     """
-    ship_package(spark)
+    _prepare(spark)
     decided = materialise(
         near_dedup.decisions(docs).select("doc_id", "body", "copies", "stays"), "near_decisions"
     )
@@ -97,7 +108,7 @@ _PLAIN = {"string", "byte", "short", "integer", "long", "float", "double", "bool
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packs what is left into sequences; see the operator for the columns."""
-    ship_package(spark)
+    _prepare(spark)
     return packing.pack_places(docs, WORD_VOCABULARY)
 
 
