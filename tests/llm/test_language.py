@@ -147,3 +147,19 @@ def test_a_rare_language_rejects_too(spark):
     docs = [(t, True) for t in foreign] + [(t, False) for t, _ in rare + rows[::600]]
     found = language.identify(spark.createDataFrame(docs, "text string, strange boolean"), model)
     assert [r for r in found.collect() if r.rejected != r.strange] == []
+
+
+def test_scoring_once_gives_the_same(spark, small):
+    from pyspark.sql import functions as F
+
+    docs = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text", "lang").union(
+        spark.createDataFrame([(-1, None, "en"), (-2, "123", None), (None, "a b", "en")],
+                              "doc_id long, text string, lang string"))
+    train = F.col("doc_id") % 3 == 0
+    model = language.fit(docs.where(train))
+    names = ["doc_id", "lang_pred", "score", "rejected"]
+    twice = language.identify(docs, model).select(*names).collect()
+    once = language.learn_and_identify(docs, train).select(*names).collect()
+    assert sorted(once, key=repr) == sorted(twice, key=repr)
+    none = language.learn_and_identify(docs, F.lit(False))
+    assert {(r.lang_pred, r.rejected) for r in none.collect()} == {("und", True)}

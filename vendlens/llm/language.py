@@ -30,14 +30,16 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vendlens.llm.common import free_name, slices, strings
+from vendlens.session import materialise
 
 ORDER = 5
 BITS = 20
@@ -235,8 +237,12 @@ def _kneser_ney(rows: dict[int, dict[str, np.ndarray]]):
     return tables, np.log(unknown)
 
 
-def fit(train: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Model | None:
-    """A model of all rows of `train` that have text and language; None if there are none."""
+def fit(train: DataFrame, text_col: str = "text", lang_col: str = "lang",
+        calibrated: bool = True) -> Model | None:
+    """A model of all rows of `train` that have text and language; None if there are none.
+
+    Its limits come from scoring these texts, unless it is to be `calibrated` later.
+    """
     named = train.selectExpr(f"`{text_col}` AS text", f"CAST(`{lang_col}` AS string) AS lang")
     named = named.where("text IS NOT NULL AND lang IS NOT NULL")
     # At most ORDER x 2^BITS rows per language.
@@ -269,12 +275,16 @@ def fit(train: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Mod
         backoff.append(b)
     unknown = np.array([made[lang][1] for lang in kept])
     model = Model(kept, keys, log_p, backoff, unknown)
-    _calibrate(model, named)
+    if calibrated:
+        _calibrate(model, named)
     return model
 
 
 def _calibrate(model: Model, train: DataFrame) -> None:
-    """Sharpness and limits from cross-entropies of all training documents (text, lang)."""
+    """Sharpness and limits from cross-entropies of all training documents.
+
+    train: (text, lang), or (hash, entropies, lang) of texts that are scored already.
+    """
     # SHARPNESSES, and at most 2 x languages x steps of cross-entropies.
     summed = _cross_entropies(train, model).toArrow().to_pandas().sort_values("step")
     losses = summed[summed["kind"] == _LOSS]["amount"].to_numpy()
@@ -304,6 +314,7 @@ def _cross_entropies(train: DataFrame, model: Model) -> DataFrame:
     the chosen one and where it is not.
     """
     shared = train.sparkSession.sparkContext.broadcast(model)
+    known = "entropies" in train.columns
     columns = ["kind", "lang", "step", "hash", "amount"]
 
     def made(kind, lang, step, hashes, amount) -> pa.RecordBatch:
@@ -315,7 +326,10 @@ def _cross_entropies(train: DataFrame, model: Model) -> DataFrame:
         number = {lang: i for i, lang in enumerate(shared.value.languages)}
         losses = None
         for batch in slices(batches, ROWS):
-            found = scorer.entropies(strings(batch, "text"))
+            if known:
+                found = batch.column("entropies").to_pylist()
+            else:
+                found = scorer.entropies(strings(batch, "text"))
             held = [i for i, e in enumerate(found) if e is not None]
             if not held:
                 continue
@@ -337,7 +351,8 @@ def _cross_entropies(train: DataFrame, model: Model) -> DataFrame:
             none = np.full(len(losses), -1)
             yield made(np.full(len(losses), _LOSS), none, at, pa.array(none), losses)
 
-    scored = train.select("text", "lang", F.xxhash64("text").alias("hash")).mapInArrow(
+    named = train if known else train.select("text", "lang", F.xxhash64("text").alias("hash"))
+    scored = named.mapInArrow(
         run, "kind int, lang int, step int, hash long, amount double"
     )
     # Copies of a text are one.
@@ -400,21 +415,78 @@ def identify(docs: DataFrame, model: Model | None, text_col: str = "text") -> Da
         known = shared.value
         scorer = Scorer(known)
         for batch in slices(batches, ROWS):
-            rows = []
-            for entropies in scorer.entropies(strings(batch, text_col)):
-                if entropies is None:
-                    rows.append((UNKNOWN, 0.0, True))
-                    continue
-                best = int(entropies.argmin())
-                odds = np.exp(-known.sharpness * (entropies - entropies[best]))
-                rows.append((known.languages[best], float(1 / odds.sum()),
-                             bool(entropies[best] > known.limits[best])))
-            langs, scores, rejected = zip(*rows)
-            yield pa.RecordBatch.from_arrays([
-                *batch.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64()),
-                pa.array(rejected, pa.bool_()),
-            ], [*columns, *names])
+            yield _decided(batch, scorer.entropies(strings(batch, text_col)), known, names)
 
+    return docs.mapInArrow(run, _with_decision(docs, names))
+
+
+def _with_decision(docs: DataFrame, names: list[str]) -> T.StructType:
     kinds = (T.StringType(), T.DoubleType(), T.BooleanType())
-    schema = T.StructType([*docs.schema, *[T.StructField(n, k) for n, k in zip(names, kinds)]])
-    return docs.mapInArrow(run, schema)
+    return T.StructType([*docs.schema, *[T.StructField(n, k) for n, k in zip(names, kinds)]])
+
+
+def _decided(batch: pa.RecordBatch, found: list, model: Model, names: list[str]):
+    """The batch with language, score and rejection, from the cross-entropies of its rows."""
+    rows = []
+    for entropies in found:
+        if entropies is None:
+            rows.append((UNKNOWN, 0.0, True))
+            continue
+        best = int(entropies.argmin())
+        odds = np.exp(-model.sharpness * (entropies - entropies[best]))
+        rows.append((model.languages[best], float(1 / odds.sum()),
+                     bool(entropies[best] > model.limits[best])))
+    langs, scores, rejected = zip(*rows)
+    return pa.RecordBatch.from_arrays([
+        *batch.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64()),
+        pa.array(rejected, pa.bool_()),
+    ], [*batch.schema.names, *names])
+
+
+def learn_and_identify(docs: DataFrame, train: Column, id_col: str = "doc_id",
+                       text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """(doc_id, trained, lang_pred, score, rejected) of each row, by a model of the rows `train`.
+
+    Each text is scored once: its cross-entropies are stored without it, and both the limits and
+    the decisions come from them.
+    """
+    named = docs.select(
+        F.col(id_col).alias("doc_id"), F.coalesce(train, F.lit(False)).alias("trained"),
+        F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"),
+    )
+    model = fit(named.where("trained"), calibrated=False)
+    kept = ["doc_id", "trained", "lang_pred", "score", "rejected"]
+    if model is None:
+        return identify(named, None).select(*kept)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(shared.value)
+        for batch in slices(batches, ROWS):
+            found = scorer.entropies(strings(batch, "text"))
+            yield pa.RecordBatch.from_arrays([
+                *(batch.column(c) for c in narrow),
+                pa.array([None if e is None else e.tolist() for e in found],
+                         pa.list_(pa.float64())),
+            ], [*narrow, "entropies"])
+
+    narrow = ["doc_id", "trained", "lang", "hash"]
+    hashed = named.withColumn("hash", F.xxhash64("text"))
+    schema = T.StructType([*hashed.select(*narrow).schema,
+                           T.StructField("entropies", T.ArrayType(T.DoubleType()))])
+    scored = materialise(hashed.select(*narrow, "text").mapInArrow(score, schema), "entropies")
+    _calibrate(model, scored.where("trained AND lang IS NOT NULL").select(
+        "lang", "hash", "entropies"
+    ))
+    limits = SimpleNamespace(
+        languages=model.languages, sharpness=model.sharpness, limits=model.limits
+    )
+    names = ["lang_pred", "score", "rejected"]
+
+    def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, ROWS):
+            found = [None if e is None else np.array(e)
+                     for e in batch.column("entropies").to_pylist()]
+            yield _decided(batch, found, limits, names)
+
+    return scored.mapInArrow(decide, _with_decision(scored, names)).select(*kept)

@@ -43,11 +43,10 @@ def op2_lm(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op3_language(spark: SparkSession, folder: str) -> DataFrame:
-    docs = table(spark, folder, "documents")
-    model = language.fit(docs.where(fold(F.col("doc_id"), 4) != 2))
-    return language.identify(docs.select("doc_id", "text"), model).select(
-        "doc_id", (fold(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score",
-        "rejected",
+    learned = fold(F.col("doc_id"), 4) != 2
+    found = language.learn_and_identify(table(spark, folder, "documents"), learned)
+    return found.select(
+        "doc_id", (~F.col("trained")).alias("held_out"), "lang_pred", "score", "rejected"
     )
 
 
