@@ -48,6 +48,7 @@ REJECT_QUANTILE = 0.999  # of the different texts of a language
 STEP = 1 / 256           # of the cross-entropies that the quantile is taken of
 SHARPNESSES = np.geomspace(1, 100, 25)
 CACHED = 150_000         # words whose scores a task keeps
+CACHED_ALONE = 400_000   # the same where no other operator shares the executors
 COUNTED = 200_000        # words a task counts before it cuts them into n-grams
 CUT = 20_000             # of these at a time
 ROWS = 512
@@ -367,8 +368,8 @@ def _cross_entropies(train: DataFrame, model: Model) -> DataFrame:
 class Scorer:
     """Scores of words, kept for the next texts."""
 
-    def __init__(self, model: Model):
-        self.model = model
+    def __init__(self, model: Model, cached: int | None = None):
+        self.model, self.cached = model, cached
         self._reset()
 
     def _reset(self) -> None:
@@ -379,7 +380,7 @@ class Scorer:
         """Cross-entropy per character in each language; None for texts without a letter."""
         split = [words_of(text) for text in texts]
         new = list(set().union(*split) - self.place.keys())
-        if len(self.place) + len(new) > CACHED:
+        if len(self.place) + len(new) > (self.cached or CACHED):
             self._reset()
             new = list(set().union(*split))
         start = len(self.place)
@@ -461,7 +462,7 @@ def learn_and_identify(docs: DataFrame, train: Column, id_col: str = "doc_id",
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(shared.value)
+        scorer = Scorer(shared.value, CACHED_ALONE)
         for batch in slices(batches, ROWS):
             found = scorer.entropies(strings(batch, "text"))
             yield pa.RecordBatch.from_arrays([
