@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import sys
+import uuid
 from collections.abc import Callable
+from functools import reduce
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -19,7 +21,14 @@ from vendlens.operators import marts as m  # noqa: E402
 from vendlens.plans import marts as catalogue  # noqa: E402
 from vendlens.plans.marts import MARTS, mart_order  # noqa: E402
 from vendlens.plans.report import store_marts, store_profile  # noqa: E402
-from vendlens.plans.warehouse import star_schema, store_raw, store_star  # noqa: E402
+from vendlens.plans.warehouse import (  # noqa: E402
+    by_order,
+    star_schema,
+    store_csv,
+    store_facts,
+    store_raw,
+    store_star,
+)
 from vendlens.schemas import RAW_FILES, Star  # noqa: E402
 from vendlens.sinks.files import export_csv, export_json  # noqa: E402
 from vendlens.sources.raw_csv import raw_tables as csv_tables  # noqa: E402
@@ -66,9 +75,24 @@ def _findings(spark: SparkSession, folder: str) -> DataFrame:
     return findings.findings_document(marts, star.fact_order_summary, WINDOW_START, MIN_COHORT)
 
 
+def _findings_from_json(spark: SparkSession, folder: str) -> DataFrame:
+    """The findings document, exported as JSON and read back."""
+    document = _findings(spark, folder)
+    path = export_json(document, scratch_folder(spark), "findings")
+    # Keys of JSON objects are text.
+    written = document.schema.simpleString().replace("map<int,", "map<string,")
+    read = spark.read.schema(T.DataType.fromDDL(written)).json(path)
+    return _findings_rows(read.select(*[
+        F.col(f.name).cast(f.dataType).alias(f.name) for f in document.schema
+    ]))
+
+
 def _findings_document(spark: SparkSession, folder: str) -> DataFrame:
+    return _findings_rows(_findings(spark, folder))
+
+
+def _findings_rows(document: DataFrame) -> DataFrame:
     """The whole findings document as (section, field, text) rows."""
-    document = _findings(spark, folder)
 
     def row(section: str, field: str, text) -> Column:
         return F.struct(F.lit(section).alias("section"), F.lit(field).alias("field"),
@@ -148,6 +172,47 @@ def _json_round_trip(build: Callable[[Star], DataFrame], names: list[str]) -> Qu
     return run
 
 
+def _csv_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """(table, reason, rows): raw tables as CSV, some rows spoilt, parsed and stored once.
+
+    Every seventh order has an unreadable time of purchase, every eleventh an unreadable promise;
+    the rows that can be used are counted under the reason "usable".
+    """
+    target, raw = scratch_folder(spark), raw_tables(spark, folder).named()
+    key = F.col("order_id")
+    for column, by in (("order_purchase_timestamp", 7), ("order_estimated_delivery_date", 11)):
+        spoilt = F.when(key % by == 0, "32/13/1995").otherwise(F.col(column).cast("string"))
+        raw["orders"] = raw["orders"].withColumn(column, spoilt)
+    for name, df in raw.items():
+        export_csv(df, target, RAW_FILES[name].strip("*").removesuffix(".csv"))
+    tables, rejects = store_csv(spark, target, f"{target}/stored")
+    usable = [
+        df.agg(F.lit(name).alias("table"), F.lit("usable").alias("reason"),
+               F.count(F.lit(1)).alias("rows"))
+        for name, df in tables.named().items()
+    ]
+    counts = rejects.groupBy("table", "reason").agg(F.count("text").alias("rows"))
+    return reduce(DataFrame.unionAll, usable, counts)
+
+
+def _kpi_by_order(spark: SparkSession, folder: str) -> DataFrame:
+    """Store the facts in buckets of their order, and build the monthly KPIs on them."""
+    target = scratch_folder(spark)
+    # Tables of the catalogue are the session's, so each call has names of its own.
+    database = f"vendlens_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{target}/catalogue'")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    star = store_facts(raw_tables(spark, folder), target, store=by_order(buckets, database))
+    return MARTS["mart_monthly_kpi"](star)
+
+
+def _headline_period(spark: SparkSession, folder: str) -> DataFrame:
+    """The two dates of the headline report, exported as JSON and read back."""
+    report = _headline(_star(spark, folder))
+    path = export_json(report, scratch_folder(spark), "report")
+    return spark.read.schema(report.schema).json(path).select("period_start", "period_end")
+
+
 def _headline(star: Star) -> DataFrame:
     return headline.headline_metrics(star, oracle.TOP_CUSTOMERS)
 
@@ -283,6 +348,10 @@ def library_queries() -> dict[str, Query]:
         **{f"{name}_csv_round_trip": _mart_csv_round_trip(name) for name in MARTS},
         "dq_checks_json_round_trip": _json_round_trip(quality.data_quality, quality.CHECKS),
         "headline_json_round_trip": _json_round_trip(_headline, oracle.HEADLINE_NUMBERS),
+        "headline_period_json_round_trip": _headline_period,
+        "findings_json_round_trip": _findings_from_json,
+        "raw_csv_rejects": _csv_rejects,
+        "mart_monthly_kpi_by_order": _kpi_by_order,
         "mart_monthly_kpi_stored": _kpi_stored,
         "mart_category_raw_stored": _raw_stored,
     }

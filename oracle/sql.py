@@ -641,6 +641,7 @@ QUERIES: dict[str, str] = {
     # ---- stored tables and files
     "mart_monthly_kpi_stored": "SELECT * FROM m_kpi",
     "mart_category_raw_stored": "SELECT * FROM m_category",
+    "mart_monthly_kpi_by_order": "SELECT * FROM m_kpi",
     "data_segment_table": "SELECT * FROM m_seg ORDER BY revenue DESC",
 }
 # Tables that are built from all eight raw files as CSV.
@@ -667,6 +668,9 @@ QUERIES["headline_json_round_trip"] = (
     f"unnest([{', '.join(f'CAST({n} AS DOUBLE)' for n in HEADLINE_NUMBERS)}]) AS value "
     f"FROM ({QUERIES['headline_metrics']})"
 )
+QUERIES["headline_period_json_round_trip"] = (
+    f"SELECT period_start, period_end FROM ({QUERIES['headline_metrics']})"
+)
 _SEGMENT_COLUMNS = [
     "segment", "customers", "pct_customers", "revenue", "pct_revenue", "avg_monetary",
     "avg_frequency", "avg_recency_days",
@@ -730,6 +734,24 @@ QUERIES["findings_document"] = " UNION ALL ".join(
         f"{{'name': '{c}', 'text': CAST({c} AS VARCHAR)}}" for c in _SEGMENT_COLUMNS
     )}]) AS c FROM m_seg)"""
 
+QUERIES["findings_json_round_trip"] = QUERIES["findings_document"]
+
+# What is stored of the spoilt CSV files, see the query.
+_UNREADABLE = """CASE WHEN order_id % 7 = 0 THEN 'order_purchase_timestamp'
+                      WHEN order_id % 11 = 0 THEN 'order_estimated_delivery_date'
+                      ELSE 'usable' END"""
+QUERIES["raw_csv_rejects"] = f"""
+    SELECT 'orders' AS "table", {_UNREADABLE} AS reason, count(*) AS rows
+    FROM src_orders GROUP BY ALL
+    UNION ALL SELECT 'category_translation', 'usable', 5
+""" + "".join(
+    f"UNION ALL SELECT '{table}', 'usable', count(*) FROM {part}\n"
+    for table, part in [
+        ("items", "src_items"), ("payments", "pay"), ("reviews", "rev"),
+        ("customers", "src_people"), ("products", "part"), ("sellers", "supplier"),
+    ]
+)
+
 
 def _needs(text: str) -> set[str]:
     return {name for name in PARTS if re.search(rf"\b{name}\b", text)}

@@ -3,17 +3,18 @@
 import json
 from datetime import datetime
 from glob import glob
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from vendlens.operators.quality import data_quality
 from vendlens.plans.report import run_report
-from vendlens.plans.warehouse import star_schema, store_raw
+from vendlens.plans.warehouse import star_schema, store_csv, store_raw
 from vendlens.session import materialise, scratch_root, scratch_space
-from vendlens.sinks.files import export_csv, export_json, store_table
+from vendlens.sinks.files import export_csv, export_json, store_bucketed, store_table
 from vendlens.sources.raw_csv import raw_tables as csv_tables
-from vendlens.sources.raw_csv import read_raw_csv, rejected_rows
+from vendlens.sources.raw_csv import REASON, REJECT, judged_csv, read_raw_csv, rejected_rows
 from vendlens.sources.tables import read_raw, read_table
 from vendlens.sources.trade_tables import raw_tables
 
@@ -230,3 +231,47 @@ def test_a_write_that_fails_leaves_the_old_table(spark, tmp_path):
     again = store_table(read_table(spark, folder, "t").selectExpr("id + 1 AS id"), folder, "t")
     assert sorted(r.id for r in again.collect()) == [1, 2, 3, 4, 5]
     assert [p.name for p in tmp_path.iterdir()] == ["t"]
+
+
+def test_csv_is_stored_with_what_is_rejected(spark, csv_folder, tmp_path):
+    tables, rejects = store_csv(spark, csv_folder, f"{tmp_path}/tables")
+    lazy = csv_tables(spark, csv_folder)
+    for name, df in tables.named().items():
+        assert df.schema == getattr(lazy, name).schema
+        rows = [sorted(map(str, t.collect())) for t in (
+            df, getattr(lazy, name), getattr(read_raw(spark, f"{tmp_path}/tables"), name))]
+        assert rows[0] == rows[1] == rows[2], name
+    found = [(r.table, r.reason) for r in rejects.collect()]
+    assert sorted(t for t, _ in found) == ["items", "orders"]
+    assert all(r.text for r in rejects.collect())
+
+
+def test_rejects_give_the_column_and_the_fields(spark, tmp_path):
+    (tmp_path / "t.csv").write_text(
+        "order_id,shipping_limit_date,price\n"
+        "a,2017-01-02 03:04:05,1\nb,soon,2\nc,,x\nd,2017-01-02\n"
+    )
+    rows = judged_csv(spark, f"{tmp_path}/t.csv").orderBy("order_id").collect()
+    assert [(r.order_id, r[REASON]) for r in rows] == [
+        ("a", None), ("b", "shipping_limit_date"), ("c", None), ("d", "fields")]
+    assert [r[REJECT] for r in rows] == [None, "b,soon,2", None, "d,2017-01-02"]
+
+
+def test_bucketed_table_is_replaced_by_its_next_version(spark, tmp_path):
+    database, folder = "shelves", f"{tmp_path}/shelves"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{tmp_path}/catalogue'")
+    try:
+        first = spark.range(100).withColumn("half", F.col("id") % 2)
+        stored = store_bucketed(first, folder, "t", "id", 4, database)
+        assert stored.count() == 100
+        broken = first.withColumn("half", F.raise_error(F.lit("stop")).cast("long"))
+        with pytest.raises(Exception, match="stop"):
+            store_bucketed(broken, folder, "t", "id", 4, database)
+        assert spark.table(f"{database}.t").count() == 100
+        # The next version may be made from the one it replaces.
+        grown = stored.unionAll(stored.selectExpr("id + 100", "half"))
+        assert store_bucketed(grown, folder, "t", "id", 4, database).count() == 200
+        assert spark.table(f"{database}.t").count() == 200
+        assert len(list(Path(folder).iterdir())) == 1
+    finally:
+        spark.sql(f"DROP DATABASE {database} CASCADE")

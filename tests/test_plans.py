@@ -39,3 +39,25 @@ def test_marts_do_not_multiply_rows_and_read_the_cohort_mart_once(spark, small,
     cohort.write.parquet(f"{tmp_path}/cohort")
     matrix = cohort_matrix(spark.read.parquet(f"{tmp_path}/cohort"))
     assert matrix._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+
+
+def test_facts_in_buckets_of_their_order_are_joined_without_a_shuffle(spark, small, tmp_path):
+    from vendlens.plans.warehouse import by_order, store_facts
+    from vendlens.sources.trade_tables import raw_tables
+
+    def shuffles_by_order(star):
+        plan = star.order_rollup._jdf.queryExecution().executedPlan().toString()
+        return plan.count("hashpartitioning(order_id")
+
+    spark.sql(f"CREATE DATABASE stars LOCATION '{tmp_path}/catalogue'")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        raw = raw_tables(spark, small)
+        plain = store_facts(raw, f"{tmp_path}/plain")
+        cut = store_facts(raw, f"{tmp_path}/cut", store=by_order(16, "stars"))
+        assert shuffles_by_order(plain) >= 3 and shuffles_by_order(cut) == 0
+        rows = [sorted(map(str, star.order_rollup.collect())) for star in (plain, cut)]
+        assert rows[0] == rows[1]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("DROP DATABASE stars CASCADE")

@@ -193,8 +193,10 @@ def order_rollup(
 
     Items, payments and reviews are aggregated to one row per order before they
     join, partly before the shuffle, so an order with very many of them costs
-    one row.  The three joins share one partitioning by order.  Each is a left
-    join on a unique key: a query that needs no reviews, say, does not read them.
+    one row.  The three joins share one partitioning by order, which tables stored in
+    buckets of it have already; customers join last, so rows end up by customer, as the
+    profile groups them.  Each is a left join on a unique key: a query that needs no
+    reviews, say, does not read them.
 
     Besides the summary's columns it has review totals and `address_rows`, with which marts
     can weigh an order instead of joining its reviews and its customer's addresses.  The state
@@ -205,11 +207,10 @@ def order_rollup(
         amount(F.sum(cents(F.col("payment_value")))).alias("paid")
     )
     columns = [c for c in SUMMARY_COLUMNS if grain == "order" or c != "customer_state"]
-    return (
-        _weighted(fact_orders, dim_customer, grain)
-        .join(_items_per_order(fact_order_items), "order_id", "left")
+    orders = (
+        fact_orders.join(_items_per_order(fact_order_items), "order_id", "left")
         .join(paid, "order_id", "left")
         .join(_reviews_per_order(fact_reviews, grain), "order_id", "left")
         .withColumn("payment_value", F.coalesce("paid", F.lit(0.0)))
-        .select(*columns, *WEIGHTS)
     )
+    return _weighted(orders, dim_customer, grain).select(*columns, *WEIGHTS)

@@ -7,6 +7,8 @@ repeating join, without its rows.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
@@ -76,16 +78,18 @@ def _in_states(totals: DataFrame, homes: DataFrame | None) -> DataFrame:
 def _with_distinct(totals: DataFrame, rows: DataFrame, by: str) -> DataFrame:
     """`totals`, one row per `by`, with how many different orders and customers there are.
 
-    Each is counted from the pairs with `by`; two distinct counts in one aggregation would
-    multiply the rows before the shuffle.
+    `rows` has the groups of `totals`.  Each is counted from the pairs with `by`; two distinct
+    counts in one aggregation would multiply the rows before the shuffle.  Totals and counts
+    come side by side by one more aggregation over a few rows per group, without a join.
     """
+    parts = [totals]
     for name, column in (("orders", "order_id"), ("customers", KEY)):
         pairs = rows.where(F.col(column).isNotNull()).groupBy(by, column).agg(_rows())
-        counted = pairs.groupBy(F.col(by).alias(f"{name}_by")).agg(_rows().alias(name))
-        totals = totals.join(
-            counted, F.col(by).eqNullSafe(F.col(f"{name}_by")), "left"
-        ).drop(f"{name}_by").withColumn(name, F.coalesce(name, F.lit(0)))
-    return totals
+        parts.append(pairs.groupBy(by).agg(_rows().alias(name)))
+    union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    counts = [F.coalesce(F.max(n), F.lit(0)).alias(n) for n in ("orders", "customers")]
+    sums = [F.max(c).alias(c) for c in totals.columns if c != by]
+    return union.groupBy(by).agg(*sums, *counts)
 
 
 def monthly_kpi(summary: DataFrame) -> DataFrame:

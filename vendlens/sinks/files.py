@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import Column, DataFrame
@@ -39,6 +40,38 @@ def store_table(df: DataFrame, folder: str, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def store_bucketed(
+    df: DataFrame, folder: str, name: str, key: str, buckets: int, database: str = "default"
+) -> DataFrame:
+    """Replace a catalogue table whose rows lie in `buckets` buckets of `key` (A2).
+
+    Tables in equally many buckets of one key are joined and grouped by it without a shuffle.
+    The new version is a table of its own, `name` a view on it that is replaced when the version
+    is whole; then the old version goes.  Rows are brought together by bucket before they are
+    written, and a hot key is still written by several tasks, but one task reads a bucket: where
+    a key may hold a large share of the rows, use `store_table`.
+    """
+    spark, version = df.sparkSession, f"{name}_{uuid.uuid4().hex}"
+    view, table, path = f"{database}.{name}", f"{database}.{version}", f"{folder}/{version}"
+    place = spark._jvm.org.apache.hadoop.fs.Path
+    files = place(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    try:
+        (
+            df.hint("rebalance", buckets, F.col(key)).write.bucketBy(buckets, key)
+            .option("path", path).saveAsTable(table)
+        )
+        spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT * FROM {table}")
+    except BaseException:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        files.delete(place(path), True)
+        raise
+    for row in spark.sql(f"SHOW TABLES IN {database}").collect():
+        if re.fullmatch(f"{name}_[0-9a-f]{{32}}", row.tableName) and row.tableName != version:
+            spark.sql(f"DROP TABLE IF EXISTS {database}.{row.tableName}")
+            files.delete(place(f"{folder}/{row.tableName}"), True)
+    return spark.table(view)
+
+
 def _plain(df: DataFrame) -> list[Column]:
     """Columns as a CSV reader expects them: doubles without an exponent."""
     return [

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +12,7 @@ from vendlens.schemas import MULTILINE_FILES, RAW_FILES, RAW_TYPES, RawTables
 
 
 REJECT = "_rejected"  # the text of a row with a wrong number of fields
+REASON = "_reason"    # why a row is rejected
 # A row is of no use without a readable timestamp; numbers may be missing.
 _NEEDED = "timestamp_ntz"
 
@@ -39,14 +39,18 @@ def _as_text(spark: SparkSession, path: str, multiline: bool) -> tuple[DataFrame
 
 
 def _typed(names: list[str]) -> tuple[dict[str, Column], Column]:
-    """Typed columns by name, and whether a row can be used."""
+    """Typed columns by name, and why a row cannot be used: null if it can."""
     filled = {n: F.nullif(F.trim(n), F.lit("")) for n in names if n in RAW_TYPES}
     typed = {n: value.try_cast(RAW_TYPES[n]) for n, value in filled.items()}
-    readable = [
-        value.isNull() | typed[n].isNotNull()
-        for n, value in filled.items() if RAW_TYPES[n] == _NEEDED
-    ]
-    return typed, reduce(and_, readable, F.col(REJECT).isNull())
+    reason = F.when(F.col(REJECT).isNotNull(), "fields")
+    for n, value in filled.items():
+        if RAW_TYPES[n] == _NEEDED:
+            reason = reason.when(value.isNotNull() & typed[n].isNull(), n)
+    return typed, reason
+
+
+def _row(names: list[str], typed: dict[str, Column]) -> list[Column]:
+    return [typed[n].alias(n) if n in typed else F.col(n) for n in names]
 
 
 def read_raw_csv(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
@@ -60,10 +64,26 @@ def read_raw_csv(spark: SparkSession, path: str, multiline: bool = False) -> Dat
     so such a table should come as many files.
     """
     text, names = _as_text(spark, path, multiline)
-    typed, usable = _typed(names)
-    return text.where(usable).select(
-        *[typed[n].alias(n) if n in typed else F.col(n) for n in names]
-    )
+    typed, reason = _typed(names)
+    return text.where(reason.isNull()).select(*_row(names, typed))
+
+
+def judged_csv(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+    """All rows of one CSV table, with why a row is rejected and its text (null if usable).
+
+    Reasons are "fields", for a wrong number of them, or the column of the first timestamp that
+    cannot be read; the text is then the row's fields as CSV.  Stored whole, the table is read
+    once for both; `usable_rows` gives what `read_raw_csv` does.
+    """
+    text, names = _as_text(spark, path, multiline)
+    typed, reason = _typed(names)
+    line = F.when(reason.isNotNull(), F.coalesce(F.col(REJECT), F.to_csv(F.struct(*names))))
+    return text.select(*_row(names, typed), reason.alias(REASON), line.alias(REJECT))
+
+
+def usable_rows(judged: DataFrame) -> DataFrame:
+    """The rows of a judged table that can be used, as `read_raw_csv` gives them."""
+    return judged.where(F.col(REASON).isNull()).drop(REASON, REJECT)
 
 
 def rejected_rows(spark: SparkSession, folder: str) -> DataFrame:
@@ -71,12 +91,12 @@ def rejected_rows(spark: SparkSession, folder: str) -> DataFrame:
 
     def counts(name: str, pattern: str) -> DataFrame:
         text, names = _as_text(spark, f"{folder}/{pattern}", name in MULTILINE_FILES)
-        usable = _typed(names)[1]
+        reason = _typed(names)[1]
         # Spark refuses to read the text of rejects alone, so a column is counted as well.
         rows = F.greatest(F.count(F.lit(1)), F.count(names[0]))
         return text.agg(
             F.lit(name).alias("table"), rows.alias("rows"),
-            F.count_if(~usable).alias("rejected"),
+            F.count(reason).alias("rejected"),
         )
 
     return reduce(DataFrame.unionAll, [counts(n, p) for n, p in RAW_FILES.items()])

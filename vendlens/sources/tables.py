@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from vendlens.schemas import RawTables, Star
+from vendlens.sources.raw_csv import REASON, usable_rows
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -18,6 +19,10 @@ def read_star(spark: SparkSession, folder: str, grain: str = "reference") -> Sta
 
 
 def read_raw(spark: SparkSession, folder: str) -> RawTables:
-    return RawTables(**{
-        n: lambda n=n: read_table(spark, folder, f"raw_{n}") for n in RawTables.NAMES
-    })
+    """Stored raw tables, without the rejected rows of those that have them."""
+
+    def read(name: str) -> DataFrame:
+        stored = read_table(spark, folder, f"raw_{name}")
+        return usable_rows(stored) if REASON in stored.columns else stored
+
+    return RawTables(**{n: lambda n=n: read(n) for n in RawTables.NAMES})
