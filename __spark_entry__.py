@@ -82,9 +82,10 @@ def _findings_from_json(spark: SparkSession, folder: str) -> DataFrame:
     # Keys of JSON objects are text.
     written = document.schema.simpleString().replace("map<int,", "map<string,")
     read = spark.read.schema(T.DataType.fromDDL(written)).json(path)
-    return _findings_rows(read.select(*[
-        F.col(f.name).cast(f.dataType).alias(f.name) for f in document.schema
-    ]))
+    marks = F.transform_keys("pareto.concentration", lambda key, _: key.cast("int"))
+    return _findings_rows(
+        read.withColumn("pareto", F.col("pareto").withField("concentration", marks))
+    )
 
 
 def _findings_document(spark: SparkSession, folder: str) -> DataFrame:
