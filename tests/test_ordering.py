@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from vendlens.operators import ordering as ordering_module
 from vendlens.operators.ordering import (
     Ordering,
     first_rows,
@@ -11,6 +12,7 @@ from vendlens.operators.ordering import (
     rank_and_running_sum,
     ranged,
     rows_at,
+    sum_of_first,
 )
 
 
@@ -129,3 +131,30 @@ def test_first_rows_are_those_of_a_sort(spark, n, ranges):
     assert "TakeOrdered" not in ours._jdf.queryExecution().executedPlan().toString()
     theirs = df.orderBy(*ordering.sort_columns()).limit(n)
     assert sorted(ours.collect(), key=repr) == sorted(theirs.collect(), key=repr)
+
+
+def test_tiles_store_values_and_boundary_rows_only(spark, monkeypatch):
+    """Ten rows a value: what is put in order is one row per value, and the rows of four values."""
+    stored = []
+
+    def recorded(df, ordering, store=ranged):
+        result = store(df, ordering)
+        stored.append(result.count())
+        return result
+
+    monkeypatch.setattr(ordering_module, "ranged", recorded)
+    df = spark.range(3000).select(
+        F.col("id").alias("range"), (F.col("id") % 300).alias("rows")
+    )
+    ours = ntile(df, 5, Ordering("rows", "range", descending=True))
+    w = Window.orderBy(F.desc("rows"), "range")
+    assert df.select(ours.alias("a"), F.ntile(5).over(w).alias("b")).where("a <> b").count() == 0
+    assert stored == [300, 40]
+
+
+@pytest.mark.parametrize("n", [0, 1, 7, 500, 1002, 1003, 5000])
+def test_sum_of_first_is_that_of_a_sort(spark, n, ranges):
+    df = table(spark, 1003).withColumn("value", F.col("value") * F.crc32("key") % 1000)
+    theirs = df.orderBy(F.desc_nulls_last("value")).limit(n).agg(F.sum("value")).first()[0]
+    assert sum_of_first(df, "value", n).first()[0] == theirs
+    assert sum_of_first(df.limit(0), "value", n).first()[0] is None

@@ -61,3 +61,34 @@ def test_facts_in_buckets_of_their_order_are_joined_without_a_shuffle(spark, sma
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.sql("DROP DATABASE stars CASCADE")
+
+
+def test_checks_and_headline_read_each_fact_once(spark, small, tmp_path):
+    from vendlens.operators.headline import headline_metrics
+    from vendlens.operators.quality import data_quality
+    from vendlens.plans.report import store_profile
+    from vendlens.plans.warehouse import star_schema, store_star
+    from vendlens.sources.trade_tables import raw_tables
+
+    def reads(df, table):
+        plan = df._jdf.queryExecution().executedPlan().toString().split("\n")
+        return sum("FileScan" in line and f"/{table}]" in line for line in plan)
+
+    star = store_star(raw_tables(spark, small), str(tmp_path))
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    try:
+        checks = data_quality(star)
+        for table in ("fact_orders", "fact_order_items", "fact_payments", "order_rollup"):
+            assert reads(checks, table) == 1, table
+        report = headline_metrics(star, 100, store_profile(star, str(tmp_path)))
+        for table in ("order_rollup", "customer_profile", "fact_reviews"):
+            assert reads(report, table) == 1, table
+        assert reads(report, "fact_orders") == 0
+        # On a lazy star the reviews alone are read again, for the scores of all of them; the
+        # spending has been put in order before.
+        raw = raw_tables(spark, small)
+        report = headline_metrics(star_schema(raw), 100)
+        plan = report._jdf.queryExecution().executedPlan().toString()
+        assert plan.count(f"{small}/") == 1 and plan.count("/rollup]") == 2
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")

@@ -11,7 +11,8 @@ A window without PARTITION BY sends every row to one task.  Here, at every size
    before it hold.
 
 NTILE needs no ranks: it is decided by comparing each row with the k-1 rows at which a new
-tile starts, and those are looked up in their ranges only.
+tile starts.  Those are found from how many rows each value has: the values are put in order
+instead of the rows, and only rows of the values at which a tile starts are ordered by key.
 """
 
 from __future__ import annotations
@@ -38,15 +39,21 @@ class Ordering:
     key: str
     descending: bool = False
 
-    def place(self) -> Column:
-        """A row's place as one comparable value; smaller places come first."""
-        value, key = F.col(self.value), F.col(self.key)
-        return F.struct(
+    def _value_fields(self) -> list[Column]:
+        value = F.col(self.value)
+        return [
             value.isNull().alias("no_value"),
             (-value if self.descending else value).alias("value"),
-            key.isNull().alias("no_key"),
-            key.alias("key"),
-        )
+        ]
+
+    def value_place(self) -> Column:
+        """The place of a row's value among the values."""
+        return F.struct(*self._value_fields())
+
+    def place(self) -> Column:
+        """A row's place as one comparable value; smaller places come first."""
+        key = F.col(self.key)
+        return F.struct(*self._value_fields(), key.isNull().alias("no_key"), key.alias("key"))
 
     def sort_columns(self) -> list[Column]:
         value, key = F.col(self.value), F.col(self.key)
@@ -91,13 +98,7 @@ def rows_at(stored: DataFrame, ordering: Ordering, ranks_of) -> Points:
     """
     places = stored.select(ordering.place().alias("place"), "range")
     schema = places.schema["place"].dataType.simpleString()
-    counts = {r["range"]: r["count"] for r in places.groupBy("range").count().collect()}
-    ends = dict(zip(sorted(counts), accumulate(counts[r] for r in sorted(counts))))
-    wanted = []
-    for rank in ranks_of(sum(counts.values())):
-        home = next((r for r, end in ends.items() if rank <= end), None)
-        if home is not None:
-            wanted.append((home, rank - (ends[home] - counts[home])))
+    wanted = _homes(places.groupBy("range").agg(F.count(F.lit(1)).alias("rows")), ranks_of)
     if not wanted:
         return Points(ordering, [], schema)
     local = Window.partitionBy("range").orderBy("place")
@@ -114,6 +115,73 @@ def rows_at(stored: DataFrame, ordering: Ordering, ranks_of) -> Points:
     return Points(ordering, [row[0] for row in found.collect()], schema)
 
 
+def _homes(held: DataFrame, ranks_of) -> list[tuple[int, int]]:
+    """(range, rank inside it) of the wanted ranks, from one row per range."""
+    counts = {r["range"]: r["rows"] for r in held.collect()}
+    ends = dict(zip(sorted(counts), accumulate(counts[r] for r in sorted(counts))))
+    wanted = []
+    for rank in ranks_of(sum(counts.values())):
+        home = next((r for r, end in ends.items() if rank <= end), None)
+        if home is not None:
+            wanted.append((home, rank - (ends[home] - counts[home])))
+    return wanted
+
+
+def counted_rows_at(df: DataFrame, ordering: Ordering, ranks_of) -> Points:
+    """The places of the rows of `df` with certain (1-based) ranks, by way of counts per value.
+
+    The values and their counts are put in order, then the rows of the few values that hold
+    such a rank: `df` is read twice, and never stored as a whole.  Runs jobs; the driver sees
+    one count per range and one row per rank.
+    """
+    rows = df.select(F.col(ordering.value).alias("value"), F.col(ordering.key).alias("key"))
+    inner = Ordering("value", "key", ordering.descending)
+    values = Ordering("value", "value", ordering.descending)
+    schema = rows.select(inner.place().alias("p")).schema["p"].dataType.simpleString()
+    counts = ranged(rows.groupBy("value").agg(F.count(F.lit(1)).alias("rows")), values)
+    wanted = _homes(counts.groupBy("range").agg(F.sum("rows").alias("rows")), ranks_of)
+    if not wanted:
+        return Points(ordering, [], schema)
+    upwards = Window.partitionBy("range").orderBy(*values.sort_columns()).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    before = F.col("last") - F.col("rows")
+    holds = reduce(Column.__or__, [
+        (F.col("range") == home) & (before < rank) & (F.col("last") >= rank)
+        for home, rank in wanted
+    ])
+    held = counts.where(F.col("range").isin(*{home for home, _ in wanted})).withColumn(
+        "last", F.sum("rows").over(upwards)
+    ).where(holds).select(
+        "range", "rows", "last",
+        F.to_json(inner.value_place(), {"ignoreNullFields": "false"}).alias("place"),
+    ).collect()
+    held.sort(key=lambda r: (r["range"], r["last"]))
+    ranks, passed = [], 0
+    for r in held:
+        ranks += [passed + rank - (r["last"] - r["rows"]) for home, rank in wanted
+                  if home == r["range"] and r["last"] - r["rows"] < rank <= r["last"]]
+        passed += r["rows"]
+    value_schema = rows.select(inner.value_place().alias("p")).schema["p"].dataType.simpleString()
+    is_held = reduce(Column.__or__, [
+        inner.value_place() == F.from_json(F.lit(r["place"]), value_schema) for r in held
+    ])
+    found = rows_at(ranged(rows.where(is_held), inner), inner, lambda _: ranks)
+    return Points(ordering, found.places, schema)
+
+
+def sum_of_first(df: DataFrame, value: str, rows: int) -> DataFrame:
+    """The sum of the `rows` largest values (NULLs last) as one row with column `value`.
+
+    From how many rows each value has, so that ties need no order.  Runs a job.
+    """
+    counts = df.groupBy(value).agg(F.count(F.lit(1)).alias("_rows"))
+    ranked = rank_and_running_sum(counts, Ordering(value, value, descending=True), "_rows")
+    before = F.col("running_sum") - F.col("_rows")
+    taken = F.least(F.col("_rows"), F.lit(rows) - before)
+    return ranked.where(before < rows).agg(F.sum(F.col(value) * taken).alias(value))
+
+
 def first_rows(df: DataFrame, ordering: Ordering, rows: int) -> DataFrame:
     """The first `rows` rows of `df` in the order, without one task that merges them.
 
@@ -138,8 +206,7 @@ def ntile(df: DataFrame, tiles: int, ordering: Ordering) -> Column:
         firsts = [t * size + min(t, larger) + 1 for t in range(1, tiles)]
         return [first for first in firsts if first <= rows]
 
-    columns = list(dict.fromkeys([ordering.value, ordering.key]))
-    return rows_at(ranged(df.select(*columns), ordering), ordering, starts).passed() + 1
+    return counted_rows_at(df, ordering, starts).passed() + 1
 
 
 def rank_and_running_sum(df: DataFrame, ordering: Ordering, summed: str) -> DataFrame:
