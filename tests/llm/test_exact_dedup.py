@@ -60,3 +60,14 @@ def test_one_group_of_a_third_of_all_rows(spark, tmp_path):
     found = run(spark, rows, tmp_path).collect()
     assert sum(r.kept for r in found) == 2001
     assert {r.group_size for r in found} == {1, 1000}
+
+
+def test_groups_are_the_same_with_and_without_digests(spark, samples):
+    rows = [*enumerate(samples), (100, None), (5, "Hello world"), (None, "Hello world")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    columns = ["doc_id", "keep_id", "group_size", "kept"]
+    with_digests = exact_dedup(docs, digests=True)
+    without = exact_dedup(docs)
+    assert sorted(map(str, with_digests.select(*columns).collect())) == \
+        sorted(map(str, without.select(*columns).collect()))
+    assert with_digests.where("text_sha256 IS NULL").count() == 0

@@ -4,6 +4,8 @@ Texts are compared after each run of white space became one space.  Rows are gro
 length first, those that share it by the hash of their start, and only rows that share both
 are read in full and get a SHA-256.  The first two steps carry two numbers per row and count
 with partial aggregation; texts are moved once, to meet the groups that are still open.
+Where the digests of all rows are asked for, each text is read once, where it lies, and only
+digests are moved.
 
 Defined results: null text is the empty text.  Of equal texts the smallest id stays; null
 ids come last.  Where the staying id is on several rows of the group, one of them stays.  An
@@ -43,20 +45,27 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         "doc_id", "body", F.length("body").alias("n"),
         F.xxhash64(F.substring("body", 1, PREFIX)).alias("p"),
     )
-    starts = materialise(texts.select("n", "p"), "starts")
+    full = F.sha2("body", 256)
+    if digests:
+        texts = materialise(
+            texts.select("doc_id", "n", "p", full.alias("text_sha256")), "digests"
+        )
+        full, starts = F.col("text_sha256"), texts.select("n", "p")
+    else:
+        full, starts = F.when(F.col("open"), full), materialise(texts.select("n", "p"), "starts")
     by_length = _shared(starts, "n")
     by_prefix = _shared(starts.join(by_length, "n", "left_semi"), "n", "p")
 
-    # Whole texts are needed now.  A merge join whatever the size of the other side, so that
-    # the step costs the same at every scale; a hot group is split, as only one side has it.
+    # Whole texts are needed now, or their digests.  A merge join whatever the size of the other
+    # side, so that the step costs the same at every scale; a hot group is split, as only one
+    # side has it.
     refined = texts.hint("merge").join(
         by_prefix.withColumn("open", F.lit(True)), ["n", "p"], "left"
     )
-    full = F.sha2("body", 256)
     members = materialise(
         refined.select(
             "doc_id", "n", "p", F.coalesce("open", F.lit(False)).alias("open"),
-            (full if digests else F.when(F.col("open"), full)).alias("text_sha256"),
+            full.alias("text_sha256"),
         ), "members"
     )
     alone = members.where(~F.col("open")).select(
