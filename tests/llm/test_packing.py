@@ -140,3 +140,39 @@ def test_empty_table(spark, tmp_path):
         f"{tmp_path}/documents.parquet"
     )
     assert queries.op4_packing(spark, str(tmp_path)).count() == 0
+
+
+def test_no_words_stay_in_a_worker_that_other_operators_share(spark):
+    """The pipeline's next task finds the memory free; on its own, packing goes on with its words."""
+    import pyarrow as pa
+
+    def workers_with(word):
+        shared = packing.vocabulary(docs, PATH)
+
+        def probe(batches):
+            for batch in batches:
+                held = word in packing._encoder(shared.value).of_word
+                yield pa.RecordBatch.from_arrays([pa.array([held] * batch.num_rows)], ["held"])
+
+        rows = spark.range(0, 64, 1, 64).mapInArrow(probe, "held boolean").collect()
+        return sum(r.held for r in rows)
+
+    docs = spark.createDataFrame([(1, "sharedword x"), (2, "sharedword y")],
+                                 "doc_id long, text string").coalesce(1)
+    alone = spark.createDataFrame([(1, "loneword x")], "doc_id long, text string").coalesce(1)
+    for _ in range(3):
+        ids = packing.pieces(docs, PATH).collect()
+        assert not workers_with("sharedword")
+    lone = packing.pieces(alone, PATH, alone=True).collect()
+    assert workers_with("loneword")
+    assert len(ids) == 2 and len(lone) == 1
+
+
+def test_the_memory_of_words_is_bounded():
+    encoder = packing.WordEncoder(open(PATH, encoding="utf-8").read())
+    encoder.remember(10)
+    text = " ".join(f"w{i}" for i in range(100))
+    whole = encoder.encode(text)
+    assert len(encoder.of_word) <= 10
+    encoder.forget()
+    assert not encoder.of_word and encoder.encode(text) == whole

@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vendlens.llm.common import free_name, slices, strings
+from vendlens.llm.common import free_name, slices, strings, tidy
 from vendlens.session import materialise
 
 ORDER = 5
@@ -151,7 +151,7 @@ def _gram_counts(train: DataFrame) -> DataFrame:
                 counts = {}
         yield from emit(counts)
 
-    return train.mapInArrow(run, schema).groupBy("lang", "n", "key").agg(
+    return train.mapInArrow(tidy(run), schema).groupBy("lang", "n", "key").agg(
         F.min("prefix").alias("prefix"), F.min("suffix").alias("suffix"),
         F.min("initial").alias("initial"), F.sum("count").alias("count"),
     )
@@ -354,7 +354,7 @@ def _cross_entropies(train: DataFrame, model: Model) -> DataFrame:
 
     named = train if known else train.select("text", "lang", F.xxhash64("text").alias("hash"))
     scored = named.mapInArrow(
-        run, "kind int, lang int, step int, hash long, amount double"
+        tidy(run), "kind int, lang int, step int, hash long, amount double"
     )
     # Copies of a text are one.
     texts = scored.groupBy("kind", "lang", "step", "hash").agg(F.sum("amount").alias("amount"))
@@ -418,7 +418,7 @@ def identify(docs: DataFrame, model: Model | None, text_col: str = "text") -> Da
         for batch in slices(batches, ROWS):
             yield _decided(batch, scorer.entropies(strings(batch, text_col)), known, names)
 
-    return docs.mapInArrow(run, _with_decision(docs, names))
+    return docs.mapInArrow(tidy(run), _with_decision(docs, names))
 
 
 def _with_decision(docs: DataFrame, names: list[str]) -> T.StructType:

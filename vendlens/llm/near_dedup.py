@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vendlens.llm.common import Cache, slices, strings
+from vendlens.llm.common import Cache, slices, strings, tidy
 from vendlens.session import materialise
 
 WORDS = 5
@@ -163,7 +163,7 @@ def _sketched(docs: DataFrame) -> DataFrame:
                     pa.array(sizes, pa.int64()), pa.array(buckets, pa.list_(pa.int64())),
                 ], ["doc_id", "body", "n", "buckets"])
 
-    return docs.mapInArrow(run, f"doc_id {kind}, body binary, n long, buckets array<long>")
+    return docs.mapInArrow(tidy(run), f"doc_id {kind}, body binary, n long, buckets array<long>")
 
 
 def _kmers_of(docs: DataFrame) -> DataFrame:
@@ -181,7 +181,7 @@ def _kmers_of(docs: DataFrame) -> DataFrame:
                     ["body", "kmers"],
                 )
 
-    return docs.mapInArrow(run, "body binary, kmers binary").dropDuplicates(["body"])
+    return docs.mapInArrow(tidy(run), "body binary, kmers binary").dropDuplicates(["body"])
 
 
 def _unique(kmers: bytes) -> np.ndarray:
@@ -331,7 +331,7 @@ def with_body(docs: DataFrame, name: str) -> DataFrame:
             bodies = pa.array([xxhash.xxh3_128_digest(w.tobytes()) for w in words], pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns, bodies], [*columns, name])
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema, T.StructField(name, T.BinaryType())]))
+    return docs.mapInArrow(tidy(run), T.StructType([*docs.schema, T.StructField(name, T.BinaryType())]))
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

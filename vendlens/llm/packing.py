@@ -36,12 +36,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vendlens.llm.bpe import _kind, byte_characters, vocabulary
-from vendlens.llm.common import Cache, slices, strings
+from vendlens.llm.common import Cache, slices, strings, tidy
 from vendlens.session import materialise
 
 CAPACITY = 4096
 END_ID = 1
-CACHED = 500_000  # words and parts a task remembers the ids of
+CACHED = 100_000         # words and parts a task remembers the ids of
+CACHED_ALONE = 500_000   # the same where no other operator shares the executors
 ROWS = 512
 BUCKETS = 64  # groups of documents whose ranks are counted apart, per shuffle partition
 
@@ -66,6 +67,13 @@ class WordEncoder:
         self.characters = byte_characters()
         self.letters = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+")
 
+    def remember(self, cached: int) -> None:
+        self.of_word.entries = self.of_part.entries = cached
+
+    def forget(self) -> None:
+        self.of_word.clear()
+        self.of_part.clear()
+
     def _library(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return struct.pack(f"<{len(ids)}I", *ids)
@@ -107,11 +115,12 @@ def _encoder(description: str) -> WordEncoder:
 
 
 def pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text",
-           capacity: int = CAPACITY, end_id: int = END_ID, checksums: bool = False
-           ) -> DataFrame:
+           capacity: int = CAPACITY, end_id: int = END_ID, checksums: bool = False,
+           alone: bool = False) -> DataFrame:
     """Rows of doc_id, piece, start, length and ids (binary) for every piece.
 
-    With `checksums`, `ids_crc32` takes the place of the ids.
+    With `checksums`, `ids_crc32` takes the place of the ids.  `alone` says that no other
+    operator shares the executors: more words are remembered, and from task to task.
     """
     shared = vocabulary(docs, path)
     kinds = {"ids": pa.binary(), "ids_crc32": pa.int64()}
@@ -119,6 +128,7 @@ def pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, end = _encoder(shared.value), end_id.to_bytes(4, "little")
+        encoder.remember(CACHED_ALONE if alone else CACHED)
         for batch in slices(batches, ROWS):
             rows, numbers, starts, ids = [], [], [], []
             for row, text in enumerate(strings(batch, "text")):
@@ -134,10 +144,12 @@ def pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
                 pa.array([len(i) // 4 for i in ids], pa.int64()),
                 pa.array([zlib.crc32(i) for i in ids] if checksums else ids, kinds[last]),
             ], ["doc_id", "piece", "start", "length", last])
+        if not alone:
+            encoder.forget()
 
     named = docs.selectExpr(f"`{id_col}` AS doc_id", f"`{text_col}` AS text")
     return named.mapInArrow(
-        run, f"doc_id {_kind(named)}, piece int, start long, length long, "
+        run if alone else tidy(run), f"doc_id {_kind(named)}, piece int, start long, length long, "
         + ("ids_crc32 long" if checksums else "ids binary")
     )
 
@@ -288,7 +300,8 @@ def pack(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
     return place(materialise(pieces(docs, path, capacity=capacity), "pieces"), capacity)
 
 
-def pack_places(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
+def pack_places(docs: DataFrame, path: str, capacity: int = CAPACITY, alone: bool = False
+                ) -> DataFrame:
     """As `pack`, with the ids' checksum in place of the ids, which are not moved."""
-    cut = pieces(docs, path, capacity=capacity, checksums=True)
+    cut = pieces(docs, path, capacity=capacity, checksums=True, alone=alone)
     return place(materialise(cut, "pieces"), capacity)

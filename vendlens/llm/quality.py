@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vendlens.llm.common import Cache, bounded_sample, free_name, slices, strings
+from vendlens.llm.common import Cache, bounded_sample, free_name, slices, strings, tidy
 from vendlens.session import materialise
 
 TRAIN_ROWS = 20_000   # most labelled documents the classifier is fitted on
@@ -161,7 +161,7 @@ def _word_counts(train: DataFrame) -> tuple[np.ndarray, np.ndarray]:
             ["bucket", "bad", "good"],
         )
 
-    summed = train.mapInArrow(run, "bucket int, bad long, good long").groupBy("bucket").agg(
+    summed = train.mapInArrow(tidy(run), "bucket int, bad long, good long").groupBy("bucket").agg(
         F.sum("bad").alias("bad"), F.sum("good").alias("good")
     ).toArrow().to_pandas()  # at most 2^BITS rows
     bad, good = np.zeros(1 << BITS), np.zeros(1 << BITS)
@@ -199,7 +199,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                 pa.array(found, pa.list_(pa.float64())), pa.array(truth, pa.int32()),
             ], ["figures", "good"])
 
-    table = train.mapInArrow(run, "figures array<double>, good int").toArrow().to_pandas()
+    table = train.mapInArrow(tidy(run), "figures array<double>, good int").toArrow().to_pandas()
     figures = np.array(table["figures"].tolist())
     order = np.lexsort(figures.T)  # the same sums whatever order the rows came in
     figures, truth = figures[order], table["good"].to_numpy()[order]
@@ -258,7 +258,7 @@ def evidence(docs: DataFrame, model: Model, name: str, text_col: str = "text") -
                 [*batch.columns, pa.array(known.logit(np.array(figures)))], [*columns, name]
             )
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema, T.StructField(name, T.DoubleType())]))
+    return docs.mapInArrow(tidy(run), T.StructType([*docs.schema, T.StructField(name, T.DoubleType())]))
 
 
 def _logit(p: Column) -> Column:

@@ -51,7 +51,7 @@ def op3_language(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
-    return packing.pack_places(table(spark, folder, "documents"), WORD_VOCABULARY)
+    return packing.pack_places(table(spark, folder, "documents"), WORD_VOCABULARY, alone=True)
 
 
 def op5_chat(spark: SparkSession, folder: str) -> DataFrame:
