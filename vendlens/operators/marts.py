@@ -183,6 +183,8 @@ def category_performance(
     One row per order and category meets one row per order, with the totals of its
     reviews: what the definition repeats enters as weights.  Which reviews a category has
     is a separate, narrow inner join, of which adaptive execution can split either side.
+    Items move to their order once: left to itself, Spark would shuffle them by order and
+    category first, of which an order has nearly as many as items.
     """
     check_grain(grain)
     sales = orders.where("is_revenue_order = 1").groupBy("order_id").agg(
@@ -190,11 +192,14 @@ def category_performance(
     )
     sold = (
         items.join(products.select("product_id", "category"), "product_id", "left")
+        .select("order_id", "category", cents(F.col("price")).alias("price_cents"),
+                cents(F.col("freight_value")).alias("freight_cents"))
+        .repartition("order_id")
         .groupBy("order_id", "category")
         .agg(
             _rows().alias("items"),
-            F.sum(cents(F.col("price"))).alias("price_cents"),
-            F.sum(cents(F.col("freight_value"))).alias("freight_cents"),
+            F.sum("price_cents").alias("price_cents"),
+            F.sum("freight_cents").alias("freight_cents"),
         )
         .join(sales, "order_id")
     )
@@ -328,24 +333,32 @@ def delivery_sla(orders: DataFrame) -> DataFrame:
 def payment_mix(payments: DataFrame, orders: DataFrame) -> DataFrame:
     """Value and instalments per payment type.
 
-    Payments are reduced to (order, type) before they join the orders.
+    Payments move to their order once and are reduced to (order, type) there, before they
+    join the orders; an order that is there several times enters as a weight.
     """
     installments = F.col("payment_installments")
-    paid = payments.groupBy("order_id", "payment_type").agg(
+    moved = payments.select(
+        "order_id", "payment_type", "payment_installments",
+        cents(F.col("payment_value")).alias("value_cents"),
+    ).repartition("order_id")
+    paid = moved.groupBy("order_id", "payment_type").agg(
         _rows().alias("payments"),
-        F.sum(cents(F.col("payment_value"))).alias("value_cents"),
+        F.sum("value_cents").alias("value_cents"),
         F.sum(installments).alias("installments"),
         F.count(installments).alias("with_installments"),
         F.sum(F.when(installments > 1, 1).otherwise(0)).alias("multi"),
     )
     value = amount(F.col("value_cents"))
     totals = ("payments", "value_cents", "installments", "with_installments", "multi")
+    sales = orders.where("is_revenue_order = 1").groupBy("order_id").agg(
+        _rows().alias("order_rows")
+    )
     return (
-        paid.join(orders.where("is_revenue_order = 1").select("order_id"), "order_id")
+        paid.join(sales, "order_id")
         .groupBy("payment_type")
         .agg(
-            F.countDistinct("order_id").alias("orders"),
-            *[F.sum(c).alias(c) for c in totals],
+            F.count("order_id").alias("orders"),
+            *[F.sum(F.col(c) * F.col("order_rows")).alias(c) for c in totals],
         )
         .select(
             "payment_type",
