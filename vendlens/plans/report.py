@@ -60,7 +60,9 @@ def store_order_marts(star: Star, profile: DataFrame, folder: str) -> dict[str,
 
 def store_marts(star: Star, profile: DataFrame, folder: str) -> dict[str, DataFrame]:
     """Compute every mart once, store it, and return the stored tables by name."""
-    return {**store_fact_marts(star, folder), **store_order_marts(star, profile, folder)}
+    with ThreadPoolExecutor(1) as pool:
+        early = pool.submit(store_fact_marts, star, folder)
+        return {**store_order_marts(star, profile, folder), **early.result()}
 
 
 def run_report(
