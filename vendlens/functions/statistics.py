@@ -52,7 +52,9 @@ def student_p(t: Column, freedom: Column) -> Column:
     fall = F.greatest(F.lit(1.0), F.abs(t) * (freedom - 1.0) / freedom)
     tail = _integral(log_density, start, F.least(end - start, F.lit(NEGLIGIBLE) / fall))
     whole = _integral(log_density, F.lit(0.0), F.least(end, F.lit(NEGLIGIBLE)))
-    return F.when(t.isNotNull() & (freedom >= 1.0), F.least(F.lit(1.0), tail / whole))
+    # `least` takes NaN for the largest number.
+    share = F.when(F.isnan(t), t).otherwise(F.least(F.lit(1.0), tail / whole))
+    return F.when(t.isNotNull() & (freedom >= 1.0), share)
 
 
 def welch_t(n1: Column, m1: Column, v1: Column, n2: Column, m2: Column, v2: Column) -> Column:
@@ -70,7 +72,8 @@ def welch_freedom(n1: Column, v1: Column, n2: Column, v2: Column) -> Column:
 
 
 def pearson_t(r: Column, n: Column) -> Column:
-    """t of a Pearson correlation over n pairs; infinite for a perfect one."""
-    return F.when(F.abs(r) >= 1.0, F.lit(float("inf"))).otherwise(
+    """t of a Pearson correlation over n pairs; infinite for a perfect one, NaN for NaN."""
+    # NaN compares as the largest number.
+    return F.when(F.isnan(r), r).when(F.abs(r) >= 1.0, F.lit(float("inf"))).otherwise(
         r * F.sqrt(F.try_divide(n - 2.0, 1.0 - r * r))
     )
