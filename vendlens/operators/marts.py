@@ -17,6 +17,7 @@ from vendlens.functions.columns import amount, cents, percent, ratio, round_n, w
 from vendlens.operators.facts import check_grain, times
 from vendlens.operators.ordering import Ordering, rank_and_running_sum
 from vendlens.operators.rfm import KEY
+from vendlens.session import materialise
 
 # Delivery buckets by days before the promised date.
 DELIVERY_BUCKETS = [
@@ -184,7 +185,9 @@ def category_performance(
     reviews: what the definition repeats enters as weights.  Which reviews a category has
     is a separate, narrow inner join, of which adaptive execution can split either side.
     Items move to their order once: left to itself, Spark would shuffle them by order and
-    category first, of which an order has nearly as many as items.
+    category first, of which an order has nearly as many as items.  With grain "reference" the
+    rows per order and category are read twice, for the sums and for the reviews, and stored
+    before: that runs a job.
     """
     check_grain(grain)
     sales = orders.where("is_revenue_order = 1").groupBy("order_id").agg(
@@ -209,18 +212,6 @@ def category_performance(
             _rows().alias("review_rows"), F.sum(score).alias("score_sum"),
             F.count(score).alias("scores"),
         )
-        # The hash as a second key has both sides shuffled anew, which adaptive execution
-        # needs in order to split an order with very many reviews.
-        key = F.xxhash64("order_id").alias("order_hash")
-        distinct_reviews = (
-            sold.select("order_id", "category", key)
-            .join(
-                reviews.where("review_id IS NOT NULL").select("order_id", "review_id", key),
-                ["order_hash", "order_id"],
-            )
-            .groupBy("category", "review_id").agg(_rows().alias("n"))
-            .groupBy(F.col("category").alias("reviewed")).agg(_rows().alias("reviews"))
-        )
     else:
         # An order's reviews count as one, with their average score.
         ids = reviews.groupBy("order_id", "review_id").agg(
@@ -231,24 +222,42 @@ def category_performance(
             F.when(F.sum("n") > 0, 1).otherwise(0).alias("scores"),
             F.count("review_id").alias("review_ids"),
         )
-    reviewed = sold.join(totals, "order_id", "left")
     rows = F.col("order_rows") * _review_repeats()
     weight = F.col("order_rows") * F.col("items")
-    sums = [
-        F.count("order_id").alias("orders"),
-        F.sum(F.col("items") * rows).alias("items_sold"),
-        F.sum(F.col("price_cents") * rows).alias("price_cents"),
-        F.sum(F.col("freight_cents") * rows).alias("freight_cents"),
-        F.sum(F.col("score_sum") * weight).alias("score_sum"),
-        F.sum(F.col("scores") * weight).alias("scores"),
-    ]
+    parts = {
+        "items_sold": F.col("items") * rows,
+        "price_cents": F.col("price_cents") * rows,
+        "freight_cents": F.col("freight_cents") * rows,
+        "score_sum": F.col("score_sum") * weight,
+        "scores": F.col("scores") * weight,
+    }
+    if grain == "order":
+        parts["reviews"] = F.col("review_ids") * F.col("order_rows")
+    reviewed = sold.join(totals, "order_id", "left").select(
+        "order_id", "category", *[part.alias(name) for name, part in parts.items()]
+    )
+    if grain == "reference":
+        reviewed = materialise(reviewed, "category_sales")
+    grouped = reviewed.groupBy("category").agg(
+        F.count("order_id").alias("orders"), *[F.sum(name).alias(name) for name in parts]
+    )
     if grain == "reference":
-        grouped = reviewed.groupBy("category").agg(*sums).join(
+        # The hash as a second key has both sides shuffled anew, which adaptive execution
+        # needs in order to split an order with very many reviews.
+        key = F.xxhash64("order_id").alias("order_hash")
+        distinct_reviews = (
+            reviewed.select("order_id", "category", key)
+            .join(
+                reviews.where("review_id IS NOT NULL").select("order_id", "review_id", key),
+                ["order_hash", "order_id"],
+            )
+            .groupBy("category", "review_id").agg(_rows().alias("n"))
+            .groupBy(F.col("category").alias("reviewed")).agg(_rows().alias("reviews"))
+        )
+        grouped = grouped.join(
             distinct_reviews, F.col("category").eqNullSafe(F.col("reviewed")), "left"
-        ).withColumn("reviews", F.coalesce("reviews", F.lit(0)))
-    else:
-        counted = F.coalesce(F.sum(F.col("review_ids") * F.col("order_rows")), F.lit(0))
-        grouped = reviewed.groupBy("category").agg(*sums, counted.alias("reviews"))
+        )
+    grouped = grouped.withColumn("reviews", F.coalesce("reviews", F.lit(0)))
     revenue, freight = amount(F.col("price_cents")), amount(F.col("freight_cents"))
     return (
         grouped
